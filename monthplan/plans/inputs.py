@@ -119,3 +119,79 @@ class Plan(PlanInputs):
         from monthplan.operators.rollforward import rollforward
         return rollforward(self.months, self.stock0, self.demand, self.producibility, self.best_transfer,
                            self.safety)
+
+    # stage B2 (line types)
+    @cached_property
+    def linetypes(self) -> DataFrame:
+        from monthplan.operators.linetypes import classify_lines
+        return classify_lines(self.line_info, self.special_lines)
+
+    @cached_property
+    def preferred(self) -> DataFrame:
+        from monthplan.operators import linetypes as lt
+        return lt.preferred_line(lt.producible_months(self.producibility, self.months), self.line_priority,
+                                 self.linetypes)
+
+    @cached_property
+    def sku_linetype(self) -> DataFrame:
+        from monthplan.operators.linetypes import sku_line_type
+        return sku_line_type(self.preferred)
+
+    @cached_property
+    def rate_avg(self) -> DataFrame:
+        from monthplan.operators import linetypes as lt
+        return lt.line_rate_avg(lt.line_rates_month(self.production_rates, self.months), self.linetypes)
+
+    @cached_property
+    def linetype_capacity(self) -> DataFrame:
+        from monthplan.operators import linetypes as lt
+        return lt.linetype_capacity(lt.line_hours_month(self.line_hours, self.months), self.rate_avg)
+
+    @cached_property
+    def factory_linetype_todo(self) -> DataFrame:
+        from monthplan.operators.linetypes import factory_linetype_todo
+        return factory_linetype_todo(self.todo, self.sku_linetype, self.org_snapshot)
+
+    @cached_property
+    def factory_sku_todo(self) -> DataFrame:
+        from monthplan.operators.linetypes import factory_sku_todo
+        return factory_sku_todo(self.todo, self.sku_linetype, self.best_transfer)
+
+    # stage C (rebalance)
+    @cached_property
+    def capacity_table(self) -> DataFrame:
+        """Line-type capacity as the rebalance stage loads it (A14): batch-tagged, capacity as a quantity."""
+        from pyspark.sql import functions as F
+        from monthplan.sources.loaders import load_linetype_capacity
+        raw = self.linetype_capacity.withColumn("batch_id", F.lit(self.batch_id))
+        return load_linetype_capacity(raw, self.batch_id)
+
+    @cached_property
+    def cap_todo(self) -> DataFrame:
+        from monthplan.operators import rebalance as rb
+        return rb.capacity_vs_todo(rb.capacity_with_rank(self.capacity_table, self.linetypes),
+                                   self.factory_linetype_todo)
+
+    @cached_property
+    def ceiling_month(self) -> DataFrame:
+        from monthplan.operators.rebalance import factory_capacity_month
+        return factory_capacity_month(self.factory_capacity, self.months)
+
+    @cached_property
+    def rebalanced(self) -> DataFrame:
+        from monthplan.operators.rebalance import rebalance_capacity
+        return rebalance_capacity(self.cap_todo, self.ceiling_month)
+
+    @cached_property
+    def capacity_gap(self) -> DataFrame:
+        """G9 as stage D loads it."""
+        from pyspark.sql import functions as F
+        from monthplan.operators.rebalance import capacity_gap
+        from monthplan.sources.loaders import load_capacity_gap
+        raw = capacity_gap(self.cap_todo).withColumn("batch_id", F.lit(self.batch_id))
+        return load_capacity_gap(raw, self.batch_id)
+
+    # stage D (advance production)
+    def advance_state(self, consume_surplus: bool = False) -> DataFrame:
+        from monthplan.operators.advance import advance_state
+        return advance_state(self.capacity_gap, self.months, self.special_lines, consume_surplus=consume_surplus)
