@@ -159,7 +159,7 @@ def month_step_wide(stock: DataFrame, inputs: DataFrame, month: _dt.date) -> Dat
 
 
 def rollforward(months: Sequence[_dt.date], stock0: DataFrame, demand: DataFrame, producibility: DataFrame,
-                transfers: DataFrame, safety: DataFrame, table: str | None = None, cut_every: int = 3) -> DataFrame:
+                transfers: DataFrame, safety: DataFrame, table: str | None = None, cut_every: int = 1) -> DataFrame:
     """The roll-forward over all plan months (see module doc).
 
     ``stock0`` is the first month's stock (B7), ``transfers`` the best transfers (B3), ``safety`` the safety stock

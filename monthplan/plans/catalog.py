@@ -251,3 +251,71 @@ def advance_tomove_month(p: Plan) -> DataFrame:
 @query
 def last_short_month(p: Plan) -> DataFrame:
     return adv.last_short_month(p.capacity_gap)
+
+
+# --- stage A: sources and sinks ------------------------------------------------------------------------------------
+def _io_query(fn):
+    """Register an IO query: it gets the session and the test-data folder, and writes under the checkpoint folder."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return to_edge(fn(Plan(spark, sf_dir)))
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    QUERIES[fn.__name__] = run
+    return fn
+
+
+@_io_query
+def read_source(p: Plan) -> DataFrame:
+    """``lineitem`` of the plan horizon read with the projection and the date filter pushed into the scan."""
+    from monthplan.sources.fixtures import HORIZON_MONTHS, HORIZON_START, _horizon
+    from monthplan.sources.io import read_source as _read
+
+    lo, hi = _horizon(HORIZON_START, HORIZON_MONTHS)
+    df = _read(p.spark, "parquet", path=f"{p.sf_dir.rstrip('/')}/lineitem.parquet",
+               columns=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"],
+               predicate=(F.col("l_shipdate") >= F.lit(lo)) & (F.col("l_shipdate") < F.lit(hi)))
+    return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                     F.to_date("l_shipdate").alias("ship_date"))
+
+
+@_io_query
+def parquet_roundtrip(p: Plan) -> DataFrame:
+    """The loaded month demand written as a batch-partitioned parquet table + view, read through the view."""
+    from monthplan.operators.rollforward import scratch_table
+    from monthplan.sources.io import write_parquet_view
+
+    path = scratch_table(p.spark, "month_demand")
+    view = write_parquet_view(p.demand, path, "month_demand", partition_by=["batch_id"])
+    return view.select("batch_id", "stockorg_code", "sku_code", "dt", "demand_qty", "demand_qty_next", "dt2")
+
+
+@_io_query
+def slice_copy(p: Plan) -> DataFrame:
+    """The stock-org dimension rows of the run's snapshot day copied to a day-partitioned target table."""
+    from monthplan.operators.rollforward import scratch_table
+    from monthplan.sources.fixtures import HORIZON_START
+    from monthplan.sources.io import copy_slice
+
+    dst = scratch_table(p.spark, "stockorg_copy")
+    copy_slice(p.raw("stockorg_dim_raw"), dst, F.col("day_date") == F.lit(HORIZON_START), partition_by=["day_date"])
+    return p.spark.read.parquet(dst).select("stockorg_code", "stockorg_name", "parent_org_code", "day_date")
+
+
+@_io_query
+def batch_overwrite(p: Plan) -> DataFrame:
+    """A batch-partitioned demand table holding a stale run of batch 1 and batch 2; batch 1 is re-planned
+    and replaced, batch 2 stays."""
+    from monthplan.operators.rollforward import scratch_table
+    from monthplan.sources.io import overwrite_batch
+    from monthplan.sources.loaders import load_demand
+
+    cols = ["batch_id", "stockorg_code", "sku_code", "dt", "demand_qty"]
+    raw = p.raw("demand_raw")
+    b1 = load_demand(raw, 1).select(*cols)
+    b2 = load_demand(raw, 2).select(*cols)
+    stale = b1.withColumn("demand_qty", (F.col("demand_qty") * 2).cast("decimal(18,3)"))
+    path = scratch_table(p.spark, "batch_demand")
+    overwrite_batch(stale.unionByName(b2), path)
+    overwrite_batch(b1, path)
+    return p.spark.read.parquet(path).select(*cols)

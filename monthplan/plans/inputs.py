@@ -17,14 +17,35 @@ from monthplan.sources import loaders as ld
 
 
 class PlanInputs:
+    """Loaded tables of one batch.
+
+    With ``materialize=True`` every loaded table (and the stage outputs read by more than one later stage) is
+    written once as parquet under the session's checkpoint folder and read back -- the load step of the pipeline.
+    Later plans then start from small parquet scans instead of re-deriving their inputs, and a lost executor never
+    sends a stage back past a written table.
+    """
+
     def __init__(self, spark: SparkSession, sf_dir: str, batch_id: int = fx.BATCH, rate_end: str = "start",
-                 special_lines: tuple[str, ...] = fx.SPECIAL_LINES):
+                 special_lines: tuple[str, ...] = fx.SPECIAL_LINES, materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.batch_id = batch_id
         self.rate_end = rate_end
         self.special_lines = special_lines
-        self.t = fx.Tables(spark, sf_dir)
+        self.materialize = materialize
+        self._folder: str | None = None
+        self.t = fx.Tables(spark, sf_dir, keep=self.keep if materialize else None)
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` to the load folder and read it back (only when materialising)."""
+        if not self.materialize:
+            return df
+        if self._folder is None:
+            from monthplan.operators.rollforward import scratch_table
+            self._folder = scratch_table(self.spark, "load")
+        path = f"{self._folder}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     # raw (warehouse-shaped) tables
     def raw(self, name: str) -> DataFrame:
@@ -33,7 +54,7 @@ class PlanInputs:
     # A1-A13 loaded tables
     @cached_property
     def calendar(self) -> DataFrame:
-        return ld.load_plan_calendar(self.raw("plan_config_raw"), self.batch_id)
+        return self.keep("calendar", ld.load_plan_calendar(self.raw("plan_config_raw"), self.batch_id))
 
     @cached_property
     def months(self) -> list[_dt.date]:
@@ -41,47 +62,47 @@ class PlanInputs:
 
     @cached_property
     def opening_stock(self) -> DataFrame:
-        return ld.load_opening_stock(self.raw("stock_raw"), self.batch_id)
+        return self.keep("opening_stock", ld.load_opening_stock(self.raw("stock_raw"), self.batch_id))
 
     @cached_property
     def producibility(self) -> DataFrame:
-        return ld.load_producibility(self.raw("producibility_raw"), self.batch_id)
+        return self.keep("producibility", ld.load_producibility(self.raw("producibility_raw"), self.batch_id))
 
     @cached_property
     def safety_rules(self) -> DataFrame:
-        return ld.load_safety_rules(self.raw("safety_raw"), self.batch_id)
+        return self.keep("safety_rules", ld.load_safety_rules(self.raw("safety_raw"), self.batch_id))
 
     @cached_property
     def routes(self) -> DataFrame:
-        return ld.load_transfer_routes(self.raw("route_raw"), self.batch_id)
+        return self.keep("routes", ld.load_transfer_routes(self.raw("route_raw"), self.batch_id))
 
     @cached_property
     def demand(self) -> DataFrame:
-        return ld.load_demand(self.raw("demand_raw"), self.batch_id)
+        return self.keep("demand", ld.load_demand(self.raw("demand_raw"), self.batch_id))
 
     @cached_property
     def line_info(self) -> DataFrame:
-        return ld.load_line_info(self.raw("line_info_raw"), self.batch_id)
+        return self.keep("line_info", ld.load_line_info(self.raw("line_info_raw"), self.batch_id))
 
     @cached_property
     def line_hours(self) -> DataFrame:
-        return ld.load_line_hours(self.raw("line_capacity_raw"), self.batch_id)
+        return self.keep("line_hours", ld.load_line_hours(self.raw("line_capacity_raw"), self.batch_id))
 
     @cached_property
     def production_rates(self) -> DataFrame:
-        return ld.load_production_rates(self.raw("rate_raw"), self.batch_id, self.rate_end)
+        return self.keep("production_rates", ld.load_production_rates(self.raw("rate_raw"), self.batch_id, self.rate_end))
 
     @cached_property
     def line_priority(self) -> DataFrame:
-        return ld.load_line_priority(self.raw("priority_raw"), self.batch_id)
+        return self.keep("line_priority", ld.load_line_priority(self.raw("priority_raw"), self.batch_id))
 
     @cached_property
     def org_snapshot(self) -> DataFrame:
-        return ld.load_org_snapshot(self.raw("stockorg_dim_raw"), self.raw("plan_config_raw"), self.batch_id)
+        return self.keep("org_snapshot", ld.load_org_snapshot(self.raw("stockorg_dim_raw"), self.raw("plan_config_raw"), self.batch_id))
 
     @cached_property
     def factory_capacity(self) -> DataFrame:
-        return ld.load_factory_capacity(self.raw("factory_capacity_raw"), self.batch_id)
+        return self.keep("factory_capacity", ld.load_factory_capacity(self.raw("factory_capacity_raw"), self.batch_id))
 
 
 class Plan(PlanInputs):
@@ -101,12 +122,12 @@ class Plan(PlanInputs):
     @cached_property
     def best_transfer(self) -> DataFrame:
         from monthplan.operators.demand import best_transfer
-        return best_transfer(self.unproducible, self.viable_routes)
+        return self.keep("best_transfer", best_transfer(self.unproducible, self.viable_routes))
 
     @cached_property
     def safety(self) -> DataFrame:
         from monthplan.operators.demand import safety_stock
-        return safety_stock(self.calendar, self.months, self.safety_rules, self.demand)
+        return self.keep("safety", safety_stock(self.calendar, self.months, self.safety_rules, self.demand))
 
     @cached_property
     def stock0(self) -> DataFrame:
@@ -135,7 +156,7 @@ class Plan(PlanInputs):
     @cached_property
     def sku_linetype(self) -> DataFrame:
         from monthplan.operators.linetypes import sku_line_type
-        return sku_line_type(self.preferred)
+        return self.keep("sku_linetype", sku_line_type(self.preferred))
 
     @cached_property
     def rate_avg(self) -> DataFrame:
@@ -169,8 +190,8 @@ class Plan(PlanInputs):
     @cached_property
     def cap_todo(self) -> DataFrame:
         from monthplan.operators import rebalance as rb
-        return rb.capacity_vs_todo(rb.capacity_with_rank(self.capacity_table, self.linetypes),
-                                   self.factory_linetype_todo)
+        return self.keep("cap_todo", rb.capacity_vs_todo(rb.capacity_with_rank(self.capacity_table, self.linetypes),
+                                                         self.factory_linetype_todo))
 
     @cached_property
     def ceiling_month(self) -> DataFrame:
@@ -189,7 +210,7 @@ class Plan(PlanInputs):
         from monthplan.operators.rebalance import capacity_gap
         from monthplan.sources.loaders import load_capacity_gap
         raw = capacity_gap(self.cap_todo).withColumn("batch_id", F.lit(self.batch_id))
-        return load_capacity_gap(raw, self.batch_id)
+        return self.keep("capacity_gap", load_capacity_gap(raw, self.batch_id))
 
     # stage D (advance production)
     def advance_state(self, consume_surplus: bool = False) -> DataFrame:

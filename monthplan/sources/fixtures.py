@@ -38,10 +38,19 @@ DECOY_BATCH = 2
 class Tables:
     """Lazy readers of the test tables, each with only the columns the fixtures need (one relation per table)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, keep=None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.keep = keep  # optional (name, DataFrame) -> DataFrame that materialises a shared intermediate
         self._rel: dict[str, DataFrame] = {}
+        self._memo: dict[str, DataFrame] = {}
+
+    def memo(self, name: str, build) -> DataFrame:
+        """A fixture intermediate shared by several raw tables, built (and optionally written) once."""
+        if name not in self._memo:
+            df = build()
+            self._memo[name] = self.keep(name, df) if self.keep else df
+        return self._memo[name]
 
     def read(self, name: str, *cols: str) -> DataFrame:
         if name not in self._rel:
@@ -92,6 +101,10 @@ def nations(t: Tables) -> DataFrame:
 
 def shipments(t: Tables) -> DataFrame:
     """Shipped quantity per (nation of the supplier, SKU, ship month): the one scan of ``lineitem``."""
+    return t.memo("shipments", lambda: _shipments(t))
+
+
+def _shipments(t: Tables) -> DataFrame:
     lo, hi = _horizon(STOCK_MONTH, 1 + HORIZON_MONTHS)
     dlo, dhi = _horizon(DECOY_START, DECOY_MONTHS)
     ship = F.col("l_shipdate")
