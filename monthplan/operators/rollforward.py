@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from monthplan.functions.quantities import QTY
@@ -174,10 +175,11 @@ def rollforward(months: Sequence[_dt.date], stock0: DataFrame, demand: DataFrame
     inputs = month_inputs(demand, producibility, safety, transfers)
     inputs.write.mode("overwrite").partitionBy("dt").parquet(inputs_path)
     stock = stock0.select(*KEY, "begin_stock_qty")
+    in_schema = T.StructType([f for f in inputs.schema.fields if f.name != "dt"])
     pending: list[DataFrame] = []
     schema = None
     for idx, m in enumerate(months):
-        month_in = _read_months(spark, inputs_path, inputs.schema).where(F.col("dt") == F.lit(m))
+        month_in = _read_month(spark, inputs_path, m, in_schema)
         step = month_step_wide(stock, month_in, m)
         schema = step.schema
         pending.append(step)
@@ -187,15 +189,26 @@ def rollforward(months: Sequence[_dt.date], stock0: DataFrame, demand: DataFrame
                 batch = batch.unionByName(p)
             batch.write.mode("append").partitionBy("dt").parquet(path)
             pending = []
-            step = _read_months(spark, path, schema).where(F.col("dt") == F.lit(m))
-        stock = carry_stock(step).select(*KEY, "begin_stock_qty")
+            out_schema = T.StructType([f for f in schema.fields if f.name != "dt"])
+            step = _read_month(spark, path, m, out_schema)
+        stock = step.select(*KEY, F.col("end_stock_qty").alias("begin_stock_qty"))
     if schema is None:
-        return stock0.sparkSession.createDataFrame([], todo_and_end_schema(spark))
+        return spark.createDataFrame([], todo_and_end_schema(spark))
     return _read_months(spark, path, schema).select(*RESULT_COLUMNS)
 
 
+def _read_month(spark: SparkSession, path: str, month: _dt.date, schema) -> DataFrame:
+    """One ``dt`` partition of a month table, read by its folder with a known schema (no listing of the table,
+    no footer inference); a month with no rows reads as empty."""
+    part = f"{path}/dt={month.isoformat()}"
+    try:
+        df = spark.read.schema(schema).parquet(part)
+    except AnalysisException:
+        df = spark.createDataFrame([], schema)
+    return df.withColumn("dt", F.lit(month))
+
+
 def todo_and_end_schema(spark: SparkSession):
-    from pyspark.sql import types as T
     fields = [T.StructField("stockorg_code", T.StringType()), T.StructField("sku_code", T.StringType()),
               T.StructField("dt", T.DateType())]
     fields += [T.StructField(c, QTY) for c in RESULT_COLUMNS[3:]]

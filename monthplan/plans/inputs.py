@@ -7,6 +7,7 @@ stage outputs per instance, so a query that needs, say, the roll-forward builds
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,18 +35,46 @@ class PlanInputs:
         self.special_lines = special_lines
         self.materialize = materialize
         self._folder: str | None = None
+        self._guard = threading.Lock()
+        self._locks: dict[str, threading.Lock] = {}
+        self._kept: dict[str, DataFrame] = {}
+        if materialize:
+            from monthplan.operators.rollforward import scratch_table
+            self._folder = scratch_table(spark, "load")
         self.t = fx.Tables(spark, sf_dir, keep=self.keep if materialize else None)
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` to the load folder and read it back (only when materialising)."""
         if not self.materialize:
             return df
-        if self._folder is None:
-            from monthplan.operators.rollforward import scratch_table
-            self._folder = scratch_table(self.spark, "load")
-        path = f"{self._folder}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:  # one writer per table, even when two threads reach it first together
+            if name not in self._kept:
+                path = f"{self._folder}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                self._kept[name] = self.spark.read.parquet(path)
+            return self._kept[name]
+
+    LOADED = ("calendar", "opening_stock", "producibility", "safety_rules", "routes", "demand", "line_info",
+              "line_hours", "production_rates", "line_priority", "org_snapshot", "factory_capacity")
+
+    def build(self, names, threads: int = 8) -> None:
+        """Build (and, when materialising, write) independent tables concurrently.
+
+        Each table is its own Spark job submitted from its own driver thread, so small jobs overlap instead of
+        queueing; on a cluster the scheduler interleaves their tasks.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+
+        names = list(names)
+        if threads <= 1 or len(names) <= 1:
+            for n in names:
+                getattr(self, n)
+            return
+        with ThreadPoolExecutor(max_workers=min(threads, len(names))) as pool:
+            for f in [pool.submit(getattr, self, n) for n in names]:
+                f.result()
 
     # raw (warehouse-shaped) tables
     def raw(self, name: str) -> DataFrame:
@@ -138,6 +167,8 @@ class Plan(PlanInputs):
     def todo(self) -> DataFrame:
         """B8 roll-forward (materialised month by month in the checkpoint folder)."""
         from monthplan.operators.rollforward import rollforward
+        self.months
+        self.build(["best_transfer", "safety", "stock0"])
         return rollforward(self.months, self.stock0, self.demand, self.producibility, self.best_transfer,
                            self.safety)
 

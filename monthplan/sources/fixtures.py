@@ -14,6 +14,7 @@ Fixed values of the fixture recipe (shared with the SQL oracle in ``monthplan.pl
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,18 +45,24 @@ class Tables:
         self.keep = keep  # optional (name, DataFrame) -> DataFrame that materialises a shared intermediate
         self._rel: dict[str, DataFrame] = {}
         self._memo: dict[str, DataFrame] = {}
+        self._lock = threading.Lock()  # loaders may run on several driver threads at once
+        self._memo_locks: dict[str, threading.Lock] = {}
 
     def memo(self, name: str, build) -> DataFrame:
         """A fixture intermediate shared by several raw tables, built (and optionally written) once."""
-        if name not in self._memo:
-            df = build()
-            self._memo[name] = self.keep(name, df) if self.keep else df
-        return self._memo[name]
+        with self._lock:
+            lock = self._memo_locks.setdefault(name, threading.Lock())
+        with lock:
+            if name not in self._memo:
+                df = build()
+                self._memo[name] = self.keep(name, df) if self.keep else df
+            return self._memo[name]
 
     def read(self, name: str, *cols: str) -> DataFrame:
-        if name not in self._rel:
-            self._rel[name] = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
-        df = self._rel[name]
+        with self._lock:
+            if name not in self._rel:
+                self._rel[name] = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+            df = self._rel[name]
         return df.select(*cols) if cols else df
 
 
