@@ -43,20 +43,20 @@ def viable_routes(routes: DataFrame, producibility: DataFrame) -> DataFrame:
 def best_transfer(unproducible: DataFrame, routes: DataFrame) -> DataFrame:
     """For each need (stock org, SKU, month) the viable route with the lowest priority.
 
-    Ties are broken by sender stock org, then sender SKU.  ``min`` over a struct is an ordinary aggregate, so it is
-    combined map-side before the shuffle: a receiver with thousands of candidate routes costs one row per task.
+    Ties are broken by sender stock org, then sender SKU.  The best route of a (receiver, month) does not depend on
+    the demand row, so routes are reduced to one per receiver and month first -- ``min`` over a struct is an ordinary
+    aggregate, combined map-side, so a receiver holding a third of all routes costs one row per task -- and the need
+    is then joined one-to-one.
     """
-    r = routes.select(F.col("receive_stockorg_code").alias("stockorg_code"),
-                      F.col("receive_sku_code").alias("sku_code"), "dt",
-                      F.struct("priority", "send_stockorg_code", "send_sku_code").alias("_route"))
+    r = (routes.groupBy(F.col("receive_stockorg_code").alias("stockorg_code"),
+                        F.col("receive_sku_code").alias("sku_code"), "dt")
+         .agg(F.min(F.struct("priority", "send_stockorg_code", "send_sku_code")).alias("_best")))
     need = unproducible.select("stockorg_code", "sku_code", "dt", "demand_qty")
-    best = (need.join(r, ["stockorg_code", "sku_code", "dt"])
-            .groupBy("stockorg_code", "sku_code", "dt", "demand_qty")
-            .agg(F.min("_route").alias("_best")))
-    return best.select("stockorg_code", "sku_code", "dt", "demand_qty",
-                       F.col("_best.send_sku_code").alias("send_sku_code"),
-                       F.col("_best.send_stockorg_code").alias("send_stockorg_code"),
-                       F.col("_best.priority").alias("priority"))
+    return (need.join(r, ["stockorg_code", "sku_code", "dt"])
+            .select("stockorg_code", "sku_code", "dt", "demand_qty",
+                    F.col("_best.send_sku_code").alias("send_sku_code"),
+                    F.col("_best.send_stockorg_code").alias("send_stockorg_code"),
+                    F.col("_best.priority").alias("priority")))
 
 
 def safety_stock(calendar: DataFrame, months: Sequence[_dt.date], rules: DataFrame, demand: DataFrame) -> DataFrame:
