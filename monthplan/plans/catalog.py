@@ -248,6 +248,17 @@ def advance_tomove_month(p: Plan) -> DataFrame:
     return adv.advance_tomove_month(p.advance_state(), p.batch_id)
 
 
+@query
+def advance_production_conserving(p: Plan) -> DataFrame:
+    """Variant of T4-T6: a donor's surplus shrinks by what each round takes, so it is never promised twice."""
+    return adv.advance_production(p.advance_state(consume_surplus=True), p.batch_id)
+
+
+@query
+def advance_tomove_month_conserving(p: Plan) -> DataFrame:
+    return adv.advance_tomove_month(p.advance_state(consume_surplus=True), p.batch_id)
+
+
 @query
 def last_short_month(p: Plan) -> DataFrame:
     return adv.last_short_month(p.capacity_gap)
