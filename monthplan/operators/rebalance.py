@@ -49,8 +49,11 @@ def factory_capacity_month(ceiling: DataFrame, months: Sequence[_dt.date]) -> Da
             .select("factory_code", "dt", F.col("equilibrium_capacity").cast(QTY).alias("factory_capacity")))
 
 
-_ORDER = """(l, r) -> CASE WHEN l.dt > r.dt THEN -1 WHEN l.dt < r.dt THEN 1
-                     WHEN l.rn > r.rn THEN -1 WHEN l.rn < r.rn THEN 1
+def _order(share_pure: bool) -> str:
+    fam = ("WHEN l.linetype LIKE 'pure-%' AND r.linetype NOT LIKE 'pure-%' THEN -1 "
+           "WHEN l.linetype NOT LIKE 'pure-%' AND r.linetype LIKE 'pure-%' THEN 1 ") if share_pure else ""
+    return f"""(l, r) -> CASE WHEN l.dt > r.dt THEN -1 WHEN l.dt < r.dt THEN 1
+                     WHEN l.rn > r.rn THEN -1 WHEN l.rn < r.rn THEN 1 {fam}
                      WHEN l.linetype < r.linetype THEN -1 WHEN l.linetype > r.linetype THEN 1 ELSE 0 END"""
 
 
@@ -62,39 +65,70 @@ def let(value_sql: str, var: str, body_sql: str) -> str:
 _EMPTY = f"CAST(map() AS map<string,{D}>)"
 _OUT_T = f"array<struct<dt:date,linetype:string,capacity:{D},assigned:{D},todo:{D},todo_left:{D}>>"
 
-# month state when row r is reached: carried to-do of r's month, carry being built for the month before, ceiling left
+# month state when row r is reached: carried to-do of r's month, carry being built for the month before, ceiling
+# left, spare pure capacity per package
 _MONTH = f"""named_struct(
     'cur', CASE WHEN acc.dt IS NULL OR r.dt <> acc.dt
                 THEN CASE WHEN r.dt = add_months(acc.dt, -1) THEN acc.nxt ELSE {_EMPTY} END
                 ELSE acc.cur END,
     'nxt', CASE WHEN acc.dt IS NULL OR r.dt <> acc.dt THEN {_EMPTY} ELSE acc.nxt END,
-    'left', CASE WHEN acc.dt IS NULL OR r.dt <> acc.dt THEN r.ceiling ELSE acc.left END)"""
+    'left', CASE WHEN acc.dt IS NULL OR r.dt <> acc.dt THEN r.ceiling ELSE acc.left END,
+    'spare', CASE WHEN acc.dt IS NULL OR r.dt <> acc.dt THEN {_EMPTY} ELSE acc.spare END)"""
 _TODO = f"CAST(r.todo + coalesce(try_element_at(m.cur, r.linetype), 0) AS {D})"
-_ALLOC = f"""named_struct('assigned', CAST(least(r.capacity, m.left, t) AS {D}),
+
+
+def _alloc(share_pure: bool) -> str:
+    share = ("CASE WHEN r.linetype LIKE 'ordinary-%' "
+             "THEN coalesce(try_element_at(m.spare, substring(r.linetype, 10)), 0) ELSE 0 END") if share_pure else "0"
+    return f"""named_struct('share', CAST({share} AS {D}),
+                          'assigned', CAST(least(r.capacity + {share}, m.left, t) AS {D}),
                           'skip', t IS NULL OR t = 0)"""
-_NEXT = f"""named_struct(
+
+
+def _next(share_pure: bool) -> str:
+    spare = "m.spare"
+    if share_pure:
+        pure_pkg, ord_pkg = "substring(r.linetype, 6)", "substring(r.linetype, 10)"
+        used = f"CAST(CASE WHEN a.skip THEN 0 ELSE a.assigned END AS {D})"
+        spare = f"""CASE WHEN r.linetype LIKE 'pure-%'
+                         THEN map_concat(map_filter(m.spare, (k, v) -> k <> {pure_pkg}),
+                                         map({pure_pkg}, CAST(r.capacity - {used} AS {D})))
+                         WHEN r.linetype LIKE 'ordinary-%' AND a.share > 0 AND NOT a.skip
+                         THEN map_concat(map_filter(m.spare, (k, v) -> k <> {ord_pkg}),
+                                         map({ord_pkg}, CAST(a.share - greatest(a.assigned - r.capacity, 0) AS {D})))
+                         ELSE m.spare END"""
+    return f"""named_struct(
     'dt', r.dt,
     'left', CASE WHEN a.skip THEN m.left ELSE CAST(m.left - a.assigned AS {D}) END,
     'cur', m.cur,
     'nxt', CASE WHEN NOT a.skip AND t - a.assigned > 0
                 THEN map_concat(m.nxt, map(r.linetype, CAST(t - a.assigned AS {D}))) ELSE m.nxt END,
+    'spare', {spare},
     'out', CASE WHEN a.skip THEN acc.out
                 ELSE concat(acc.out, array(named_struct(
                     'dt', r.dt, 'linetype', r.linetype, 'capacity', r.capacity, 'assigned', a.assigned,
                     'todo', t, 'todo_left', CAST(t - a.assigned AS {D})))) END)"""
-REBALANCE_FOLD = f"""aggregate(
-    array_sort(rows, {_ORDER}),
+
+
+def rebalance_fold_sql(share_pure: bool = False) -> str:
+    """The per-factory fold (SQL ``aggregate``) over the factory's rows in processing order."""
+    return f"""aggregate(
+    array_sort(rows, {_order(share_pure)}),
     named_struct('dt', CAST(NULL AS date), 'left', CAST(0 AS {D}), 'cur', {_EMPTY}, 'nxt', {_EMPTY},
-                 'out', CAST(array() AS {_OUT_T})),
-    (acc, r) -> {let(_MONTH, "m", let(_TODO, "t", let(_ALLOC, "a", _NEXT)))},
+                 'spare', {_EMPTY}, 'out', CAST(array() AS {_OUT_T})),
+    (acc, r) -> {let(_MONTH, "m", let(_TODO, "t", let(_alloc(share_pure), "a", _next(share_pure))))},
     acc -> acc.out)"""
 
 
-def rebalance_capacity(cap_todo: DataFrame, ceiling_month: DataFrame) -> DataFrame:
+def rebalance_capacity(cap_todo: DataFrame, ceiling_month: DataFrame, share_pure: bool = False) -> DataFrame:
     """Assigned capacity per (factory, line type, month), months newest first, with carry-back.
 
     Output: ``factory_code, linetype, dt, capacity, assigned_capacity``, the to-do after carry-back (``todo_qty``)
     and what was left of it (``todo_left``: moved to the month before, or lost when that month has no row).
+
+    ``share_pure=True`` is the documented intent of the spare-pure-capacity rule: inside a rank, pure lines go first,
+    and an ordinary line may also use the capacity its package's pure line left spare (a pure line without to-do
+    leaves all of it), drawing on its remaining to-do and the remaining ceiling.
     """
     rows = (cap_todo.join(ceiling_month, ["factory_code", "dt"], "left")
             .select("factory_code",
@@ -103,7 +137,7 @@ def rebalance_capacity(cap_todo: DataFrame, ceiling_month: DataFrame) -> DataFra
                              F.col("todo_qty").cast(D).alias("todo"),
                              F.coalesce("factory_capacity", F.lit(0)).cast(D).alias("ceiling")).alias("r")))
     per_factory = rows.groupBy("factory_code").agg(F.collect_list("r").alias("rows"))
-    out = per_factory.select("factory_code", F.explode(F.expr(REBALANCE_FOLD)).alias("o"))
+    out = per_factory.select("factory_code", F.explode(F.expr(rebalance_fold_sql(share_pure))).alias("o"))
     return out.select("factory_code", "o.linetype", "o.dt",
                       F.col("o.capacity").cast(QTY).alias("capacity"),
                       F.col("o.assigned").cast(QTY).alias("assigned_capacity"),

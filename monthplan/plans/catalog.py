@@ -227,6 +227,15 @@ def rebalance_capacity(p: Plan) -> DataFrame:
                                "todo_left")
 
 
+@query
+def rebalance_capacity_share_pure(p: Plan) -> DataFrame:
+    """Variant of G4-G5: ordinary lines may also use the spare capacity of their package's pure line."""
+    from monthplan.operators.rebalance import rebalance_capacity as _rebalance
+
+    return _rebalance(p.cap_todo, p.ceiling_month, share_pure=True).select(
+        "factory_code", "linetype", "dt", "capacity", "assigned_capacity", "todo_qty", "todo_left")
+
+
 @query
 def capacity_gap(p: Plan) -> DataFrame:
     return p.capacity_gap.select("factory_code", "linetype", "dt", "qty_surplus", "qty_shortage")
