@@ -195,3 +195,103 @@ def test_advance_literal_overpromises_and_conserving_mode_does_not(spark):
     # literal: pure-can takes 3 of its own 5, ordinary-can is still offered all 5 -> 8 promised from a surplus of 5
     assert lit.agg(F.sum("qty_tomove")).first()[0] == D(8)
     assert cons.agg(F.sum("qty_tomove")).first()[0] == D(5)
+
+
+def test_line_classification_ranks(spark):
+    from monthplan.operators.linetypes import classify_lines
+
+    lines = spark.createDataFrame([("F1", "L0", "Y", "bottle"), ("F1", "L1", "N", "can"), ("F1", "L2", "N", "keg"),
+                                   ("F1", "SPECIAL_A", "Y", "can")],
+                                  "factory_code string, line_code string, is_pure_draft string, package_type string")
+    got = {(r.line_code, r.linetype, r.linetype_rn) for r in classify_lines(lines, ["SPECIAL_A"]).collect()}
+    assert got == {("L0", "pure-bottle", 2), ("L1", "ordinary-can", 2), ("L2", "ordinary-keg", 0),
+                   ("SPECIAL_A", "SPECIAL_A", 1)}
+    # the SKU line type is the minimum label: special < ordinary < pure
+    assert sorted(["pure-can", "ordinary-can", "SPECIAL_A"]) == ["SPECIAL_A", "ordinary-can", "pure-can"]
+
+
+def test_rate_interval_end_options(spark):
+    from monthplan.operators.linetypes import line_rates_month
+    from monthplan.sources.loaders import load_production_rates
+
+    raw = spark.createDataFrame([(1, "F1", "L0", D(2), 2024, 1, 2024, 2), (1, "F1", "L0", D(0), 2024, 1, 2024, 3)],
+                                "batch_id int, factory_code string, line_code string, production_rate decimal(18,3), "
+                                "start_year int, start_month int, end_year int, end_month int")
+    literal = load_production_rates(raw, 1)  # end built from the start month: live one month
+    fixed = load_production_rates(raw, 1, rate_end="end")  # stored end month, inclusive
+    assert literal.count() == 1  # the zero rate is dropped
+    assert [r.dt for r in line_rates_month(literal, [J, FEB, MAR]).collect()] == [J]
+    assert sorted(r.dt for r in line_rates_month(fixed, [J, FEB, MAR]).collect()) == [J, FEB]
+
+
+def test_demand_next_month_needs_adjacent_month(spark):
+    from monthplan.sources.loaders import load_demand
+
+    raw = spark.createDataFrame([(1, "W", "S1", 2024, 1, D(5), 10), (1, "W", "S1", 2024, 3, D(7), 10),
+                                 (1, "W", "S1", 2024, 4, D(9), 10), (1, "W", "S1", 2024, 4, D(1), 20)],
+                                "batch_id int, stockorg_code string, sku_code string, year int, month int, "
+                                "demand_qty decimal(18,3), demand_type int")
+    got = sorted((r.dt, r.demand_qty_next, r.dt2) for r in load_demand(raw, 1).collect())
+    # January has no February row: falls back to itself; March is followed by April
+    assert got == [(J, D(5), J), (MAR, D(9), APR), (APR, D(9), APR)]
+
+
+def reference_advance(rows, months, specials, consume):
+    """Plain loop over one factory at a time: months newest first, donor rounds in order."""
+    rounds = [(a, b, False) for a, b in adv.DONOR_ROUNDS] + [(x, x, True) for x in specials]
+    first = min(months)
+    moves, tomove, left = set(), set(), {}
+    for f in sorted({r[0] for r in rows}):
+        carry = {}
+        for m in sorted(months, reverse=True):
+            short, surplus = {}, {}
+            for ff, lt, mm, su, sh in rows:
+                if ff == f and mm == m and sh > 0:
+                    short[lt] = short.get(lt, 0) + sh
+                if ff == f and mm == m and su > 0:
+                    surplus[lt] = su
+            for lt, q in carry.items():
+                short[lt] = short.get(lt, 0) + q
+            cap = sum(carry.values()) if carry else None
+            for a, b, need_cap in rounds:
+                if a not in short or surplus.get(b, 0) <= 0 or (need_cap and not (cap is not None and cap > 0)):
+                    continue
+                mv = min(x for x in (surplus[b], cap, short[a]) if x is not None)
+                if mv > 0:
+                    moves.add((f, a, b, m, mv))
+                    short[a] -= mv
+                    if consume:
+                        surplus[b] -= mv
+            carry = {lt: q for lt, q in short.items() if q > 0}
+            if m != first:
+                prev = dt.date(m.year - (m.month == 1), (m.month - 2) % 12 + 1, 1)
+                tomove |= {(f, lt, prev, q) for lt, q in carry.items()}
+        left[f] = carry
+    tomove = {(f, lt, d, q, left[f].get(lt, Decimal(0))) for f, lt, d, q in tomove}
+    return moves, tomove
+
+
+@pytest.mark.parametrize("consume", [False, True])
+def test_advance_matches_plain_loop(spark, consume):
+    rnd = random.Random(11 if consume else 5)
+    months = [J, FEB, MAR, APR]
+    types = ["pure-can", "ordinary-can", "pure-bottle", "ordinary-bottle", "SPECIAL_A", "other"]
+    rows = []
+    for f in ("F1", "F2", "F3", "F4", "F5"):
+        for lt in types:
+            for m in months:
+                if rnd.random() < 0.2:
+                    continue
+                kind = rnd.random()
+                su = D(rnd.randint(1, 40)) if kind < 0.5 else D(0)
+                sh = D(rnd.randint(1, 40)) if kind >= 0.4 else D(0)
+                rows.append((f, lt, m, su, sh))
+    gap = spark.createDataFrame(rows, GAP_T)
+    st = adv.advance_state(gap, months, ["SPECIAL_A"], consume_surplus=consume)
+    got_moves = {(r.factory_code, r.linetype, r.linetype2, r.dt, r.qty_tomove)
+                 for r in adv.advance_production(st, 1).collect()}
+    got_tomove = {(r.factory_code, r.linetype, r.dt, r.qty_tomove, r.qty_left)
+                  for r in adv.advance_tomove_month(st, 1).collect()}
+    want_moves, want_tomove = reference_advance(rows, months, ["SPECIAL_A"], consume)
+    assert got_moves == want_moves
+    assert got_tomove == want_tomove
