@@ -55,7 +55,7 @@ def main() -> None:
     stage("advance_production", lambda: p.advance_state())
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "planning_pipeline_total", "value": total, "unit": "sec", "queries": times,
+    print(json.dumps({"metric": "planning_total", "value": total, "unit": "sec", "queries": times,
                       "rows": rows, "sf": sf, "cpus": cpus}))
 
 

@@ -10,10 +10,12 @@ For each plan month, oldest first, over keys (stock org, SKU):
 6. ``begin(m + 1) = end(m)`` for every key seen in month ``m``.
 
 A month's senders depend on that month's receivers and keys change role between months, so the months run in
-order.  Each month is one union + one aggregate by key.  The month result is written as a ``dt`` partition of a
-parquet table in the session's checkpoint folder and read back: that cuts the lineage (the state is read twice per
-month, so without a cut the plan doubles every month), survives lost executors, and lets the next month read only
-its own partition.
+order.  ``transfer_need`` / ``stack_quantities`` / ``pivot_quantities`` / ``todo_and_end`` are the month written the
+long way (six kinds stacked, then pivoted).  The loop uses ``month_step_wide``, which reads the carried stock once:
+stock full-outer-joined to the month's inputs, one explode that emits each receiver's need as its ``trans_in`` and as
+a ``trans_out`` row keyed by its sender, one aggregate by key.  Each month is written as a ``dt`` partition of a
+parquet table in the session's checkpoint folder and read back by its folder: that cuts the lineage, survives lost
+executors, and lets the next month read only its own partition.
 """
 
 from __future__ import annotations
@@ -32,7 +34,6 @@ from monthplan.operators.demand import producible_demand
 from monthplan.session import ensure_checkpoint_dir
 
 KEY = ["stockorg_code", "sku_code"]
-KINDS = ("stock", "demand", "production", "trans_in", "trans_out", "safety")
 KIND_COLUMNS = {
     "stock": "begin_stock_qty",
     "demand": "demand_qty",
@@ -105,13 +106,6 @@ def carry_stock(month_result: DataFrame) -> DataFrame:
                                F.col("end_stock_qty").alias("begin_stock_qty"))
 
 
-def month_step(stock: DataFrame, demand: DataFrame, production: DataFrame, transfers: DataFrame,
-               safety: DataFrame) -> DataFrame:
-    """One month of the roll-forward; every input holds that month's rows only."""
-    need = transfer_need(transfers, stock, safety)
-    return todo_and_end(pivot_quantities(stack_quantities(stock, demand, production, need, safety)))
-
-
 def month_inputs(demand: DataFrame, producibility: DataFrame, safety: DataFrame, transfers: DataFrame) -> DataFrame:
     """The loop-invariant inputs of every month, one wide row per (key, dt).
 
@@ -187,7 +181,9 @@ def rollforward(months: Sequence[_dt.date], stock0: DataFrame, demand: DataFrame
             batch = pending[0]
             for p in pending[1:]:
                 batch = batch.unionByName(p)
-            batch.write.mode("append").partitionBy("dt").parquet(path)
+            # dynamic partition overwrite: re-running a month (after a failure, or into the same table) replaces it
+            (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("dt").parquet(path))
             pending = []
             out_schema = T.StructType([f for f in schema.fields if f.name != "dt"])
             step = _read_month(spark, path, m, out_schema)

@@ -273,19 +273,8 @@ def last_short_month(p: Plan) -> DataFrame:
     return adv.last_short_month(p.capacity_gap)
 
 
-# --- stage A: sources and sinks ------------------------------------------------------------------------------------
-def _io_query(fn):
-    """Register an IO query: it gets the session and the test-data folder, and writes under the checkpoint folder."""
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return to_edge(fn(Plan(spark, sf_dir)))
-
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
-    QUERIES[fn.__name__] = run
-    return fn
-
-
-@_io_query
+# --- stage A: sources and sinks (they write under the session's checkpoint folder) ---------------------------------
+@query
 def read_source(p: Plan) -> DataFrame:
     """``lineitem`` of the plan horizon read with the projection and the date filter pushed into the scan."""
     from monthplan.sources.fixtures import HORIZON_MONTHS, HORIZON_START, _horizon
@@ -299,7 +288,7 @@ def read_source(p: Plan) -> DataFrame:
                      F.to_date("l_shipdate").alias("ship_date"))
 
 
-@_io_query
+@query
 def parquet_roundtrip(p: Plan) -> DataFrame:
     """The loaded month demand written as a batch-partitioned parquet table + view, read through the view."""
     from monthplan.operators.rollforward import scratch_table
@@ -310,7 +299,7 @@ def parquet_roundtrip(p: Plan) -> DataFrame:
     return view.select("batch_id", "stockorg_code", "sku_code", "dt", "demand_qty", "demand_qty_next", "dt2")
 
 
-@_io_query
+@query
 def slice_copy(p: Plan) -> DataFrame:
     """The stock-org dimension rows of the run's snapshot day copied to a day-partitioned target table."""
     from monthplan.operators.rollforward import scratch_table
@@ -322,7 +311,7 @@ def slice_copy(p: Plan) -> DataFrame:
     return p.spark.read.parquet(dst).select("stockorg_code", "stockorg_name", "parent_org_code", "day_date")
 
 
-@_io_query
+@query
 def batch_overwrite(p: Plan) -> DataFrame:
     """A batch-partitioned demand table holding a stale run of batch 1 and batch 2; batch 1 is re-planned
     and replaced, batch 2 stays."""
