@@ -5,8 +5,8 @@ labels must sort ``special < ordinary-* < pure-*`` (upper-case codes sort first)
 minimum of its candidates ("ordinary wins over pure").
 
 Line, hour, rate and ceiling tables are keyed by factory and line: their size is bounded by the plant count, not by
-demand volume.  The joins below carry no broadcast hints; Spark broadcasts them by measured size (AQE) and falls
-back to a shuffle join when a side is large.
+demand volume.  Only the line classification (one row per line) is broadcast explicitly; every other join is left to
+AQE, which broadcasts a side whose finished shuffle stage measured small and keeps the shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -51,7 +51,9 @@ def preferred_line(prod_months: DataFrame, priority: DataFrame, linetypes: DataF
     best = (cand.groupBy("factory_code", "sku_code", "dt").agg(F.min("_c").alias("_c"))
             .select("factory_code", F.col("_c.line_code").alias("line_code"), "sku_code", "dt",
                     F.col("_c.priority").alias("priority")))
-    return best.join(linetypes.select("factory_code", "line_code", "linetype"), ["factory_code", "line_code"])
+    # one row per line: bounded by the plants, broadcast
+    return best.join(F.broadcast(linetypes.select("factory_code", "line_code", "linetype")),
+                     ["factory_code", "line_code"])
 
 
 def sku_line_type(preferred: DataFrame) -> DataFrame:
@@ -88,7 +90,7 @@ def line_rates_month(rates: DataFrame, months: Sequence[_dt.date]) -> DataFrame:
 
 def line_rate_avg(rates_month: DataFrame, linetypes: DataFrame) -> DataFrame:
     """Mean rate per (factory, line, line type, month, rank), six places."""
-    return (rates_month.join(linetypes, ["factory_code", "line_code"])
+    return (rates_month.join(F.broadcast(linetypes), ["factory_code", "line_code"])
             .groupBy("factory_code", "line_code", "linetype", "dt", "linetype_rn")
             .agg(F.avg("production_rate").cast(RATE).alias("avg_rate")))
 

@@ -30,7 +30,9 @@ D = "decimal(38,3)"
 def capacity_with_rank(capacity: DataFrame, linetypes: DataFrame) -> DataFrame:
     """G1: line-type capacity with the rank of its line type (taken from the line classification)."""
     rank = linetypes.select("factory_code", "linetype", F.col("linetype_rn").alias("_rn")).distinct()
-    return (capacity.select("factory_code", "linetype", "dt", "capacity").join(rank, ["factory_code", "linetype"], "left")
+    # one row per (factory, line type): bounded by the plants, broadcast
+    return (capacity.select("factory_code", "linetype", "dt", "capacity")
+            .join(F.broadcast(rank), ["factory_code", "linetype"], "left")
             .select("factory_code", "linetype", "dt", F.col("_rn").alias("linetype_rn"), "capacity"))
 
 
@@ -130,7 +132,8 @@ def rebalance_capacity(cap_todo: DataFrame, ceiling_month: DataFrame, share_pure
     and an ordinary line may also use the capacity its package's pure line left spare (a pure line without to-do
     leaves all of it), drawing on its remaining to-do and the remaining ceiling.
     """
-    rows = (cap_todo.join(ceiling_month, ["factory_code", "dt"], "left")
+    # the ceiling has one row per (factory, plan month): bounded by plants x horizon, broadcast
+    rows = (cap_todo.join(F.broadcast(ceiling_month), ["factory_code", "dt"], "left")
             .select("factory_code",
                     F.struct(F.col("dt"), F.col("linetype_rn").alias("rn"), F.col("linetype"),
                              F.coalesce("line_capacity", F.lit(0)).cast(D).alias("capacity"),
