@@ -3,8 +3,6 @@ from monthplan.functions.months import (  # noqa: F401
     expand_to_months,
     month_date,
     months_literal,
-    next_month,
     plan_months,
-    prev_month,
 )
 from monthplan.functions.quantities import QTY, RATE, as_qty, as_rate, to_edge  # noqa: F401

@@ -20,14 +20,6 @@ def month_date(year: str | Column, month: str | Column) -> Column:
                        F.col(month) if isinstance(month, str) else month, F.lit(1))
 
 
-def next_month(col: str | Column, n: int = 1) -> Column:
-    return F.add_months(F.col(col) if isinstance(col, str) else col, n)
-
-
-def prev_month(col: str | Column, n: int = 1) -> Column:
-    return F.add_months(F.col(col) if isinstance(col, str) else col, -n)
-
-
 def days_in_next_month(col: str | Column) -> Column:
     """Number of days of the month after ``col``'s month."""
     c = F.col(col) if isinstance(col, str) else col

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 QTY = T.DecimalType(18, 3)
 RATE = T.DecimalType(18, 6)
-WIDE = T.DecimalType(38, 3)
 
 
 def as_qty(c: str | Column) -> Column:

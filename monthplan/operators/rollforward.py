@@ -100,12 +100,6 @@ def todo_and_end(pivot: DataFrame) -> DataFrame:
     return with_todo.withColumn("end_stock_qty", end.cast(QTY)).select(*RESULT_COLUMNS)
 
 
-def carry_stock(month_result: DataFrame) -> DataFrame:
-    """B8f: closing stock becomes next month's opening stock."""
-    return month_result.select(*KEY, F.add_months("dt", 1).alias("dt"),
-                               F.col("end_stock_qty").alias("begin_stock_qty"))
-
-
 def month_inputs(demand: DataFrame, producibility: DataFrame, safety: DataFrame, transfers: DataFrame) -> DataFrame:
     """The loop-invariant inputs of every month, one wide row per (key, dt).
 
