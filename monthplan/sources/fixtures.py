@@ -125,14 +125,13 @@ def _shipments(t: Tables) -> DataFrame:
 
 
 def plan_config_raw(t: Tables) -> DataFrame:
-    """Plan months per batch: the ship months of ``lineitem`` inside each batch horizon."""
+    """Plan months per batch: the ship months inside each batch horizon (from the shipment aggregate, so the fact
+    table is scanned once for all fixtures)."""
     lo, hi = _horizon(HORIZON_START, HORIZON_MONTHS)
     dlo, dhi = _horizon(DECOY_START, DECOY_MONTHS)
-    m = F.trunc(F.to_date("l_shipdate"), "month")
-    months = (t.read("lineitem", "l_shipdate")
-              .where(((F.col("l_shipdate") >= F.lit(lo)) & (F.col("l_shipdate") < F.lit(hi)))
-                     | ((F.col("l_shipdate") >= F.lit(dlo)) & (F.col("l_shipdate") < F.lit(dhi))))
-              .select(m.alias("start_date")).distinct())
+    d = F.col("dt")
+    months = (shipments(t).where(((d >= F.lit(lo)) & (d < F.lit(hi))) | ((d >= F.lit(dlo)) & (d < F.lit(dhi))))
+              .select(d.alias("start_date")).distinct())
     is_main = F.col("start_date") < F.lit(hi)
     return months.select(
         F.when(is_main, F.lit(BATCH)).otherwise(F.lit(DECOY_BATCH)).alias("batch_id"),
