@@ -197,7 +197,8 @@ class Plan(PlanInputs):
     @cached_property
     def linetype_capacity(self) -> DataFrame:
         from monthplan.operators import linetypes as lt
-        return lt.linetype_capacity(lt.line_hours_month(self.line_hours, self.months), self.rate_avg)
+        return self.keep("linetype_capacity",
+                         lt.linetype_capacity(lt.line_hours_month(self.line_hours, self.months), self.rate_avg))
 
     @cached_property
     def factory_linetype_todo(self) -> DataFrame:
