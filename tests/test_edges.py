@@ -295,3 +295,74 @@ def test_advance_matches_plain_loop(spark, consume):
     want_moves, want_tomove = reference_advance(rows, months, ["SPECIAL_A"], consume)
     assert got_moves == want_moves
     assert got_tomove == want_tomove
+
+
+def reference_rollforward(months, stock0, demand, prod, routes, safety):
+    """The six roll-forward formulas, month by month, over plain dicts."""
+    def producible(k, m):
+        return any(o == k[0] and s == k[1] and a <= m < b for o, s, a, b in prod)
+
+    unprod = {(k, m): q for (k, m), q in demand.items() if q > 0 and not producible(k, m)}
+    best = {}
+    for rk, sk, m, prio in routes:
+        if (rk, m) in unprod and producible(sk, m):
+            cand = (prio, sk[0], sk[1])
+            if (rk, m) not in best or cand < best[(rk, m)]:
+                best[(rk, m)] = cand
+    stock, out = dict(stock0), {}
+    for m in months:
+        need = {}
+        for (k, mm), (prio, so, ss) in best.items():
+            if mm == m:
+                need[k] = (max(demand[(k, m)] + safety.get((k, m), 0) - stock.get(k, 0), 0), (so, ss))
+        sent = {}
+        for k, (q, sk) in need.items():
+            sent[sk] = sent.get(sk, 0) + q
+        keys = (set(stock) | {k for (k, mm) in demand if mm == m} | {k for (k, mm) in safety if mm == m}
+                | set(need) | set(sent))
+        nxt = {}
+        for k in keys:
+            b, d, s = stock.get(k, 0), demand.get((k, m), 0), safety.get((k, m), 0)
+            p = d if (k, m) in demand and producible(k, m) else 0
+            i, o = need.get(k, (0, None))[0], sent.get(k, 0)
+            todo = 0 if i > 0 else max(d + o + s - b - i, 0)
+            end = max(b + i + todo - d - o, 0)
+            out[(k, m)] = tuple(D(x) for x in (b, d, p, i, o, s, todo, end))
+            nxt[k] = end
+        stock = nxt
+    return out
+
+
+def test_rollforward_matches_plain_loop(spark):
+    rnd = random.Random(3)
+    months = [J, FEB, MAR, APR]
+    after = [J, FEB, MAR, APR, dt.date(2024, 5, 1)]
+    keys = [(f"warehouse.F{o}", f"S{s}") for o in range(6) for s in range(3)]
+    prod = []
+    for k in keys:
+        for _ in range(rnd.choice([0, 1, 1, 2])):
+            a = rnd.randrange(0, 4)
+            prod.append((k[0], k[1], after[a], after[rnd.randrange(a + 1, 5)]))
+    demand = {(k, m): D(rnd.randint(0, 30)) for k in keys for m in months if rnd.random() < 0.7}
+    safety = {(k, m): D(rnd.randint(0, 9)) for k in keys for m in months if rnd.random() < 0.5}
+    stock0 = {k: D(rnd.randint(0, 25)) for k in keys if rnd.random() < 0.6}
+    routes = [(rk, sk, m, rnd.randint(1, 2)) for rk in keys for m in months for sk in rnd.sample(keys, 3)
+              if sk != rk]
+    got = rf.rollforward(
+        months,
+        spark.createDataFrame([(k[0], k[1], q, J) for k, q in stock0.items()], STOCK_T),
+        spark.createDataFrame([(k[0], k[1], m, q) for (k, m), q in demand.items()], DEMAND_T),
+        spark.createDataFrame([("F", "L", s, a, b, o) for o, s, a, b in prod], PROD_T),
+        dm.best_transfer(
+            dm.unproducible_demand(spark.createDataFrame([(k[0], k[1], m, q) for (k, m), q in demand.items()],
+                                                         DEMAND_T),
+                                   spark.createDataFrame([("F", "L", s, a, b, o) for o, s, a, b in prod], PROD_T)),
+            dm.viable_routes(spark.createDataFrame([(rk[1], rk[0], sk[1], sk[0], p, m) for rk, sk, m, p in routes],
+                                                   ROUTE_T),
+                             spark.createDataFrame([("F", "L", s, a, b, o) for o, s, a, b in prod], PROD_T))),
+        spark.createDataFrame([(k[0], k[1], m, q) for (k, m), q in safety.items()], SAFETY_T))
+    rows = {((r.stockorg_code, r.sku_code), r.dt): (r.begin_stock_qty, r.demand_qty, r.production_qty,
+                                                    r.trans_in_qty, r.trans_out_qty, r.safety_stock_qty,
+                                                    r.todo_qty, r.end_stock_qty) for r in got.collect()}
+    want = reference_rollforward(months, stock0, demand, prod, routes, safety)
+    assert rows == want
