@@ -89,15 +89,14 @@ def pivot_quantities(stacked: DataFrame) -> DataFrame:
 
 
 def todo_and_end(pivot: DataFrame) -> DataFrame:
-    """B8e: to-do and closing stock of a month."""
+    """B8e: to-do and closing stock of a month (one projection)."""
     c = F.col
     todo = (F.when(c("trans_in_qty") > 0, F.lit(0))
             .otherwise(F.greatest(c("demand_qty") + c("trans_out_qty") + c("safety_stock_qty")
-                                  - c("begin_stock_qty") - c("trans_in_qty"), F.lit(0))))
-    with_todo = pivot.withColumn("todo_qty", todo.cast(QTY))
-    end = F.greatest(c("begin_stock_qty") + c("trans_in_qty") + c("todo_qty") - c("demand_qty")
-                     - c("trans_out_qty"), F.lit(0))
-    return with_todo.withColumn("end_stock_qty", end.cast(QTY)).select(*RESULT_COLUMNS)
+                                  - c("begin_stock_qty") - c("trans_in_qty"), F.lit(0)))).cast(QTY)
+    end = F.greatest(c("begin_stock_qty") + c("trans_in_qty") + todo - c("demand_qty") - c("trans_out_qty"),
+                     F.lit(0)).cast(QTY)
+    return pivot.select(*RESULT_COLUMNS[:-2], todo.alias("todo_qty"), end.alias("end_stock_qty"))
 
 
 def month_inputs(demand: DataFrame, producibility: DataFrame, safety: DataFrame, transfers: DataFrame) -> DataFrame:
@@ -127,23 +126,21 @@ def month_step_wide(stock: DataFrame, inputs: DataFrame, month: _dt.date) -> Dat
     c = F.col
     j = (stock.select(*KEY, "begin_stock_qty")
          .join(inputs.select(*KEY, "demand_qty", "production_qty", "safety_stock_qty", "transfer"), KEY, "full"))
-    need = F.greatest(c("transfer.demand_qty") + F.coalesce(c("safety_stock_qty"), F.lit(0))
-                      - F.coalesce(c("begin_stock_qty"), F.lit(0)), F.lit(0)).cast(QTY)
-    j = j.withColumn("_need", F.when(c("transfer").isNotNull(), need))
+    need = F.when(c("transfer").isNotNull(),
+                  F.greatest(c("transfer.demand_qty") + F.coalesce(c("safety_stock_qty"), F.lit(0))
+                             - F.coalesce(c("begin_stock_qty"), F.lit(0)), F.lit(0)).cast(QTY))
     nq = F.lit(None).cast(QTY)
     own = F.struct(c("stockorg_code").alias("o"), c("sku_code").alias("s"), c("begin_stock_qty").alias("b"),
-                   c("demand_qty").alias("d"), c("production_qty").alias("p"), c("_need").alias("i"),
+                   c("demand_qty").alias("d"), c("production_qty").alias("p"), need.alias("i"),
                    nq.alias("t"), c("safety_stock_qty").alias("f"))
     out = F.struct(c("transfer.send_stockorg_code").alias("o"), c("transfer.send_sku_code").alias("s"),
-                   nq.alias("b"), nq.alias("d"), nq.alias("p"), nq.alias("i"), c("_need").alias("t"),
-                   nq.alias("f"))
+                   nq.alias("b"), nq.alias("d"), nq.alias("p"), nq.alias("i"), need.alias("t"), nq.alias("f"))
     rows = j.select(F.explode(F.when(c("transfer").isNull(), F.array(own)).otherwise(F.array(own, out)))
                     .alias("r"))
     names = {"b": "begin_stock_qty", "d": "demand_qty", "p": "production_qty", "i": "trans_in_qty",
              "t": "trans_out_qty", "f": "safety_stock_qty"}
-    piv = (rows.groupBy(c("r.o").alias("stockorg_code"), c("r.s").alias("sku_code"))
-           .agg(*[F.coalesce(F.sum(f"r.{k}"), F.lit(0)).cast(QTY).alias(v) for k, v in names.items()])
-           .withColumn("dt", F.lit(month)))
+    piv = (rows.groupBy(c("r.o").alias("stockorg_code"), c("r.s").alias("sku_code"), F.lit(month).alias("dt"))
+           .agg(*[F.coalesce(F.sum(f"r.{k}"), F.lit(0)).cast(QTY).alias(v) for k, v in names.items()]))
     return todo_and_end(piv)
 
 
