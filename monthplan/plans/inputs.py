@@ -203,7 +203,8 @@ class Plan(PlanInputs):
     @cached_property
     def factory_linetype_todo(self) -> DataFrame:
         from monthplan.operators.linetypes import factory_linetype_todo
-        return factory_linetype_todo(self.todo, self.sku_linetype, self.org_snapshot)
+        return self.keep("factory_linetype_todo",
+                         factory_linetype_todo(self.todo, self.sku_linetype, self.org_snapshot))
 
     @cached_property
     def factory_sku_todo(self) -> DataFrame:
