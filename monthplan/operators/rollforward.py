@@ -21,7 +21,6 @@ executors, and lets the next month read only its own partition.
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +30,7 @@ from pyspark.errors import AnalysisException
 
 from monthplan.functions.quantities import QTY
 from monthplan.operators.demand import producible_demand
-from monthplan.session import ensure_checkpoint_dir
+from monthplan.session import scratch_table
 
 KEY = ["stockorg_code", "sku_code"]
 KIND_COLUMNS = {
@@ -46,12 +45,6 @@ RESULT_COLUMNS = ["stockorg_code", "sku_code", "dt", "begin_stock_qty", "demand_
                   "trans_in_qty", "trans_out_qty", "safety_stock_qty", "todo_qty", "end_stock_qty"]
 
 
-def scratch_table(spark: SparkSession, name: str) -> str:
-    """A fresh folder for an intermediate table under the session's (shared) checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/monthplan/{name}-{uuid.uuid4().hex}"
-
-
 def transfer_need(transfers: DataFrame, stock: DataFrame, safety: DataFrame) -> DataFrame:
     """``need = max(demand + safety - begin, 0)`` per best transfer; missing stock / safety count as 0."""
     s = stock.select(*KEY, "dt", "begin_stock_qty")

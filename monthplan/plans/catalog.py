@@ -291,7 +291,7 @@ def read_source(p: Plan) -> DataFrame:
 @query
 def parquet_roundtrip(p: Plan) -> DataFrame:
     """The loaded month demand written as a batch-partitioned parquet table + view, read through the view."""
-    from monthplan.operators.rollforward import scratch_table
+    from monthplan.session import scratch_table
     from monthplan.sources.io import write_parquet_view
 
     path = scratch_table(p.spark, "month_demand")
@@ -302,7 +302,7 @@ def parquet_roundtrip(p: Plan) -> DataFrame:
 @query
 def slice_copy(p: Plan) -> DataFrame:
     """The stock-org dimension rows of the run's snapshot day copied to a day-partitioned target table."""
-    from monthplan.operators.rollforward import scratch_table
+    from monthplan.session import scratch_table
     from monthplan.sources.fixtures import HORIZON_START
     from monthplan.sources.io import copy_slice
 
@@ -315,7 +315,7 @@ def slice_copy(p: Plan) -> DataFrame:
 def batch_overwrite(p: Plan) -> DataFrame:
     """A batch-partitioned demand table holding a stale run of batch 1 and batch 2; batch 1 is re-planned
     and replaced, batch 2 stays."""
-    from monthplan.operators.rollforward import scratch_table
+    from monthplan.session import scratch_table
     from monthplan.sources.io import overwrite_batch
     from monthplan.sources.loaders import load_demand
 

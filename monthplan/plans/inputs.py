@@ -1,7 +1,8 @@
-"""Planning inputs of one batch, loaded from the raw fixtures of a test-data folder.
+"""One batch of the plan over the raw fixtures of a test-data folder.
 
-``PlanInputs`` builds every loaded table lazily (nothing runs until a query acts on it) and memoises the derived
-stage outputs per instance, so a query that needs, say, the roll-forward builds it once.
+``PlanInputs`` holds the loaded tables (A1-A13), ``Plan`` adds the stage outputs; both are lazy properties memoised
+per instance, so a query that needs, say, the roll-forward builds it once.  With ``materialize=True`` the loaded
+tables and the stage outputs read by several later stages are written once (the load step).
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ class PlanInputs:
         self._locks: dict[str, threading.Lock] = {}
         self._kept: dict[str, DataFrame] = {}
         if materialize:
-            from monthplan.operators.rollforward import scratch_table
+            from monthplan.session import scratch_table
             self._folder = scratch_table(spark, "load")
         self.t = fx.Tables(spark, sf_dir, keep=self.keep if materialize else None)
 

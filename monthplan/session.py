@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -38,11 +39,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can reach, and it is used as is.
     Only when nothing is configured (local tests) a fresh folder under the system temp dir is set.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext: the configured folder is all there is
+        if configured:
+            return configured
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running the month loops")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
@@ -51,3 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="monthplan-ckpt-", dir=os.environ.get("TMPDIR"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir() or folder
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A fresh folder for an intermediate table under the session's (shared) checkpoint folder."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/monthplan/{name}-{uuid.uuid4().hex}"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from monthplan.operators.rollforward import scratch_table
+from monthplan.session import scratch_table
 from monthplan.plans.inputs import Plan
 from monthplan.sources.io import copy_slice, overwrite_batch, read_source
 from monthplan.streaming import plan_landed_batches
