@@ -21,6 +21,7 @@ executors, and lets the next month read only its own partition.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -138,7 +139,8 @@ def month_step_wide(stock: DataFrame, inputs: DataFrame, month: _dt.date) -> Dat
 
 
 def rollforward(months: Sequence[_dt.date], stock0: DataFrame, demand: DataFrame, producibility: DataFrame,
-                transfers: DataFrame, safety: DataFrame, table: str | None = None, cut_every: int = 1) -> DataFrame:
+                transfers: DataFrame, safety: DataFrame, table: str | None = None, cut_every: int = 1,
+                layout: str = "month_tables") -> DataFrame:
     """The roll-forward over all plan months (see module doc).
 
     ``stock0`` is the first month's stock (B7), ``transfers`` the best transfers (B3), ``safety`` the safety stock
@@ -147,6 +149,8 @@ def rollforward(months: Sequence[_dt.date], stock0: DataFrame, demand: DataFrame
     ``cut_every`` months the months so far are written to the result table and the state is read back from it, which
     bounds the lineage a lost executor has to recompute.  The result is read from that table.
     """
+    if layout == "bucketed":
+        return rollforward_bucketed(months, stock0, demand, producibility, transfers, safety)
     spark = demand.sparkSession
     path = table or scratch_table(spark, "rollforward")
     inputs_path = path + "-inputs"
@@ -177,6 +181,100 @@ def rollforward(months: Sequence[_dt.date], stock0: DataFrame, demand: DataFrame
     return _read_months(spark, path, schema).select(*RESULT_COLUMNS)
 
 
+ROWS_PER_BUCKET = 1_000_000  # ~100 MB of state per bucket and month
+
+
+def bucket_count(demand: DataFrame) -> int:
+    """Buckets for the month tables, sized by the measured demand rows (an upper bound of the keys per month) and
+    capped by ``spark.sql.shuffle.partitions``: a few buckets for test data, thousands on a cluster."""
+    spark = demand.sparkSession
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cap, math.ceil(demand.count() / ROWS_PER_BUCKET)))
+
+
+def rollforward_bucketed(months: Sequence[_dt.date], stock0: DataFrame, demand: DataFrame, producibility: DataFrame,
+                         transfers: DataFrame, safety: DataFrame, buckets: int | None = None) -> DataFrame:
+    """B8 with the state kept in place: month tables bucketed by (stock org, SKU).
+
+    Every key that ever appears (opening stock, any month's inputs, any sender) is carried every month with a
+    ``seen`` flag.  The state and the month inputs are bucketed tables with the same bucket count, so the month join
+    is a left join of co-located buckets (no exchange), the receivers' needs are the only rows shuffled (to their
+    senders, pre-aggregated), and the next state is written back into the same buckets.  Rows of keys not yet seen
+    and without activity are carried but not reported, so the result equals ``rollforward``.
+    """
+    import uuid
+
+    spark = demand.sparkSession
+    n = buckets or bucket_count(demand)
+    tag = uuid.uuid4().hex
+    names = {k: f"monthplan_rf_{tag}_{k}" for k in ("inputs", "state0", "months")}
+    paths = {k: scratch_table(spark, k) for k in names}
+
+    def save(df: DataFrame, name: str, partition: bool) -> None:
+        # one task per bucket (the bucket hash is the shuffle hash), so each bucket is one sorted file
+        w = (df.repartition(n, *KEY).write.mode("overwrite").option("path", paths[name])
+             .bucketBy(n, *KEY).sortBy(*KEY))
+        (w.partitionBy("dt") if partition else w).saveAsTable(names[name])
+
+    inputs = month_inputs(demand, producibility, safety, transfers)
+    save(inputs, "inputs", True)
+    inp_all = spark.table(names["inputs"])
+    senders = inp_all.where(F.col("transfer").isNotNull()).select(
+        F.col("transfer.send_stockorg_code").alias("stockorg_code"), F.col("transfer.send_sku_code").alias("sku_code"))
+    universe = (stock0.select(*KEY).unionByName(inp_all.select(*KEY)).unionByName(senders).distinct())
+    s0 = stock0.groupBy(*KEY).agg(F.sum("begin_stock_qty").cast(QTY).alias("end_stock_qty"))
+    save(universe.join(s0, KEY, "left").select(
+        *KEY, F.coalesce("end_stock_qty", F.lit(0)).cast(QTY).alias("end_stock_qty"),
+        F.col("end_stock_qty").isNotNull().alias("active")), "state0", False)
+
+    c = F.col
+    created = False
+    for idx, m in enumerate(months):
+        prev = (spark.table(names["state0"]) if idx == 0
+                else spark.table(names["months"]).where(c("dt") == F.lit(months[idx - 1])))
+        st = prev.select(*KEY, c("end_stock_qty").alias("b"), c("active").alias("seen"))
+        inp = spark.table(names["inputs"]).where(c("dt") == F.lit(m)).select(
+            *KEY, "demand_qty", "production_qty", "safety_stock_qty", "transfer")
+        j = st.join(inp, KEY, "left").withColumn(
+            "i", F.when(c("transfer").isNotNull(),
+                        F.greatest(c("transfer.demand_qty") + F.coalesce(c("safety_stock_qty"), F.lit(0)) - c("b"),
+                                   F.lit(0)).cast(QTY)))
+        outs = (j.where(c("transfer").isNotNull())
+                .groupBy(c("transfer.send_stockorg_code").alias("stockorg_code"),
+                         c("transfer.send_sku_code").alias("sku_code"))
+                .agg(F.sum("i").cast(QTY).alias("t")))
+        k = j.join(outs, KEY, "left")
+        active = (c("seen") | c("demand_qty").isNotNull() | c("production_qty").isNotNull()
+                  | c("safety_stock_qty").isNotNull() | c("transfer").isNotNull() | c("t").isNotNull())
+        z = F.lit(0)
+        piv = k.select(*KEY, c("b").alias("begin_stock_qty"),
+                       F.coalesce("demand_qty", z).cast(QTY).alias("demand_qty"),
+                       F.coalesce("production_qty", z).cast(QTY).alias("production_qty"),
+                       F.coalesce("i", z).cast(QTY).alias("trans_in_qty"),
+                       F.coalesce("t", z).cast(QTY).alias("trans_out_qty"),
+                       F.coalesce("safety_stock_qty", z).cast(QTY).alias("safety_stock_qty"),
+                       F.lit(m).alias("dt"), active.alias("active"))
+        todo = (F.when(c("trans_in_qty") > 0, F.lit(0))
+                .otherwise(F.greatest(c("demand_qty") + c("trans_out_qty") + c("safety_stock_qty")
+                                      - c("begin_stock_qty") - c("trans_in_qty"), F.lit(0)))).cast(QTY)
+        end = F.greatest(c("begin_stock_qty") + c("trans_in_qty") + todo - c("demand_qty") - c("trans_out_qty"),
+                         F.lit(0)).cast(QTY)
+        row = piv.select(*KEY, "begin_stock_qty", "demand_qty", "production_qty", "trans_in_qty", "trans_out_qty",
+                         "safety_stock_qty", todo.alias("todo_qty"), end.alias("end_stock_qty"), "active", "dt")
+        if not created:
+            (row.write.mode("overwrite").option("path", paths["months"]).partitionBy("dt")
+             .bucketBy(n, *KEY).sortBy(*KEY).saveAsTable(names["months"]))
+            created = True
+        else:
+            row.write.mode("append").partitionBy("dt").bucketBy(n, *KEY).sortBy(*KEY).saveAsTable(names["months"])
+    # the helper tables are external: dropping the catalog entries keeps the files and leaves no trace in a metastore
+    for name in names.values():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if not created:
+        return spark.createDataFrame([], todo_and_end_schema(spark))
+    return spark.read.parquet(paths["months"]).where(c("active")).select(*RESULT_COLUMNS)
+
+
 def _read_month(spark: SparkSession, path: str, month: _dt.date, schema) -> DataFrame:
     """One ``dt`` partition of a month table, read by its folder with a known schema (no listing of the table,
     no footer inference); a month with no rows reads as empty."""

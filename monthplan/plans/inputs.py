@@ -28,13 +28,15 @@ class PlanInputs:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, batch_id: int = fx.BATCH, rate_end: str = "start",
-                 special_lines: tuple[str, ...] = fx.SPECIAL_LINES, materialize: bool = False):
+                 special_lines: tuple[str, ...] = fx.SPECIAL_LINES, materialize: bool = False,
+                 layout: str = "bucketed"):
         self.spark = spark
         self.sf_dir = sf_dir
         self.batch_id = batch_id
         self.rate_end = rate_end
         self.special_lines = special_lines
         self.materialize = materialize
+        self.layout = layout  # roll-forward state layout: "bucketed" (state stays in place) or "month_tables"
         self._folder: str | None = None
         self._guard = threading.Lock()
         self._locks: dict[str, threading.Lock] = {}
@@ -171,7 +173,7 @@ class Plan(PlanInputs):
         self.months
         self.build(["best_transfer", "safety", "stock0"])
         return rollforward(self.months, self.stock0, self.demand, self.producibility, self.best_transfer,
-                           self.safety)
+                           self.safety, layout=self.layout)
 
     # stage B2 (line types)
     @cached_property

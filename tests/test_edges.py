@@ -53,7 +53,8 @@ def test_best_transfer_breaks_priority_ties_by_sender(spark):
     assert [(r.send_stockorg_code, r.priority) for r in best] == [("warehouse.FA", 1)]
 
 
-def test_rollforward_with_role_switch(spark):
+@pytest.mark.parametrize("layout", ["month_tables", "bucketed"])
+def test_rollforward_with_role_switch(spark, layout):
     # R receives from B in January; in February R can produce and B cannot, so B receives from R.
     prod = spark.createDataFrame([("FB", "L", "S1", J, FEB, "warehouse.FB"), ("FR", "L", "S1", FEB, MAR, "warehouse.FR")],
                                  PROD_T)
@@ -64,7 +65,7 @@ def test_rollforward_with_role_switch(spark):
     stock0 = spark.createDataFrame([("warehouse.FR", "S1", D(4), J), ("warehouse.FB", "S1", D(0), J)], STOCK_T)
     safety = spark.createDataFrame([], SAFETY_T)
     best = dm.best_transfer(dm.unproducible_demand(demand, prod), dm.viable_routes(routes, prod))
-    out = rf.rollforward([J, FEB], stock0, demand, prod, best, safety)
+    out = rf.rollforward([J, FEB], stock0, demand, prod, best, safety, layout=layout)
     got = {(r.stockorg_code, r.dt): (r.begin_stock_qty, r.demand_qty, r.production_qty, r.trans_in_qty,
                                      r.trans_out_qty, r.todo_qty, r.end_stock_qty) for r in out.collect()}
     assert got == {
@@ -333,7 +334,8 @@ def reference_rollforward(months, stock0, demand, prod, routes, safety):
     return out
 
 
-def test_rollforward_matches_plain_loop(spark):
+@pytest.mark.parametrize("layout", ["month_tables", "bucketed"])
+def test_rollforward_matches_plain_loop(spark, layout):
     rnd = random.Random(3)
     months = [J, FEB, MAR, APR]
     after = [J, FEB, MAR, APR, dt.date(2024, 5, 1)]
@@ -360,7 +362,7 @@ def test_rollforward_matches_plain_loop(spark):
             dm.viable_routes(spark.createDataFrame([(rk[1], rk[0], sk[1], sk[0], p, m) for rk, sk, m, p in routes],
                                                    ROUTE_T),
                              spark.createDataFrame([("F", "L", s, a, b, o) for o, s, a, b in prod], PROD_T))),
-        spark.createDataFrame([(k[0], k[1], m, q) for (k, m), q in safety.items()], SAFETY_T))
+        spark.createDataFrame([(k[0], k[1], m, q) for (k, m), q in safety.items()], SAFETY_T), layout=layout)
     rows = {((r.stockorg_code, r.sku_code), r.dt): (r.begin_stock_qty, r.demand_qty, r.production_qty,
                                                     r.trans_in_qty, r.trans_out_qty, r.safety_stock_qty,
                                                     r.todo_qty, r.end_stock_qty) for r in got.collect()}
