@@ -140,7 +140,7 @@ def month_step_wide(stock: DataFrame, inputs: DataFrame, month: _dt.date) -> Dat
 
 def rollforward(months: Sequence[_dt.date], stock0: DataFrame, demand: DataFrame, producibility: DataFrame,
                 transfers: DataFrame, safety: DataFrame, table: str | None = None, cut_every: int = 1,
-                layout: str = "month_tables") -> DataFrame:
+                layout: str = "auto") -> DataFrame:
     """The roll-forward over all plan months (see module doc).
 
     ``stock0`` is the first month's stock (B7), ``transfers`` the best transfers (B3), ``safety`` the safety stock
@@ -149,6 +149,12 @@ def rollforward(months: Sequence[_dt.date], stock0: DataFrame, demand: DataFrame
     ``cut_every`` months the months so far are written to the result table and the state is read back from it, which
     bounds the lineage a lost executor has to recompute.  The result is read from that table.
     """
+    if layout == "auto":
+        # like broadcast-or-shuffle: a state that fits one bucket gains nothing from co-location
+        n = bucket_count(demand)
+        layout = "bucketed" if n > 1 else "month_tables"
+        if layout == "bucketed":
+            return rollforward_bucketed(months, stock0, demand, producibility, transfers, safety, buckets=n)
     if layout == "bucketed":
         return rollforward_bucketed(months, stock0, demand, producibility, transfers, safety)
     spark = demand.sparkSession

@@ -29,14 +29,15 @@ class PlanInputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str, batch_id: int = fx.BATCH, rate_end: str = "start",
                  special_lines: tuple[str, ...] = fx.SPECIAL_LINES, materialize: bool = False,
-                 layout: str = "bucketed"):
+                 layout: str = "auto"):
         self.spark = spark
         self.sf_dir = sf_dir
         self.batch_id = batch_id
         self.rate_end = rate_end
         self.special_lines = special_lines
         self.materialize = materialize
-        self.layout = layout  # roll-forward state layout: "bucketed" (state stays in place) or "month_tables"
+        # roll-forward state layout: "bucketed" (state stays in its buckets), "month_tables", or "auto" (by measured size)
+        self.layout = layout
         self._folder: str | None = None
         self._guard = threading.Lock()
         self._locks: dict[str, threading.Lock] = {}
