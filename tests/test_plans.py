@@ -28,7 +28,8 @@ def test_no_forbidden_operators(spark, name):
 
 def test_loaders_push_batch_filter_and_prune_columns(spark):
     p = Plan(spark, SMALL, materialize=True)
-    plan = executed(p.best_transfer.sparkSession.read.parquet(f"{p._folder}/demand")
+    p.demand  # written by the load step
+    plan = executed(spark.read.parquet(f"{p._folder}/demand")
                     .where("dt = DATE'1997-02-01'").select("stockorg_code", "demand_qty"))
     assert "EqualTo(dt,1997-02-01)" in plan
     assert "ReadSchema: struct<stockorg_code:string,dt:date,demand_qty:decimal(18,3)>" in plan
