@@ -26,7 +26,8 @@ from monthplan.session import local_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="monthplan-bench")
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="monthplan-bench",
+                          event_log_dir=os.environ.get("BENCH_EVENT_LOG"))  # stage/task times, no web UI
 
     # warm-up on the smallest data so JVM start-up and code generation are not charged to the first stage
     warm = Plan(spark, "/root/testdata/sf0.001", materialize=True)
