@@ -108,22 +108,34 @@ CEIL_T = T.StructType([T.StructField("factory_code", T.StringType()), T.StructFi
                        T.StructField("factory_capacity", Q)])
 
 
-def reference_rebalance(rows, ceilings):
-    """Row-by-row loop: factories, months newest first, lines by rank descending (ties by line type)."""
+def reference_rebalance(rows, ceilings, share_pure=False):
+    """Row-by-row loop: factories, months newest first, lines by rank descending (ties by line type).
+
+    With ``share_pure`` pure lines of a rank go first and an ordinary line may also use the capacity its package's
+    pure line left spare."""
     todo = {(f, lt, m): t for f, lt, m, rn, cap, t in rows}
     out = {}
     months = sorted({r[2] for r in rows}, reverse=True)
+    fam = (lambda lt: 0 if lt.startswith("pure-") else 1) if share_pure else (lambda lt: 0)
     for f in sorted({r[0] for r in rows}):
         for m in months:
             left = ceilings.get((f, m), Decimal(0))
-            lines = sorted((r for r in rows if r[0] == f and r[2] == m), key=lambda r: (-r[3], r[1]))
+            spare = {}
+            lines = sorted((r for r in rows if r[0] == f and r[2] == m), key=lambda r: (-r[3], fam(r[1]), r[1]))
             for _, lt, _, _, cap, _ in lines:
                 t = todo[(f, lt, m)]
+                cap = cap if cap is not None else Decimal(0)
                 if not t:
+                    if share_pure and lt.startswith("pure-"):
+                        spare[lt[5:]] = cap
                     continue
-                cap = cap if cap is not None else Decimal(0)
-                assigned = min(cap, left, t)
+                share = spare.get(lt[9:], Decimal(0)) if share_pure and lt.startswith("ordinary-") else Decimal(0)
+                assigned = min(cap + share, left, t)
                 left -= assigned
+                if share_pure and lt.startswith("pure-"):
+                    spare[lt[5:]] = cap - assigned
+                if share > 0:
+                    spare[lt[9:]] = share - max(assigned - cap, Decimal(0))
                 out[(f, lt, m)] = (cap, assigned)
                 rest = t - assigned
                 prev = (f, lt, dt.date(m.year - (m.month == 1), (m.month - 2) % 12 + 1, 1))
@@ -132,26 +144,33 @@ def reference_rebalance(rows, ceilings):
     return out
 
 
-def test_rebalance_matches_row_by_row_loop(spark):
+@pytest.mark.parametrize("share_pure", [False, True])
+def test_rebalance_matches_row_by_row_loop(spark, share_pure):
     rnd = random.Random(7)
     months = [J, FEB, MAR, APR]
     rows, ceilings = [], {}
     for f in ("F1", "F2", "F3", "F4", "F5", "F6"):
-        for lt, rn in (("SPECIAL_X", 1), ("ordinary-can", 2), ("pure-can", 2), ("pure-bottle", 2), ("odd", 0)):
+        for lt, rn in (("SPECIAL_X", 1), ("ordinary-can", 2), ("pure-can", 2), ("pure-bottle", 2),
+                       ("ordinary-bottle", 2), ("odd", 0)):
             for m in months:
                 if rnd.random() < 0.15:
                     continue  # missing month row: carried to-do is lost
                 t = rnd.choice([None, D(0), D(rnd.randint(1, 90)), D(rnd.randint(1, 30))])
                 cap = rnd.choice([None, D(rnd.randint(0, 50))])
+                if share_pure and lt.startswith("ordinary-"):  # short ordinary lines next to idle pure ones
+                    t, cap = D(rnd.randint(30, 90)), D(rnd.randint(5, 40))
+                elif share_pure and lt.startswith("pure-"):
+                    t, cap = rnd.choice([None, D(0), D(rnd.randint(1, 20))]), D(rnd.randint(10, 50))
                 rows.append((f, lt, m, rn, cap, t))
         for m in months:
             if rnd.random() < 0.8:
-                ceilings[(f, m)] = D(rnd.randint(0, 120))
+                # roomier ceilings for the spare-pure case, so ordinary lines actually borrow
+                ceilings[(f, m)] = D(rnd.randint(0, 400 if share_pure else 120))
     cap_todo = spark.createDataFrame(rows, CAP_T)
     ceil = spark.createDataFrame([(f, m, c) for (f, m), c in ceilings.items()], CEIL_T)
     got = {(r.factory_code, r.linetype, r.dt): (r.capacity, r.assigned_capacity)
-           for r in rb.rebalance_capacity(cap_todo, ceil).collect()}
-    assert got == reference_rebalance(rows, ceilings)
+           for r in rb.rebalance_capacity(cap_todo, ceil, share_pure=share_pure).collect()}
+    assert got == reference_rebalance(rows, ceilings, share_pure)
     # the ceiling is never exceeded
     per_month = {}
     for (f, _, m), (_, a) in got.items():
