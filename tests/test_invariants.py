@@ -74,3 +74,23 @@ def test_month_loop_plan_stays_small(plan):
     # the roll-forward result is read from its written table: no join / aggregate left in its plan
     text = plan.todo._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in text and "HashAggregate" not in text
+
+
+def test_results_have_the_declared_schemas(plan):
+    from monthplan.operators import advance as adv
+    from monthplan.operators.linetypes import warehouse_linetype_todo
+    from monthplan.plans import schemas as sc
+
+    st = plan.advance_state()
+    checks = [
+        (plan.todo, sc.ROLLFORWARD),
+        (plan.sku_linetype, sc.SKU_LINETYPE),
+        (warehouse_linetype_todo(plan.todo, plan.sku_linetype), sc.WAREHOUSE_LINETYPE_TODO),
+        (plan.factory_linetype_todo, sc.FACTORY_LINETYPE_TODO),
+        (plan.factory_sku_todo, sc.FACTORY_SKU_TODO),
+        (plan.rebalanced, sc.ASSIGNED_CAPACITY),
+        (adv.advance_production(st, 1), sc.MOVES),
+        (adv.advance_tomove_month(st, 1), sc.MONTH_TO_MOVE),
+    ]
+    for df, schema in checks:
+        assert sc.shape(df.schema) == sc.shape(schema)
