@@ -7,8 +7,12 @@ from monthplan.plans.inputs import Plan
 from monthplan.sources.io import copy_slice, overwrite_batch, read_source
 from monthplan.streaming import plan_landed_batches
 
+import datetime as _dt
+
 from conftest import SMALL
 
+J_DATE = _dt.date(1997, 1, 1)
+
 
 def test_read_source_pushes_filter_and_columns(spark):
     df = read_source(spark, "parquet", path=f"{SMALL}/lineitem.parquet", columns=["l_partkey", "l_quantity"],
@@ -47,3 +51,23 @@ def test_landing_trigger_plans_each_batch_once(spark):
     q = plan_landed_batches(spark, landing, raw.schema, seen.append, checkpoint=landing + "-ckpt")
     q.awaitTermination(120)
     assert seen == [1, 2]
+
+
+def test_write_results_replaces_only_its_batch(spark):
+    from monthplan.plans.results import result_tables, write_results
+
+    plan = Plan(spark, SMALL, materialize=True)
+    out = scratch_table(spark, "t_results")
+    paths = write_results(plan, out)
+    write_results(plan, out)  # a re-run of the batch replaces it
+    other = spark.createDataFrame([(2, "F99", "x", J_DATE, 1.0, 2.0)],
+                                  "batch_id int, factory_code string, linetype string, dt date, qty_surplus double, "
+                                  "qty_shortage double")
+    from monthplan.sources.io import overwrite_batch
+
+    overwrite_batch(other, paths["capacity_gap"])  # another batch lands in the same table
+    expected = {name: df.count() for name, df in result_tables(plan).items()}
+    for name, path in paths.items():
+        got = spark.read.parquet(path)
+        assert got.where("batch_id = 1").count() == expected[name], name
+    assert spark.read.parquet(paths["capacity_gap"]).where("batch_id = 2").count() == 1
