@@ -5,25 +5,26 @@ import pytest
 import __spark_entry__ as entry_mod
 from monthplan.plans.compare import compare, duck
 
-from conftest import SMALL
+from conftest import MEDIUM, SMALL
 
 QUERIES = entry_mod.queries()
 ORACLE = entry_mod.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def con():
-    return duck(SMALL)
+def cons():
+    return {SMALL: duck(SMALL), MEDIUM: duck(MEDIUM)}
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+@pytest.mark.parametrize("sf_dir", [SMALL, MEDIUM])  # sf0.01 is the driver's gate
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_oracle(spark, con, name):
-    got = QUERIES[name](spark, SMALL).toPandas()
-    want = con.execute(ORACLE[name]).df()
+def test_query_matches_oracle(spark, cons, name, sf_dir):
+    got = QUERIES[name](spark, sf_dir).toPandas()
+    want = cons[sf_dir].execute(ORACLE[name]).df()
     r = compare(got, want)
     assert r["columns_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
