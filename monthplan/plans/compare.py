@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 import duckdb
@@ -19,14 +20,19 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    """One comparable value: NULL/NaN -> None, midnight timestamps -> their date, floats to 9 places."""
+    if v is None or (isinstance(v, float) and math.isnan(v)) or v is pd.NaT:
         return None
-    if hasattr(v, "isoformat") and not isinstance(v, str):
-        return str(v)[:10] if len(str(v)) >= 10 and str(v)[10:].strip(" 0:") == "" else str(v)
+    if isinstance(v, pd.Timestamp):
+        v = v.to_pydatetime()
+    if isinstance(v, dt.datetime):
+        return v.date().isoformat() if v.time() == dt.time(0) else v.isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if hasattr(v, "item"):  # numpy scalars
+        return _norm(v.item())
     if isinstance(v, float):
         return round(v, 9)
-    if hasattr(v, "item"):
-        return _norm(v.item())
     return v
 
 
