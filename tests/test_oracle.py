@@ -3,12 +3,14 @@
 import pytest
 
 import __spark_entry__ as entry_mod
+from monthplan.plans import catalog
 from monthplan.plans.compare import compare, duck
+from monthplan.plans.oracle import oracle_sql
 
 from conftest import MEDIUM, SMALL
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLE = oracle_sql()
 
 
 @pytest.fixture(scope="module")
