@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, packing, secret_scan, url_filter
+from . import byte_bpe, circulant_minhash, packing, pivot_dedup, radix_dedup, secret_scan, url_filter, vp_search
 
 QUERIES = {
+    "op1_pivot_dedup": pivot_dedup.op1_pivot_dedup,
     "op4_packing": packing.op4_packing,
+    "op5_circulant_minhash": circulant_minhash.op5_circulant_minhash,
     "op6_secret_scan": secret_scan.op6_secret_scan,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_url_filter": url_filter.op8_url_filter,
+    "op9_radix_dedup": radix_dedup.op9_radix_dedup,
+    "op10_vp_search": vp_search.op10_vp_search,
 }
 
 ORACLE_SQL = {
+    "op1_pivot_dedup": pivot_dedup.ORACLE,
+    "op5_circulant_minhash": circulant_minhash.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
+    "op10_vp_search": vp_search.ORACLE,
 }

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthplan.session import ensure_checkpoint_dir
+from monthplan.session import ensure_checkpoint_dir, scratch_table
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -64,3 +64,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Written to the shared checkpoint folder, so a lost executor can't take it along."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same through a parquet table in the shared checkpoint folder: smaller than a checkpoint of rows."""
+    path = scratch_table(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
