@@ -65,13 +65,14 @@ class TokenizerEncoder:
         out: list[bytes | None] = [None] * len(tokens)
         if self._line is not None:
             words = [i for i, t in enumerate(tokens) if not t[-1:].isspace() and "\n" not in t]
-            for at in range(0, len(words), 2000):
-                some = words[at:at + 2000]
-                ids = np.array(self._tokenizer.encode("\n".join(tokens[i] for i in some), add_special_tokens=False).ids, "<u4")
+            parts = [words[at:at + 2000] for at in range(0, len(words), 2000)]
+            joined = ["\n".join([tokens[i] for i in part]) for part in parts]
+            for part, found in zip(parts, self._tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+                ids = np.array(found.ids, "<u4")
                 ends = np.flatnonzero(ids == self._line)
-                if len(ends) == len(some) - 1:
+                if len(ends) == len(part) - 1:
                     raw, begin = ids.tobytes(), 0
-                    for i, end in zip(some, [*ends.tolist(), len(ids)], strict=True):
+                    for i, end in zip(part, [*ends.tolist(), len(ids)], strict=True):
                         out[i], begin = raw[4 * begin:4 * end], end + 1
         return [self._one(t) if o is None else o for t, o in zip(tokens, out, strict=True)]
 
