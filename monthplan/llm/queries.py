@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, circulant_minhash, packing, pivot_dedup, radix_dedup, secret_scan, toxicity, url_filter, vp_search
+from . import byte_bpe, circulant_minhash, html_extract, packing, pivot_dedup, radix_dedup, secret_scan, toxicity, url_filter, vp_search
 
 QUERIES = {
     "op1_pivot_dedup": pivot_dedup.op1_pivot_dedup,
+    "op2_html_extract": html_extract.op2_html_extract,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_packing": packing.op4_packing,
     "op5_circulant_minhash": circulant_minhash.op5_circulant_minhash,

@@ -18,7 +18,7 @@ ranges of a document, bounded by its length, meet its text in one join that the
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .radix_core import Rolling, anchors
-from .tables import read_table, ship_package, stored, text_pieces
+from .tables import carried_schema, read_table, ship_package, stored, text_pieces
 
 SIZE = 100
 GRAM = 36
@@ -264,8 +264,8 @@ def repeated(size: int):
     return run
 
 
-def cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
-    """(doc, text, ranges) -> the digest row of each document, and what is left of it."""
+def cut(batches: Iterator[pa.RecordBatch], with_text: bool, carry: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """(doc, text, ranges, carried) -> the digest row of each document, what is left of it, and the carried columns."""
     for piece in text_pieces(batches):
         rows = []
         for doc, text, ranges in zip(*(piece.column(i).to_pylist() for i in range(3)), strict=True):
@@ -281,13 +281,15 @@ def cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.Recor
             rows.append((None if doc == NO_ID else doc, len(raw), len(raw) - len(rest), len(lo),
                          hashlib.sha256(rest).hexdigest(), rest if with_text else None))
         types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                                         names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        found = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+        yield pa.RecordBatch.from_arrays([*found, *piece.columns[3:]],
+                                         names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *carry])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, gram: int = GRAM,
-                   with_text: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and (if ``with_text``) kept: one row for each row of ``docs``.
+                   with_text: bool = True, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and (if ``with_text``) kept: one row for each row of ``docs``,
+    with the columns to carry along.
 
     Bytes of the UTF-8 texts that lie in a ``size``-byte string which also starts earlier (smaller id, or the same
     document further left) are removed, as judged on the input. Null text counts as empty; null ids come before all
@@ -299,13 +301,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     ship_package(spark)
     texts = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("doc"),
-                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
+                        *[F.col(f"`{c}`") for c in carry])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def sorted_by(df: DataFrame, key: str, *order: str) -> DataFrame:
         return df.repartition(parts, key).sortWithinPartitions(key, *order)
 
-    runs = texts.mapInArrow(first_digit(size, gram), _RUNS)
+    runs = texts.select("doc", "text").mapInArrow(first_digit(size, gram), _RUNS)
     places = stored(sorted_by(runs, "first", "second", "doc", "place").mapInArrow(settle_first, _PLACES), "radix-first")
     opens = places.where("off >= 0").groupBy("doc").agg(F.collect_list(F.struct("lo", "stop", "off")).alias("places"))
     halves = texts.join(opens, "doc", "left").select("doc", "text", "places").mapInArrow(
@@ -314,9 +317,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     late = sorted_by(late, "w1", "w2", "doc", "lo").mapInArrow(repeated(size), _PLACES)
     ranges = places.where("off < 0").unionByName(late).groupBy("doc").agg(
         F.collect_list(F.struct("lo", "stop")).alias("places"))
-    out = texts.join(ranges, "doc", "left").select("doc", "text", "places").mapInArrow(
-        lambda batches: cut(batches, with_text),
-        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = texts.join(ranges, "doc", "left").select("doc", "text", "places", *carry).mapInArrow(
+        lambda batches: cut(batches, with_text, carry),
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary" + carried_schema(docs, carry))
     return out if with_text else out.drop("kept")
 
 

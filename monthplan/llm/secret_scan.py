@@ -17,12 +17,12 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .tables import id_text, read_table, text_pieces
+from .tables import carried_schema, id_text, read_table, text_pieces
 
 #: The base patterns, their kinds in order, and the least length (of group 2 for assign).
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -168,8 +168,10 @@ SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 st
           " masked string")
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", masked: bool = True) -> DataFrame:
-    """One row a document: counts of base findings, their digest, all spans, confirmed count, the masked text.
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", masked: bool = True,
+                 carry: Sequence[str] = ()) -> DataFrame:
+    """One row a document: counts of base findings, their digest, all spans, confirmed count, the masked text, and the
+    columns to carry along.
 
     Null text counts as empty (no findings, the digest of the empty string); null ids, repeated rows and very long
     texts are handled row by row; offsets are code points, ends exclusive. ``masked`` is null if not asked for.
@@ -184,10 +186,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 counts = [sum(k == i for _, k, _ in base) for i in range(3)]
                 rows.append((doc_id, *counts, hashlib.sha256(written(base).encode()).hexdigest(), written(every),
                              len(more), mask(text, every) if masked else None))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), TYPES, strict=True)],
-                                             names=NAMES)
+            found = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), TYPES, strict=True)]
+            yield pa.RecordBatch.from_arrays([*found, *piece.columns[2:]], names=[*NAMES, *carry])
 
-    return id_text(docs, id_col, text_col).mapInArrow(scan, SCHEMA)
+    return id_text(docs, id_col, text_col, carry).mapInArrow(scan, SCHEMA + carried_schema(docs, carry))
 
 
 NAMES = [c.split()[0] for c in SCHEMA.split(", ")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -41,10 +41,15 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
-def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id long, text string), a null text read as the empty text."""
+def id_text(df: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id long, text string), a null text read as the empty text, then the columns to carry along."""
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                     F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+                     F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), *[F.col(f"`{c}`") for c in carry])
+
+
+def carried_schema(df: DataFrame, carry: Sequence[str]) -> str:
+    """The carried columns' part of a schema, after what an operator adds."""
+    return "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in carry)
 
 
 def text_pieces(batches: Iterator[pa.RecordBatch], column: str = "text",

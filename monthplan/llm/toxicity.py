@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import id_text, read_table, ship_package, text_pieces
+from .tables import carried_schema, id_text, read_table, ship_package, text_pieces
 from .toxicity_model import Network, train
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000  # labelled documents a model is fitted on, at most, by the order of a hash
@@ -47,8 +47,9 @@ def fit(texts: DataFrame, labels: DataFrame) -> bytes:
     return bytes(found[0]["model"]) if found else train([], np.zeros(0), 0.0).dump()
 
 
-def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score, predicted: one row for each row of ``docs``.
+def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text",
+          carry: Sequence[str] | None = None) -> DataFrame:
+    """doc_id, score, predicted: one row for each row of ``docs``; with ``carry`` also text and those columns.
 
     All overlapping windows of the whole text are scored and the highest decides. Null, empty and wordless texts get
     the score of no evidence; null ids and repeated rows pass through.
@@ -60,10 +61,14 @@ def score(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str =
         net = Network.load(shared.value)
         for piece in text_pieces(batches):
             s = net.scores(piece.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(s, pa.float64()),
-                                              pa.array(s >= CUT).cast(pa.int32())], names=["doc_id", "score", "predicted"])
-
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double, predicted int")
+            columns = [piece.column(0), pa.array(s, pa.float64()), pa.array(s >= CUT).cast(pa.int32()), *piece.columns[1:]]
+            yield pa.RecordBatch.from_arrays(columns[:len(names)], names=names)
+
+    names = ["doc_id", "score", "predicted"] + (["text", *carry] if carry is not None else [])
+    schema = "doc_id long, score double, predicted int"
+    if carry is not None:
+        schema += ", text string" + carried_schema(docs, carry)
+    return id_text(docs, id_col, text_col, carry or ()).mapInArrow(run, schema)
 
 
 def learnable(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
