@@ -6,9 +6,10 @@ Coordinates are banded; documents that share a band are candidates, and a candid
 Jaccard similarity of its full sets reaches the threshold.
 
 Documents of equal sets are one class and go through the search once. In each band bucket every class is first held
-against the bucket's smallest; the components of what that links then leave, as further candidates, only pairs of
-one bucket in different components. All of those are verified too, so the links that decide components are whole,
-while a large group of near copies costs about one comparison a member and bucket instead of all its pairs.
+against the bucket's smallest, which connects most of a group of near copies at about one comparison a member and
+bucket. What candidates leave unconnected is gathered into clusters (components of the candidate pairs whose ends are
+still apart); in those all pairs of different components are compared, block by block, by one product of shingle
+incidences a block pair, which emits a forest of links and never the pairs.
 """
 
 from __future__ import annotations
@@ -16,18 +17,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import connected_components
+from .components import connected_components, forest
 from .shingles import mix64, shingle_sets
 from .tables import checkpointed, id_text, read_table, ship_package, text_pieces
 
 BANDS, ROWS = 24, 7  # a pair at 0.85 shares no band with a probability of 1e-4
 WIDTH = 5
 PERCENT = 85
+BLOCK_ROWS = 256  # sets of a block in a cluster's comparison
 _CHUNK = 1024
 
 
@@ -97,6 +100,69 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b").distinct()
 
 
+def cluster_links(candidates: DataFrame, placed: DataFrame, texts: DataFrame, width: int, percent: int,
+                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Links (a, b) that connect what is still apart: over all pairs of different components in a cluster.
+
+    ``candidates`` (rep, hub) share a bucket, ``placed`` (id, component_id) are the components so far. A cluster is cut
+    into blocks by a hash, every pair of its blocks is a group of its own, and a group gives a forest of its links.
+    """
+    def labelled(column: str, name: str) -> DataFrame:
+        return placed.select(F.col("id").alias(column), F.col("component_id").alias(name))
+
+    ends = candidates.join(labelled("rep", "c"), "rep", "left").join(labelled("hub", "h"), "hub", "left").select(
+        "rep", "hub", F.coalesce("c", "rep").alias("c"), F.coalesce("h", "hub").alias("h"))
+    ends = checkpointed(ends)
+    clusters = connected_components(ends.where("c <> h").select(F.col("c").alias("a"), F.col("h").alias("b")))
+    rows = ends.select(F.explode(F.array(F.struct(F.col("rep").alias("doc"), F.col("c").alias("component")),
+                                         F.struct(F.col("hub").alias("doc"), F.col("h").alias("component")))).alias("r"))
+    rows = rows.select("r.*").distinct().join(clusters.select(
+        F.col("id").alias("component"), F.col("component_id").alias("cluster")), "component")
+    rows = checkpointed(rows)
+    sizes = rows.groupBy("cluster").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    sets = sets_of(texts.join(rows.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi"), width)
+    rows = rows.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    rows = rows.withColumnRenamed("doc", "doc_id").join(sets, "doc_id").withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("doc_id", "component", "shingles", "cluster", "own", F.least("own", "other").alias("lo"),
+                       F.greatest("own", "other").alias("hi"))
+
+    def verify(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        _, lo, hi = key
+        out: list[tuple[int, int]] = []
+        component, side = b["component"].to_numpy(), b["own"].to_numpy() == hi
+        apart = component[:, None] != component[None, :]
+        if lo != hi:
+            apart &= side[:, None] != side[None, :]
+        if apart.any():
+            links = similar([np.asarray(s, np.int64) for s in b["shingles"]], percent) & apart
+            out = forest(np.triu(links, 1), b["doc_id"].to_numpy())
+        return pd.DataFrame(out, columns=["a", "b"]).astype({"a": "int64", "b": "int64"})
+
+    return rows.groupBy("cluster", "lo", "hi").applyInPandas(verify, "a long, b long")
+
+
+def similar(sets: list[np.ndarray], percent: int, columns: int = 4096) -> np.ndarray:
+    """Which of the sets reach the similarity to each other, by products of their incidence, some shingles at a time."""
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    row = np.repeat(np.arange(n), sizes)
+    _, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1  # a shingle of one set alone adds to no intersection
+    number = np.cumsum(shared) - 1
+    keep = shared[place]
+    row, place = row[keep], number[place[keep]]
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    common = np.zeros((n, n), np.float32)
+    for at in range(0, int(shared.sum()), columns):
+        part = slice(*np.searchsorted(place, [at, at + columns]))
+        incidence = np.zeros((n, columns), np.float32)
+        incidence[row[part], place[part] - at] = 1
+        common += incidence @ incidence.T
+    union = sizes[:, None] + sizes[None, :] - common
+    return 100 * common >= percent * union
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
                     width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``.
@@ -122,15 +188,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     links = checkpointed(verified(first, texts, width, percent))
     placed = checkpointed(connected_components(links))
-    met = met.select("bucket", "rep", "n", "hub").join(placed.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "bucket", "rep", "n", "hub", F.coalesce("component_id", "rep").alias("component"))
-    open_ = met.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where(
-        "least <> most").select("bucket")
-    met = checkpointed(met.join(open_, "bucket", "left_semi"))
-    other = met.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    rest = (met.join(other, "bucket").where("rep < b AND component <> other AND rep <> hub").where(like("n", "m"))
-            .select(F.col("rep").alias("a"), "b").distinct())
-    more = verified(rest, texts, width, percent)
+    more = cluster_links(met.select("rep", "hub").distinct(), placed, texts, width, percent)
     of_class = classes.select("set_key", "rep")
     texts_of = signed.select("doc_id", "set_key").join(of_class, "set_key").select("doc_id", "rep").distinct()
     several = texts_of.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,3 +39,19 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     ids = edges.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
     return ids.unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("component_id")).distinct())
+
+
+def forest(links: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
+    """(id, smallest id of its component) for every linked row that isn't that smallest one itself."""
+    both = links | links.T
+    todo, out = both.any(axis=1), []
+    for start in np.argsort(ids, kind="stable"):
+        if not todo[start]:
+            continue
+        todo[start] = False
+        front = np.array([start])
+        while len(front):
+            front = np.flatnonzero(both[front].any(axis=0) & todo)
+            todo[front] = False
+            out += [(int(ids[i]), int(ids[start])) for i in front]
+    return out

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import connected_components
+from .components import connected_components, forest
 from .tables import checkpointed, narrow, read_table, ship_package
 from .vp_search import usable
 
@@ -72,22 +72,6 @@ def link_blocks(x: np.ndarray, pivots: np.ndarray, posted: np.ndarray, side: np.
     return links
 
 
-def forest(links: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
-    """(id, smallest id of its component) for every linked row that isn't that smallest one itself."""
-    both = links | links.T
-    todo, out = both.any(axis=1), []
-    for start in np.argsort(ids, kind="stable"):
-        if not todo[start]:
-            continue
-        todo[start] = False
-        front = np.array([start])
-        while len(front):
-            front = np.flatnonzero(both[front].any(axis=0) & todo)
-            todo[front] = False
-            out += [(int(ids[i]), int(ids[start])) for i in front]
-    return out
-
-
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", cosine: float = COSINE,
                     prefix: int = PREFIX, shared: int = SHARED, block_rows: int = BLOCK_ROWS,
                     pivots: int | None = None) -> DataFrame:

@@ -32,7 +32,7 @@ from .tables import carried_schema, read_table, ship_package, stored, text_piece
 SIZE = 100
 GRAM = 36
 NO_ID = -(1 << 63)  # stands for a null id, before all others
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 5_000_000
 
 _RUNS = "first long, second long, doc long, place long, sure boolean"
 _PLACES = "doc long, lo int, stop int, off int"
