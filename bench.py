@@ -6,7 +6,7 @@ Stages (each timed separately, warm JVM, one batch):
   factory_linetype_todo  -- line types, line-type capacity, to-do by factory and line type (stage B2)
   factory_sku_todo       -- to-do charged to the producing factory and SKU (stage B2)
   rebalance_capacity     -- capacity vs ceiling with carry-back (stage C)
-  advance_production     -- shortage moves to earlier months / other line types (stage D)
+  early_moves     -- shortage moves to earlier months / other line types (stage D)
 Prints one JSON line.
 """
 
@@ -53,7 +53,7 @@ def main() -> None:
     stage("factory_linetype_todo", lambda: p.factory_linetype_todo)
     stage("factory_sku_todo", lambda: p.factory_sku_todo)
     stage("rebalance_capacity", lambda: p.rebalanced)
-    stage("advance_production", lambda: p.advance_state())
+    stage("early_moves", lambda: p.advance_state())
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "planning_total", "value": total, "unit": "sec", "queries": times,

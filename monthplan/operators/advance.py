@@ -115,9 +115,11 @@ def advance_fold_sql(months: Sequence[_dt.date], rounds: Sequence[tuple[str, str
 
 def advance_state(gap: DataFrame, months: Sequence[_dt.date], special_lines: Sequence[str],
                   rounds: Sequence[tuple[str, str]] = DONOR_ROUNDS, consume_surplus: bool = False) -> DataFrame:
-    """One row per factory with the folded state: ``carry`` (left after the first month), ``moves``, ``tomove``,
+    """One row per factory with the folded state (several gap rows of a line type and month are summed first): ``carry`` (left after the first month), ``moves``, ``tomove``,
     ``shortage`` (T1-T3 rows of every month)."""
-    rows = gap.select("factory_code", F.struct(
+    summed = gap.groupBy("factory_code", "linetype", "dt").agg(
+        F.sum("qty_surplus").alias("qty_surplus"), F.sum("qty_shortage").alias("qty_shortage"))
+    rows = summed.select("factory_code", F.struct(
         "dt", "linetype", F.col("qty_surplus").cast(D).alias("surplus"),
         F.col("qty_shortage").cast(D).alias("shortage")).alias("g"))
     per_factory = rows.groupBy("factory_code").agg(F.collect_list("g").alias("rows"))
@@ -125,14 +127,14 @@ def advance_state(gap: DataFrame, months: Sequence[_dt.date], special_lines: Seq
     return per_factory.select("factory_code", F.expr(fold).alias("st"))
 
 
-def advance_production(state: DataFrame, batch_id: int) -> DataFrame:
+def early_moves(state: DataFrame, batch_id: int) -> DataFrame:
     """Every move with a positive quantity, tagged with the batch."""
     return (state.select("factory_code", F.explode("st.moves").alias("m"))
             .select("factory_code", "m.linetype", "m.linetype2", "m.dt",
                     F.col("m.qty").cast(QTY).alias("qty_tomove"), F.lit(batch_id).alias("batch_id")))
 
 
-def advance_tomove_month(state: DataFrame, batch_id: int) -> DataFrame:
+def early_moves_month(state: DataFrame, batch_id: int) -> DataFrame:
     """Shortage moved to the month before, per month, with what is left after the first month."""
     rows = state.select("factory_code", "st.carry", F.explode("st.tomove").alias("t"))
     return rows.select("factory_code", "t.linetype", "t.dt", F.col("t.qty").cast(QTY).alias("qty_tomove"),
@@ -141,6 +143,13 @@ def advance_tomove_month(state: DataFrame, batch_id: int) -> DataFrame:
                        F.lit(batch_id).alias("batch_id"))
 
 
+def unfilled_shortage(state: DataFrame, batch_id: int) -> DataFrame:
+    """T9, whole: every shortage left after the first month, also where nothing was moved on the way."""
+    return (state.select("factory_code", F.explode("st.carry").alias("linetype", "qty"))
+            .select("factory_code", "linetype", F.col("qty").cast(QTY).alias("qty_left"),
+                    F.lit(batch_id).alias("batch_id")))
+
+
 def month_shortage(state: DataFrame) -> DataFrame:
     """Shortage per (factory, line type, month) incl. carried shortage, with the factory cap on moves."""
     return (state.select("factory_code", F.explode("st.shortage").alias("s"))

@@ -41,7 +41,7 @@ def viable_routes(routes: DataFrame, producibility: DataFrame) -> DataFrame:
 
 
 def best_transfer(unproducible: DataFrame, routes: DataFrame) -> DataFrame:
-    """For each need (stock org, SKU, month) the viable route with the lowest priority.
+    """For each need (stock org, SKU, month) the viable route with the lowest priority (a NULL priority last).
 
     Ties are broken by sender stock org, then sender SKU.  The best route of a (receiver, month) does not depend on
     the demand row, so routes are reduced to one per receiver and month first -- ``min`` over a struct is an ordinary
@@ -50,7 +50,7 @@ def best_transfer(unproducible: DataFrame, routes: DataFrame) -> DataFrame:
     """
     r = (routes.groupBy(F.col("receive_stockorg_code").alias("stockorg_code"),
                         F.col("receive_sku_code").alias("sku_code"), "dt")
-         .agg(F.min(F.struct("priority", "send_stockorg_code", "send_sku_code")).alias("_best")))
+         .agg(F.min(F.struct(F.col("priority").isNull().alias("unranked"), "priority", "send_stockorg_code", "send_sku_code")).alias("_best")))
     need = unproducible.select("stockorg_code", "sku_code", "dt", "demand_qty")
     return (need.join(r, ["stockorg_code", "sku_code", "dt"])
             .select("stockorg_code", "sku_code", "dt", "demand_qty",
@@ -72,15 +72,19 @@ def safety_stock(calendar: DataFrame, months: Sequence[_dt.date], rules: DataFra
          .join(F.broadcast(rn), "dt"))
     d = demand.select("stockorg_code", "sku_code", F.add_months("dt", -1).alias("dt"),
                       F.col("demand_qty").alias("_next_qty"))
-    rst = (c.join(d, ["stockorg_code", "sku_code", "dt"])
-           .select("stockorg_code", "sku_code", "dt", "dt_rn",
-                   (F.col("_next_qty") / days_in_next_month("dt") * F.col("safety_stock_days"))
-                   .cast(QTY).alias("safety_stock_qty")))
-    natural = rst.select("stockorg_code", "sku_code", "dt", "safety_stock_qty")
-    fallback = (rst.where(F.col("dt_rn") == 2)
-                .select("stockorg_code", "sku_code", F.add_months("dt", 1).alias("dt"), "safety_stock_qty")
-                .join(natural, ["stockorg_code", "sku_code", "dt"], "left_anti"))
-    return natural.unionByName(fallback)
+    qty = (F.col("_next_qty") / days_in_next_month("dt") * F.col("safety_stock_days")).cast(QTY)
+    own = F.struct(F.col("dt"), F.lit(0).alias("fallback"))
+    shifted = F.struct(F.add_months("dt", 1).alias("dt"), F.lit(1).alias("fallback"))
+    rows = (c.join(d, ["stockorg_code", "sku_code", "dt"])
+            .select("stockorg_code", "sku_code", qty.alias("qty"),
+                    F.explode(F.when(F.col("dt_rn") == 2, F.array(own, shifted)).otherwise(F.array(own))).alias("at")))
+    # one pass: a key's own rows of a month win over the rows repeated from the month before
+    best = rows.groupBy("stockorg_code", "sku_code", F.col("at.dt").alias("dt")).agg(
+        F.min("at.fallback").alias("least"),
+        F.collect_list(F.struct(F.col("at.fallback").alias("fallback"), "qty")).alias("found"))
+    return best.select("stockorg_code", "sku_code", "dt", F.explode(
+        F.filter("found", lambda f: f["fallback"] == F.col("least"))).alias("f")).select(
+        "stockorg_code", "sku_code", "dt", F.col("f.qty").alias("safety_stock_qty"))
 
 
 def first_month_stock(opening: DataFrame, months: Sequence[_dt.date]) -> DataFrame:

@@ -24,6 +24,9 @@ QTY_COLUMNS = ["begin_stock_qty", "demand_qty", "production_qty", "trans_in_qty"
                "safety_stock_qty", "todo_qty", "end_stock_qty"]
 
 
+SUM_QTY = "decimal(28,3)"  # what a sum of quantities has; a sum of such sums keeps it
+
+
 def classify_lines(line_info: DataFrame, special_lines: Sequence[str], pure_flag: str = "Y",
                    packages: Sequence[str] = ("bottle", "can"),
                    pure_label: str = "pure-", ordinary_label: str = "ordinary-") -> DataFrame:
@@ -44,16 +47,15 @@ def producible_months(producibility: DataFrame, months: Sequence[_dt.date]) -> D
 
 
 def preferred_line(prod_months: DataFrame, priority: DataFrame, linetypes: DataFrame) -> DataFrame:
-    """L3: per (factory, SKU, month) the producible line with the lowest priority (ties: lowest line code)."""
+    """L3: per (factory, SKU, month) the producible line with the lowest priority (NULL last; ties: lowest
+    line code)."""
     pr = priority.select("factory_code", "line_code", "sku_code", "dt", "priority")
     cand = (prod_months.join(pr, ["factory_code", "line_code", "sku_code", "dt"])
-            .select("factory_code", "sku_code", "dt", F.struct("priority", "line_code").alias("_c")))
+            .select("factory_code", "sku_code", "dt", F.struct(F.col("priority").isNull().alias("unranked"), "priority", "line_code").alias("_c")))
     best = (cand.groupBy("factory_code", "sku_code", "dt").agg(F.min("_c").alias("_c"))
             .select("factory_code", F.col("_c.line_code").alias("line_code"), "sku_code", "dt",
                     F.col("_c.priority").alias("priority")))
-    # one row per line: bounded by the plants, broadcast
-    return best.join(F.broadcast(linetypes.select("factory_code", "line_code", "linetype")),
-                     ["factory_code", "line_code"])
+    return best.join(linetypes.select("factory_code", "line_code", "linetype"), ["factory_code", "line_code"])
 
 
 def sku_line_type(preferred: DataFrame) -> DataFrame:
@@ -90,7 +92,7 @@ def line_rates_month(rates: DataFrame, months: Sequence[_dt.date]) -> DataFrame:
 
 def line_rate_avg(rates_month: DataFrame, linetypes: DataFrame) -> DataFrame:
     """Mean rate per (factory, line, line type, month, rank), six places."""
-    return (rates_month.join(F.broadcast(linetypes), ["factory_code", "line_code"])
+    return (rates_month.join(linetypes, ["factory_code", "line_code"])
             .groupBy("factory_code", "line_code", "linetype", "dt", "linetype_rn")
             .agg(F.avg("production_rate").cast(RATE).alias("avg_rate")))
 
@@ -102,12 +104,14 @@ def linetype_capacity(hours_month: DataFrame, rate_avg: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("max_hour") * F.col("avg_rate")).cast(RATE).alias("capacity")))
 
 
-def factory_linetype_todo(todo: DataFrame, sku_linetype: DataFrame, org: DataFrame) -> DataFrame:
-    """Roll-forward quantities summed per (factory, line type, month); the factory is the stock org's parent."""
-    lt = sku_linetype.select("stockorg_code", "sku_code", "dt", "linetype")
+def factory_linetype_todo(warehouse_todo: DataFrame, org: DataFrame) -> DataFrame:
+    """The warehouse roll-up (L5) summed per (factory, line type, month); the factory is the stock org's parent.
+
+    Summing L5 again instead of the roll-forward keeps the large table to one join and one shuffle.
+    """
     o = org.select("stockorg_code", F.col("parent_org_code").alias("factory_code"))
-    return (todo.join(lt, ["stockorg_code", "sku_code", "dt"]).join(o, "stockorg_code")
-            .groupBy("factory_code", "linetype", "dt").agg(*_sums()))
+    sums = [F.sum(c).cast(SUM_QTY).alias(c) for c in QTY_COLUMNS]
+    return warehouse_todo.join(o, "stockorg_code").groupBy("factory_code", "linetype", "dt").agg(*sums)
 
 
 def factory_sku_todo(todo: DataFrame, sku_linetype: DataFrame, transfers: DataFrame) -> DataFrame:
@@ -115,17 +119,16 @@ def factory_sku_todo(todo: DataFrame, sku_linetype: DataFrame, transfers: DataFr
 
     A key that receives a transfer is charged to its sender: factory = second part of the sender's stock-org code,
     SKU = sender SKU, line type = sender's line type; every other key is charged to itself.  Keys without any line
-    type keep a NULL line type.
+    type keep a NULL line type.  The sender's line type is joined to the transfers first, so the to-do table is
+    shuffled on its own key only (most of its rows have no sender, which would be one hot key).
     """
-    a = todo.alias("a")
-    c = sku_linetype.select("stockorg_code", "sku_code", "dt", F.col("linetype").alias("_own_lt")).alias("c")
-    t = transfers.select("stockorg_code", "sku_code", "dt", "send_stockorg_code", "send_sku_code").alias("t")
-    d = sku_linetype.select(F.col("stockorg_code").alias("_d_org"), F.col("sku_code").alias("_d_sku"),
-                            F.col("dt").alias("_d_dt"), F.col("linetype").alias("_send_lt")).alias("d")
-    j = (a.join(c, ["stockorg_code", "sku_code", "dt"], "left")
-         .join(t, ["stockorg_code", "sku_code", "dt"], "left")
-         .join(d, (F.col("send_sku_code") == F.col("_d_sku")) & (F.col("send_stockorg_code") == F.col("_d_org"))
-               & (F.col("dt") == F.col("_d_dt")), "left"))
+    key = ["stockorg_code", "sku_code", "dt"]
+    lines = sku_linetype.select(*key, "linetype")
+    sent = transfers.select(*key, "send_stockorg_code", "send_sku_code").join(
+        lines.select(F.col("stockorg_code").alias("send_stockorg_code"), F.col("sku_code").alias("send_sku_code"), "dt",
+                     F.col("linetype").alias("_send_lt")), ["send_stockorg_code", "send_sku_code", "dt"], "left")
+    charge = sent.select(*key, "send_stockorg_code", "send_sku_code", "_send_lt")
+    j = todo.join(lines.withColumnRenamed("linetype", "_own_lt"), key, "left").join(charge, key, "left")
     return (j.groupBy(F.split_part(F.coalesce("send_stockorg_code", "stockorg_code"), F.lit("."), F.lit(2))
                       .alias("factory_code"),
                       "dt",

@@ -9,8 +9,8 @@ Per factory, months newest first; inside a month, line types by rank descending
 
 Factories are independent, and a factory holds at most (line types x plan months) rows, a bound set by the plant, not
 by the data volume.  So the whole stage is one shuffle by factory and a fold (SQL ``aggregate``) over the factory's
-rows in processing order -- JVM-side, no per-row Python, all factories in parallel.  A missing ceiling counts as 0 and
-a NULL capacity as 0.
+rows in processing order -- JVM-side, no per-row Python, all factories in parallel.  Factories with no ceiling
+at all are left out; a missing month of one that has some counts as 0, and so does a NULL capacity.
 """
 
 from __future__ import annotations
@@ -30,9 +30,8 @@ D = "decimal(38,3)"
 def capacity_with_rank(capacity: DataFrame, linetypes: DataFrame) -> DataFrame:
     """G1: line-type capacity with the rank of its line type (taken from the line classification)."""
     rank = linetypes.select("factory_code", "linetype", F.col("linetype_rn").alias("_rn")).distinct()
-    # one row per (factory, line type): bounded by the plants, broadcast
     return (capacity.select("factory_code", "linetype", "dt", "capacity")
-            .join(F.broadcast(rank), ["factory_code", "linetype"], "left")
+            .join(rank, ["factory_code", "linetype"], "left")
             .select("factory_code", "linetype", "dt", F.col("_rn").alias("linetype_rn"), "capacity"))
 
 
@@ -132,13 +131,17 @@ def rebalance_capacity(cap_todo: DataFrame, ceiling_month: DataFrame, share_pure
     and an ordinary line may also use the capacity its package's pure line left spare (a pure line without to-do
     leaves all of it), drawing on its remaining to-do and the remaining ceiling.
     """
-    # the ceiling has one row per (factory, plan month): bounded by plants x horizon, broadcast
-    rows = (cap_todo.join(F.broadcast(ceiling_month), ["factory_code", "dt"], "left")
+    # a factory's ceilings travel as one small array, so both sides meet by factory, as the fold needs them anyway
+    ceilings = ceiling_month.groupBy("factory_code").agg(
+        F.collect_list(F.struct("dt", F.col("factory_capacity").cast(D).alias("c"))).alias("ceilings"))
+    ceiling = F.expr(f"coalesce(array_max(transform(filter(ceilings, x -> x.dt = dt), x -> x.c)), CAST(0 AS {D}))")
+    # an unknown rank sorts below every known one: the comparator needs a total order
+    rows = (cap_todo.join(ceilings, "factory_code")
             .select("factory_code",
-                    F.struct(F.col("dt"), F.col("linetype_rn").alias("rn"), F.col("linetype"),
+                    F.struct(F.col("dt"), F.coalesce("linetype_rn", F.lit(-(1 << 31))).cast("int").alias("rn"),
+                             F.col("linetype"),
                              F.coalesce("line_capacity", F.lit(0)).cast(D).alias("capacity"),
-                             F.col("todo_qty").cast(D).alias("todo"),
-                             F.coalesce("factory_capacity", F.lit(0)).cast(D).alias("ceiling")).alias("r")))
+                             F.col("todo_qty").cast(D).alias("todo"), ceiling.alias("ceiling")).alias("r")))
     per_factory = rows.groupBy("factory_code").agg(F.collect_list("r").alias("rows"))
     out = per_factory.select("factory_code", F.explode(F.expr(rebalance_fold_sql(share_pure))).alias("o"))
     return out.select("factory_code", "o.linetype", "o.dt",

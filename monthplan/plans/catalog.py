@@ -29,7 +29,7 @@ QUERIES: dict[str, Query] = {}
 QTY8 = lt.QTY_COLUMNS
 
 
-_PLANS: dict[str, Plan] = {}
+_PLANS: dict[str, tuple[tuple, Plan]] = {}
 _PLANS_LOCK = threading.Lock()
 
 
@@ -40,14 +40,23 @@ def _alive(spark: SparkSession) -> bool:
         return True
 
 
+def folder_listing(spark: SparkSession, sf_dir: str) -> tuple:
+    """What the folder holds by name, size and time of change: another listing means other data."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def shared_plan(spark: SparkSession, sf_dir: str) -> Plan:
-    """The materialised plan of ``sf_dir`` for this session (a new one for a new or restarted session)."""
+    """The materialised plan of ``sf_dir`` for this session (a new one for a new session or changed files)."""
     key = sf_dir.rstrip("/")
+    listing = folder_listing(spark, key)
     with _PLANS_LOCK:
-        plan = _PLANS.get(key)
-        if plan is None or plan.spark is not spark or not _alive(spark):
+        known, plan = _PLANS.get(key, (None, None))
+        if plan is None or known != listing or plan.spark is not spark or not _alive(spark):
             plan = Plan(spark, key, materialize=True)
-            _PLANS[key] = plan
+            _PLANS[key] = (listing, plan)
         return plan
 
 
@@ -82,12 +91,18 @@ def safety_rules(p: Plan) -> DataFrame:
     return p.safety_rules.select("stockorg_code", "sku_code", "dt_start", "dt_end", "safety_stock_days")
 
 
+
+def ranked(df: DataFrame) -> DataFrame:
+    """The priority as a double: it can be NULL, which client integers can't be."""
+    return df.withColumn("priority", F.col("priority").cast("double"))
+
+
 ROUTE_COLUMNS = ["receive_sku_code", "receive_stockorg_code", "send_sku_code", "send_stockorg_code", "priority", "dt"]
 
 
 @query
 def transfer_routes(p: Plan) -> DataFrame:
-    return p.routes.select(*ROUTE_COLUMNS)
+    return ranked(p.routes).select(*ROUTE_COLUMNS)
 
 
 @query
@@ -107,7 +122,7 @@ def production_rates(p: Plan) -> DataFrame:
 
 @query
 def line_priority(p: Plan) -> DataFrame:
-    return p.line_priority.select("factory_code", "line_code", "sku_code", "dt", "priority")
+    return ranked(p.line_priority).select("factory_code", "line_code", "sku_code", "dt", "priority")
 
 
 @query
@@ -123,12 +138,12 @@ def unproducible_demand(p: Plan) -> DataFrame:
 
 @query
 def viable_routes(p: Plan) -> DataFrame:
-    return p.viable_routes.select(*ROUTE_COLUMNS)
+    return ranked(p.viable_routes).select(*ROUTE_COLUMNS)
 
 
 @query
 def best_transfer(p: Plan) -> DataFrame:
-    return p.best_transfer.select("stockorg_code", "sku_code", "dt", "demand_qty", "send_sku_code",
+    return ranked(p.best_transfer).select("stockorg_code", "sku_code", "dt", "demand_qty", "send_sku_code",
                                   "send_stockorg_code", "priority")
 
 
@@ -157,9 +172,14 @@ def transfer_need_first_month(p: Plan) -> DataFrame:
 
 @query
 def quantity_pivot(p: Plan) -> DataFrame:
-    _, at, need = _first_month(p)
-    dem = p.demand.where(at)
-    stacked = rf.stack_quantities(p.stock0, dem, dm.producible_demand(dem, p.producibility), need, p.safety.where(at))
+    """B8d over every month: the six kinds stacked and pivoted, from the stock that the roll-forward carries."""
+    months = F.col("dt").isin(p.months)
+    key = ["stockorg_code", "sku_code"]
+    carried = p.todo.select(*key, F.add_months("dt", 1).alias("dt"), F.col("end_stock_qty").alias("begin_stock_qty"))
+    stock = p.stock0.select(*key, "dt", "begin_stock_qty").unionByName(carried).where(months)
+    dem, safety = p.demand.where(months), p.safety.where(months)
+    need = rf.transfer_need(p.best_transfer.where(months), stock, safety)
+    stacked = rf.stack_quantities(stock, dem, dm.producible_demand(dem, p.producibility), need, safety)
     return rf.pivot_quantities(stacked)
 
 
@@ -187,7 +207,7 @@ def producible_months(p: Plan) -> DataFrame:
 
 @query
 def preferred_line(p: Plan) -> DataFrame:
-    return p.preferred.select("factory_code", "line_code", "sku_code", "dt", "priority", "linetype")
+    return ranked(p.preferred).select("factory_code", "line_code", "sku_code", "dt", "priority", "linetype")
 
 
 @query
@@ -198,7 +218,7 @@ def sku_line_type(p: Plan) -> DataFrame:
 
 @query
 def warehouse_linetype_todo(p: Plan) -> DataFrame:
-    return lt.warehouse_linetype_todo(p.todo, p.sku_linetype).select("stockorg_code", "linetype", "dt", *QTY8)
+    return p.warehouse_linetype_todo.select("stockorg_code", "linetype", "dt", *QTY8)
 
 
 @query
@@ -268,31 +288,37 @@ def capacity_gap(p: Plan) -> DataFrame:
     return p.capacity_gap.select("factory_code", "linetype", "dt", "qty_surplus", "qty_shortage")
 
 
-# --- stage D: advance production -----------------------------------------------------------------------------------
+# --- stage D: early production -----------------------------------------------------------------------------------
 @query
 def month_shortage(p: Plan) -> DataFrame:
     return adv.month_shortage(p.advance_state())
 
 
 @query
-def advance_production(p: Plan) -> DataFrame:
-    return adv.advance_production(p.advance_state(), p.batch_id)
+def early_moves(p: Plan) -> DataFrame:
+    return adv.early_moves(p.advance_state(), p.batch_id)
 
 
 @query
-def advance_tomove_month(p: Plan) -> DataFrame:
-    return adv.advance_tomove_month(p.advance_state(), p.batch_id)
+def early_moves_month(p: Plan) -> DataFrame:
+    return adv.early_moves_month(p.advance_state(), p.batch_id)
 
 
 @query
-def advance_production_conserving(p: Plan) -> DataFrame:
+def early_moves_conserving(p: Plan) -> DataFrame:
     """Variant of T4-T6: a donor's surplus shrinks by what each round takes, so it is never promised twice."""
-    return adv.advance_production(p.advance_state(consume_surplus=True), p.batch_id)
+    return adv.early_moves(p.advance_state(consume_surplus=True), p.batch_id)
+
+
+@query
+def early_moves_month_conserving(p: Plan) -> DataFrame:
+    return adv.early_moves_month(p.advance_state(consume_surplus=True), p.batch_id)
 
 
 @query
-def advance_tomove_month_conserving(p: Plan) -> DataFrame:
-    return adv.advance_tomove_month(p.advance_state(consume_surplus=True), p.batch_id)
+def unfilled_shortage(p: Plan) -> DataFrame:
+    """T9, whole: what no donor and no earlier month could take."""
+    return adv.unfilled_shortage(p.advance_state(), p.batch_id)
 
 
 @query
@@ -340,18 +366,20 @@ def slice_copy(p: Plan) -> DataFrame:
 
 @query
 def batch_overwrite(p: Plan) -> DataFrame:
-    """A batch-partitioned demand table holding a stale run of batch 1 and batch 2; batch 1 is re-planned
-    and replaced, batch 2 stays."""
+    """A batch-partitioned demand table of three batches; the first is planned anew and replaced, the second stays,
+    the third is planned anew with an empty result and goes."""
     from monthplan.session import scratch_table
     from monthplan.sources.io import overwrite_batch
     from monthplan.sources.loaders import load_demand
 
     cols = ["batch_id", "stockorg_code", "sku_code", "dt", "demand_qty"]
     raw = p.raw("demand_raw")
-    b1 = load_demand(raw, 1).select(*cols)
-    b2 = load_demand(raw, 2).select(*cols)
-    stale = b1.withColumn("demand_qty", (F.col("demand_qty") * 2).cast("decimal(18,3)"))
+    own, other, gone = (load_demand(raw, b).select(*cols) for b in (p.batch_id, p.batch_id + 1, p.batch_id + 2))
+    stale = own.withColumn("demand_qty", (F.col("demand_qty") * 2).cast("decimal(18,3)"))
     path = scratch_table(p.spark, "batch_demand")
-    overwrite_batch(stale.unionByName(b2), path)
-    overwrite_batch(b1, path)
+    overwrite_batch(stale, path, p.batch_id)
+    overwrite_batch(other, path, p.batch_id + 1)
+    overwrite_batch(gone, path, p.batch_id + 2)
+    overwrite_batch(own, path, p.batch_id)
+    overwrite_batch(gone.limit(0), path, p.batch_id + 2)
     return p.spark.read.parquet(path).select(*cols)

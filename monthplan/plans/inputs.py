@@ -28,20 +28,18 @@ class PlanInputs:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, batch_id: int = fx.BATCH, rate_end: str = "start",
-                 special_lines: tuple[str, ...] = fx.SPECIAL_LINES, materialize: bool = False,
-                 layout: str = "auto"):
+                 special_lines: tuple[str, ...] = fx.SPECIAL_LINES, materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.batch_id = batch_id
         self.rate_end = rate_end
         self.special_lines = special_lines
         self.materialize = materialize
-        # roll-forward state layout: "bucketed" (state stays in its buckets), "month_tables", or "auto" (by measured size)
-        self.layout = layout
         self._folder: str | None = None
         self._guard = threading.Lock()
         self._locks: dict[str, threading.Lock] = {}
         self._kept: dict[str, DataFrame] = {}
+        self._states: dict[str, DataFrame] = {}
         if materialize:
             from monthplan.session import scratch_table
             self._folder = scratch_table(spark, "load")
@@ -174,7 +172,7 @@ class Plan(PlanInputs):
         self.months
         self.build(["best_transfer", "safety", "stock0"])
         return rollforward(self.months, self.stock0, self.demand, self.producibility, self.best_transfer,
-                           self.safety, layout=self.layout)
+                           self.safety)
 
     # stage B2 (line types)
     @cached_property
@@ -204,11 +202,15 @@ class Plan(PlanInputs):
         return self.keep("linetype_capacity",
                          lt.linetype_capacity(lt.line_hours_month(self.line_hours, self.months), self.rate_avg))
 
+    @cached_property
+    def warehouse_linetype_todo(self) -> DataFrame:
+        from monthplan.operators.linetypes import warehouse_linetype_todo
+        return self.keep("warehouse_linetype_todo", warehouse_linetype_todo(self.todo, self.sku_linetype))
+
     @cached_property
     def factory_linetype_todo(self) -> DataFrame:
         from monthplan.operators.linetypes import factory_linetype_todo
-        return self.keep("factory_linetype_todo",
-                         factory_linetype_todo(self.todo, self.sku_linetype, self.org_snapshot))
+        return self.keep("factory_linetype_todo", factory_linetype_todo(self.warehouse_linetype_todo, self.org_snapshot))
 
     @cached_property
     def factory_sku_todo(self) -> DataFrame:
@@ -218,11 +220,9 @@ class Plan(PlanInputs):
     # stage C (rebalance)
     @cached_property
     def capacity_table(self) -> DataFrame:
-        """Line-type capacity as the rebalance stage loads it (A14): batch-tagged, capacity as a quantity."""
-        from pyspark.sql import functions as F
+        """Line-type capacity as the rebalance stage loads it (A14), from a table that holds several batches."""
         from monthplan.sources.loaders import load_linetype_capacity
-        raw = self.linetype_capacity.withColumn("batch_id", F.lit(self.batch_id))
-        return load_linetype_capacity(raw, self.batch_id)
+        return load_linetype_capacity(fx.linetype_capacity_raw(self.linetype_capacity), self.batch_id)
 
     @cached_property
     def cap_todo(self) -> DataFrame:
@@ -242,14 +242,23 @@ class Plan(PlanInputs):
 
     @cached_property
     def capacity_gap(self) -> DataFrame:
-        """G9 as stage D loads it."""
-        from pyspark.sql import functions as F
+        """G9 as stage D loads it (A12), from a table that holds several batches and some rows twice."""
         from monthplan.operators.rebalance import capacity_gap
         from monthplan.sources.loaders import load_capacity_gap
-        raw = capacity_gap(self.cap_todo).withColumn("batch_id", F.lit(self.batch_id))
-        return self.keep("capacity_gap", load_capacity_gap(raw, self.batch_id))
+        return self.keep("capacity_gap", load_capacity_gap(fx.capacity_gap_raw(capacity_gap(self.cap_todo)), self.batch_id))
 
     # stage D (advance production)
     def advance_state(self, consume_surplus: bool = False) -> DataFrame:
+        """The fold over the months, written once for all that read it."""
         from monthplan.operators.advance import advance_state
-        return advance_state(self.capacity_gap, self.months, self.special_lines, consume_surplus=consume_surplus)
+        name = f"advance_state_{consume_surplus}".lower()
+        if name not in self._states:
+            self._states[name] = self.keep(name, advance_state(self.capacity_gap, self.months, self.special_lines,
+                                                               consume_surplus=consume_surplus))
+        return self._states[name]
+
+    def close(self) -> None:
+        """Delete the written tables of this plan; DataFrames read from them can't be used any more."""
+        if self._folder:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder)
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -1,13 +1,12 @@
 """T10 / A20 for the whole run: write every result table of one batch, replacing only that batch.
 
-Each table is partitioned by ``batch_id`` and written with dynamic partition overwrite, so re-running a batch
-replaces exactly its rows and leaves other batches alone.
+Each table is partitioned by ``batch_id`` and only the batch's folder is overwritten, so re-running a batch replaces
+exactly its rows (also by none) and leaves other batches alone.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from monthplan.operators import advance as adv
 from monthplan.plans.inputs import Plan
@@ -28,8 +27,9 @@ def result_tables(plan: Plan) -> dict[str, DataFrame]:
         "linetype_capacity": plan.linetype_capacity,
         "assigned_capacity": plan.rebalanced,
         "capacity_gap": plan.capacity_gap,
-        "advance_production": adv.advance_production(st, plan.batch_id),
-        "advance_tomove_month": adv.advance_tomove_month(st, plan.batch_id),
+        "early_moves": adv.early_moves(st, plan.batch_id),
+        "early_moves_month": adv.early_moves_month(st, plan.batch_id),
+        "unfilled_shortage": adv.unfilled_shortage(st, plan.batch_id),
     }
 
 
@@ -40,6 +40,6 @@ def write_results(plan: Plan, out_dir: str) -> dict[str, str]:
         if "batch_id" in df.columns:
             df = df.drop("batch_id")
         path = f"{out_dir.rstrip('/')}/{name}"
-        overwrite_batch(df.withColumn("batch_id", F.lit(plan.batch_id)), path)
+        overwrite_batch(df, path, plan.batch_id)
         paths[name] = path
     return paths

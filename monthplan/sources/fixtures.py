@@ -2,11 +2,13 @@
 
 The planning inputs of a real run come from a warehouse, one ``batch_id`` per run.  Here they are derived from
 ``/root/testdata/sf*/`` with plain column arithmetic, so a Spark query and an SQL oracle can each rebuild them from the
-same parquet files.  Demand, opening stock, rates and ceilings are aggregates of ``lineitem``; every other table is
-keyed by nation (factory / warehouse), SKU, line and month.
+same parquet files.  Every shipped line counts: a half-year is a batch, a SKU is a part, and all raw tables hold all
+batches, so a loader's ``batch_id`` filter picks rows of data.  Producibility, rules, routes and priorities are built
+from the (nation, part, month) triples that occur, never from a grid.
 
-Each raw table carries decoy rows that exactly one loader filter must drop: ``batch_id = 2`` everywhere,
-``producibility = 0``, ``demand_type = 20``, ``max_hour = 0``, ``production_rate = 0``, an older ``day_date``.
+Each raw table also carries rows that exactly one loader filter must drop (``producibility = 0``, ``demand_type = 20``,
+``max_hour = 0``, ``production_rate = 0``, an older ``day_date``) and awkward ones that must stay: NULL demand, NULL
+priorities, factories without a ceiling, gap rows that come twice.
 
 Fixed values of the fixture recipe (shared with the SQL oracle in ``monthplan.plans.oracle``):
 """
@@ -21,18 +23,22 @@ from pyspark.sql import functions as F
 from monthplan.functions.quantities import QTY
 
 # --- fixed values of the fixture recipe -------------------------------------------------------------------------
-HORIZON_START = dt.date(1997, 1, 1)   # first plan month of batch 1
-HORIZON_MONTHS = 6                    # plan months of batch 1: 1997-01 .. 1997-06
-DECOY_START = dt.date(1998, 1, 1)     # plan months of the decoy batch 2: 1998-01 .. 1998-03
-DECOY_MONTHS = 3
-STOCK_MONTH = dt.date(1996, 12, 1)    # opening stock = half of the December 1996 shipments
-N_SKUS = 40                           # sku = l_partkey % 40
+FIRST_YEAR = 1990                     # batch ids count half-years from here: 1990 H1 is 1
+HORIZON_START = dt.date(1997, 1, 1)   # first plan month of the planned batch
+HORIZON_MONTHS = 6                    # plan months of a batch
+BATCH = 15                            # the planned batch: 1997 H1
+STOCK_MONTH = dt.date(1996, 12, 1)    # a batch opens with half of the shipments of the month before it
 N_LINES = 5                           # lines 0..4 per factory; 0,1 pure; 0,2 bottle; line 4 may be special
-UNROUTABLE_SKU = 7                    # no transfer route for this SKU
+SENDERS = 3                           # a part may also be made by the next three nations, which send it
+UNROUTABLE = (40, 7)                  # no transfer route for parts k % 40 = 7
+NULL_DEMAND = (17, 5)                 # demand is NULL for parts k % 17 = 5 in even months
+NULL_ROUTE = (11, 3)                  # the nearest sender's priority is NULL for parts k % 11 = 3
+NULL_LINE = (13, 4)                   # lines 0 and 1 have a NULL priority for parts k % 13 = 4
+NO_CEILING = (6, 4)                   # nations n % 6 = 4 have no ceiling
+TWICE = (4, 2)                        # nations n % 4 = 2 have a second gap row for this line type, short of 5
+TWICE_LINETYPE = "ordinary-can"
 SPECIAL_LINES = ("SPECIAL_A", "SPECIAL_B")  # line 4 of nations n % 5 = 0 and n % 5 = 1
 PURE_FLAG = "Y"
-BATCH = 1
-DECOY_BATCH = 2
 # ------------------------------------------------------------------------------------------------------------------
 
 
@@ -79,7 +85,7 @@ def stockorg_code(n: str | Column = "n") -> Column:
 
 
 def sku_code(k: str | Column = "k") -> Column:
-    return _code("S", F.col(k) if isinstance(k, str) else k)
+    return F.concat(F.lit("S"), (F.col(k) if isinstance(k, str) else k).cast("string"))
 
 
 def line_code(n: str = "n", i: str = "i") -> Column:
@@ -93,149 +99,140 @@ def _horizon(start: dt.date, months: int) -> tuple[dt.date, dt.date]:
     return start, dt.date(start.year + end_y, end_m + 1, 1)
 
 
-def _months_seq(start: dt.date, months: int) -> Column:
-    lo, hi = _horizon(start, months)
-    return F.sequence(F.lit(lo), F.add_months(F.lit(hi), -1), F.expr("interval 1 month"))
-
-
 def _range(col: str, n: int) -> Column:
     return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(col)
 
 
+def _is(col: str, rule: tuple[int, int]) -> Column:
+    return F.col(col) % rule[0] == rule[1]
+
+
+def batch_of(d: Column) -> Column:
+    """The half-year of a date, counted from FIRST_YEAR."""
+    return ((F.year(d) - FIRST_YEAR) * 2 + F.when(F.month(d) <= 6, 1).otherwise(2)).cast("int")
+
+
+def batch_start(batch: str = "batch_id") -> Column:
+    b = F.col(batch) - 1
+    return F.make_date(F.floor(b / 2).cast("int") + FIRST_YEAR, (b % 2 * 6 + 1).cast("int"), F.lit(1))
+
+
+def _month_cols(d: Column, prefix: str = "") -> list[Column]:
+    return [F.year(d).alias(f"{prefix}year"), F.month(d).alias(f"{prefix}month")]
+
+
 def nations(t: Tables) -> DataFrame:
     return t.read("nation", "n_nationkey", "n_name").withColumnRenamed("n_nationkey", "n")
 
 
+def n_nations(t: Tables) -> int:
+    """How many nations there are: senders wrap around."""
+    if "n_nations" not in t.__dict__:
+        t.n_nations = nations(t).count()
+    return t.n_nations
+
+
 def shipments(t: Tables) -> DataFrame:
-    """Shipped quantity per (nation of the supplier, SKU, ship month): the one scan of ``lineitem``."""
+    """Shipped quantity per (batch, nation of the supplier, part, ship month): the one scan of ``lineitem``."""
     return t.memo("shipments", lambda: _shipments(t))
 
 
 def _shipments(t: Tables) -> DataFrame:
-    lo, hi = _horizon(STOCK_MONTH, 1 + HORIZON_MONTHS)
-    dlo, dhi = _horizon(DECOY_START, DECOY_MONTHS)
-    ship = F.col("l_shipdate")
-    li = t.read("lineitem", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate").where(
-        ((ship >= F.lit(lo)) & (ship < F.lit(hi))) | ((ship >= F.lit(dlo)) & (ship < F.lit(dhi))))
+    li = (t.read("lineitem", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+          .groupBy("l_suppkey", "l_partkey", F.trunc(F.to_date("l_shipdate"), "month").alias("dt"))
+          .agg(F.sum("l_quantity").alias("qty")))  # combined before the join: only sums meet the suppliers
     sup = t.read("supplier", "s_suppkey", "s_nationkey")
     return (li.join(sup, li.l_suppkey == sup.s_suppkey)
-            .groupBy(F.col("s_nationkey").alias("n"), (F.col("l_partkey") % N_SKUS).alias("k"),
-                     F.trunc(F.to_date("l_shipdate"), "month").alias("dt"))
-            .agg(F.sum("l_quantity").cast("bigint").alias("qty")))
+            .groupBy(F.col("s_nationkey").alias("n"), F.col("l_partkey").alias("k"), "dt")
+            .agg(F.sum("qty").cast("bigint").alias("qty"))
+            .withColumn("batch_id", batch_of(F.col("dt"))))
+
+
+def _pairs(t: Tables) -> DataFrame:
+    """(batch, n, k) that occur."""
+    return shipments(t).select("batch_id", "n", "k").distinct()
+
+
+def _makers(df: DataFrame, t: Tables) -> DataFrame:
+    """``df`` for its own nation and for those that may send to it, each row once."""
+    return df.withColumn("n", F.explode(F.array(*[(F.col("n") + h) % n_nations(t) for h in range(SENDERS + 1)]))).distinct()
+
+
+def _with_lines(df: DataFrame) -> DataFrame:
+    """Each part is made on the lines of its parity."""
+    return df.select("*", _range("i", N_LINES)).where((F.col("k") + F.col("i")) % 2 == 0)
 
 
 def plan_config_raw(t: Tables) -> DataFrame:
-    """Plan months per batch: the ship months inside each batch horizon (from the shipment aggregate, so the fact
-    table is scanned once for all fixtures)."""
-    lo, hi = _horizon(HORIZON_START, HORIZON_MONTHS)
-    dlo, dhi = _horizon(DECOY_START, DECOY_MONTHS)
-    d = F.col("dt")
-    months = (shipments(t).where(((d >= F.lit(lo)) & (d < F.lit(hi))) | ((d >= F.lit(dlo)) & (d < F.lit(dhi))))
-              .select(d.alias("start_date")).distinct())
-    is_main = F.col("start_date") < F.lit(hi)
-    return months.select(
-        F.when(is_main, F.lit(BATCH)).otherwise(F.lit(DECOY_BATCH)).alias("batch_id"),
-        "start_date",
-        F.when(is_main, F.lit(HORIZON_START)).otherwise(F.lit(DECOY_START)).alias("day_date"))
-
-
-def _plan_demand(t: Tables) -> DataFrame:
-    lo, hi = _horizon(HORIZON_START, HORIZON_MONTHS)
-    s = shipments(t)
-    return s.where((F.col("dt") >= F.lit(lo)) & (F.col("dt") < F.lit(hi)))
+    """Plan months per batch: the ship months."""
+    return (shipments(t).select("batch_id", F.col("dt").alias("start_date")).distinct()
+            .withColumn("day_date", batch_start()))
 
 
 def demand_raw(t: Tables) -> DataFrame:
-    d = _plan_demand(t)
-    base = d.select(stockorg_code().alias("stockorg_code"), sku_code().alias("sku_code"),
-                    F.year("dt").alias("year"), F.month("dt").alias("month"),
-                    F.col("qty").cast(QTY).alias("demand_qty"))
-    real = base.select(F.lit(BATCH).alias("batch_id"), "*", F.lit(10).alias("demand_type"))
-    other_type = base.select(F.lit(BATCH).alias("batch_id"), "*", F.lit(20).alias("demand_type"))
-    other_batch = base.select(F.lit(DECOY_BATCH).alias("batch_id"), "*", F.lit(10).alias("demand_type"))
-    return real.unionByName(other_type).unionByName(other_batch)
+    qty = F.when(~(_is("k", NULL_DEMAND) & (F.month("dt") % 2 == 0)), F.col("qty").cast(QTY))
+    base = shipments(t).select("batch_id", stockorg_code().alias("stockorg_code"), sku_code().alias("sku_code"),
+                               *_month_cols(F.col("dt")), qty.alias("demand_qty"))
+    return base.select("*", F.explode(F.array(F.lit(10), F.lit(20))).alias("demand_type"))
 
 
 def factory_totals(t: Tables) -> DataFrame:
-    """Total horizon demand per factory that has demand (``n``, ``total``)."""
-    return _plan_demand(t).groupBy("n").agg(F.sum("qty").alias("total"))
+    """Shipped quantity per batch and factory (``batch_id``, ``n``, ``total``)."""
+    return shipments(t).groupBy("batch_id", "n").agg(F.sum("qty").alias("total"))
 
 
 def stock_raw(t: Tables) -> DataFrame:
-    s = shipments(t).where(F.col("dt") == F.lit(STOCK_MONTH))
-    base = s.select(stockorg_code().alias("stockorg_code"), sku_code().alias("sku_code"),
-                    F.lit(HORIZON_START).alias("stock_date"),
-                    (F.col("qty").cast(QTY) * F.lit(0.5)).cast(QTY).alias("available_qty"))
-    return (base.select(F.lit(BATCH).alias("batch_id"), "*")
-            .unionByName(base.select(F.lit(DECOY_BATCH).alias("batch_id"), "*")))
+    opens = F.add_months("dt", 1)
+    return shipments(t).where(F.month("dt") % 6 == 0).select(
+        batch_of(opens).alias("batch_id"), stockorg_code().alias("stockorg_code"), sku_code().alias("sku_code"),
+        opens.alias("stock_date"), (F.col("qty").cast(QTY) * F.lit(0.5)).cast(QTY).alias("available_qty"))
 
 
 def line_info_raw(t: Tables) -> DataFrame:
-    lines = nations(t).select("n", _range("i", N_LINES))
+    lines = _makers(shipments(t).select("batch_id", "n").distinct(), t).select("*", _range("i", N_LINES))
     pure = F.when(F.col("i").isin(0, 1), F.lit(PURE_FLAG)).otherwise(F.lit("N"))
     package = F.when(F.col("i").isin(0, 2), F.lit("bottle")).otherwise(F.lit("can"))
-    base = lines.select(factory_code().alias("factory_code"), line_code().alias("line_code"),
+    return lines.select("batch_id", factory_code().alias("factory_code"), line_code().alias("line_code"),
                         pure.alias("is_pure_draft"), package.alias("package_type"))
-    decoy = base.withColumn("package_type", F.lit("keg"))
-    return (base.select(F.lit(BATCH).alias("batch_id"), "*")
-            .unionByName(decoy.select(F.lit(DECOY_BATCH).alias("batch_id"), "*")))
 
 
 def producibility_raw(t: Tables) -> DataFrame:
-    g = (nations(t).select("n", _range("i", N_LINES)).select("*", _range("k", N_SKUS))
-         .where((F.col("k") + F.col("i")) % 2 == 0))
-    end_month = F.when((F.col("n") + F.col("k")) % 10 == 1, F.lit(4)).otherwise(F.lit(7))
-    base = g.select(factory_code().alias("factory_code"), line_code().alias("line_code"),
-                    sku_code().alias("sku_code"),
-                    F.lit(HORIZON_START.year).alias("start_year"), F.lit(HORIZON_START.month).alias("start_month"),
-                    F.lit(HORIZON_START.year).alias("end_year"), end_month.alias("end_month"),
+    months = F.when((F.col("n") + F.col("k")) % 10 == 1, F.lit(3)).otherwise(F.lit(HORIZON_MONTHS))
+    g = _with_lines(_makers(_pairs(t), t)).withColumn("first", batch_start()).withColumn(
+        "last", F.add_months("first", months))
+    return g.select("batch_id", factory_code().alias("factory_code"), line_code().alias("line_code"),
+                    sku_code().alias("sku_code"), *_month_cols(F.col("first"), "start_"),
+                    *_month_cols(F.col("last"), "end_"),
                     F.when((F.col("k") + F.col("n")) % 4 != 0, F.lit(1)).otherwise(F.lit(0)).alias("producibility"))
-    decoy = base.where(F.col("producibility") == 1).withColumn("end_month", F.lit(7))
-    return (base.select(F.lit(BATCH).alias("batch_id"), "*")
-            .unionByName(decoy.select(F.lit(DECOY_BATCH).alias("batch_id"), "*")))
 
 
 def safety_raw(t: Tables) -> DataFrame:
-    g = nations(t).select("n", _range("k", N_SKUS))
-    keys = [stockorg_code().alias("stockorg_code"), sku_code().alias("sku_code")]
-    y = HORIZON_START.year
-    q1 = g.select(*keys, F.lit(y).alias("start_year"), F.lit(1).alias("start_month"),
-                  F.lit(y).alias("end_year"), F.lit(4).alias("end_month"),
-                  (F.lit(3) + F.col("k") % 5).alias("safety_stock_days"))
-    q2 = g.select(*keys, F.lit(y).alias("start_year"), F.lit(4).alias("start_month"),
-                  F.lit(y).alias("end_year"), F.lit(7).alias("end_month"),
-                  (F.lit(5) + F.col("k") % 3).alias("safety_stock_days"))
-    decoy = g.select(*keys, F.lit(y).alias("start_year"), F.lit(1).alias("start_month"),
-                     F.lit(y).alias("end_year"), F.lit(7).alias("end_month"), F.lit(99).alias("safety_stock_days"))
-    return (q1.unionByName(q2).select(F.lit(BATCH).alias("batch_id"), "*")
-            .unionByName(decoy.select(F.lit(DECOY_BATCH).alias("batch_id"), "*")))
+    g = _pairs(t).withColumn("first", batch_start()).select(
+        "batch_id", "n", "k", F.explode(F.array(
+            F.struct(F.col("first").alias("a"), F.add_months("first", 3).alias("b"), (3 + F.col("k") % 5).alias("days")),
+            F.struct(F.add_months("first", 3).alias("a"), F.add_months("first", 6).alias("b"),
+                     (5 + F.col("k") % 3).alias("days")))).alias("q"))
+    return g.select("batch_id", stockorg_code().alias("stockorg_code"), sku_code().alias("sku_code"),
+                    *_month_cols(F.col("q.a"), "start_"), *_month_cols(F.col("q.b"), "end_"),
+                    F.col("q.days").alias("safety_stock_days"))
 
 
 def route_raw(t: Tables) -> DataFrame:
-    g = (nations(t).select("n", _range("k", N_SKUS)).where(F.col("k") != UNROUTABLE_SKU)
-         .select("*", F.explode(_months_seq(HORIZON_START, HORIZON_MONTHS)).alias("dt"))
-         .select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("h")))
-    sender = (F.col("n") + F.col("h")) % 25
-    base = g.select(sku_code().alias("receive_sku_code"), stockorg_code().alias("receive_stockorg_code"),
-                    sku_code().alias("send_sku_code"), stockorg_code(sender).alias("send_stockorg_code"),
-                    F.floor((F.col("h") + 1) / 2).cast("int").alias("priority"),
-                    F.year("dt").alias("year"), F.month("dt").alias("month"))
-    decoy = base.withColumn("priority", F.lit(0))
-    return (base.select(F.lit(BATCH).alias("batch_id"), "*")
-            .unionByName(decoy.select(F.lit(DECOY_BATCH).alias("batch_id"), "*")))
+    g = shipments(t).where(~_is("k", UNROUTABLE)).select("batch_id", "n", "k", "dt", _range("j", SENDERS)).withColumn(
+        "h", F.col("j") + 1)
+    priority = F.when(~((F.col("h") == 1) & _is("k", NULL_ROUTE)), F.floor((F.col("h") + 1) / 2).cast("int"))
+    return g.select("batch_id", sku_code().alias("receive_sku_code"), stockorg_code().alias("receive_stockorg_code"),
+                    sku_code().alias("send_sku_code"),
+                    stockorg_code((F.col("n") + F.col("h")) % n_nations(t)).alias("send_stockorg_code"),
+                    priority.alias("priority"), *_month_cols(F.col("dt")))
 
 
 def line_capacity_raw(t: Tables) -> DataFrame:
-    g = factory_totals(t).select("n", _range("i", N_LINES))
-    y = HORIZON_START.year
-    base = g.select(factory_code().alias("factory_code"), line_code().alias("line_code"),
-                    F.lit(y).alias("start_year"), F.lit(1).alias("start_month"),
-                    F.lit(y).alias("end_year"), F.lit(7).alias("end_month"),
+    g = factory_totals(t).select("batch_id", "n", _range("i", N_LINES)).withColumn("first", batch_start())
+    base = g.select("batch_id", factory_code().alias("factory_code"), line_code().alias("line_code"),
+                    *_month_cols(F.col("first"), "start_"), *_month_cols(F.add_months("first", HORIZON_MONTHS), "end_"),
                     (F.lit(8) + 2 * F.col("i") + F.col("n") % 4).alias("max_hour"))
-    zero = base.withColumn("max_hour", F.lit(0)).withColumn("start_month", F.lit(2))
-    decoy = base.withColumn("max_hour", F.lit(50))
-    return (base.unionByName(zero).select(F.lit(BATCH).alias("batch_id"), "*")
-            .unionByName(decoy.select(F.lit(DECOY_BATCH).alias("batch_id"), "*")))
+    return base.unionByName(base.withColumn("max_hour", F.col("max_hour") * 0))
 
 
 def _thousandths(total: Column, factor: int, divisor: int) -> Column:
@@ -246,30 +243,23 @@ def _thousandths(total: Column, factor: int, divisor: int) -> Column:
 
 def rate_raw(t: Tables) -> DataFrame:
     """One rate per line and month, ``total/6/60 * (1 + i/10)``; line 0 has a second rate x1.2 (so the mean matters)."""
-    g = (factory_totals(t).select("n", "total", _range("i", N_LINES))
-         .select("*", F.explode(_months_seq(HORIZON_START, HORIZON_MONTHS)).alias("dt")))
-    keys = [factory_code().alias("factory_code"), line_code().alias("line_code")]
-    when = [F.year("dt").alias("start_year"), F.month("dt").alias("start_month"),
-            F.year("dt").alias("end_year"), F.month("dt").alias("end_month")]
+    g = (factory_totals(t).select("batch_id", "n", "total", _range("i", N_LINES))
+         .select("*", _range("m", HORIZON_MONTHS)).withColumn("dt", F.add_months(batch_start(), F.col("m"))))
+    keys = ["batch_id", factory_code().alias("factory_code"), line_code().alias("line_code")]
+    when = [*_month_cols(F.col("dt"), "start_"), *_month_cols(F.col("dt"), "end_")]
     main = g.select(*keys, _thousandths(F.col("total") * (10 + F.col("i")), 1, 3600).alias("production_rate"), *when)
     second = g.where(F.col("i") == 0).select(
         *keys, _thousandths(F.col("total"), 12, 3600).alias("production_rate"), *when)
     zero = g.where(F.col("i") == 1).select(*keys, F.lit(0).cast(QTY).alias("production_rate"), *when)
-    decoy = main.withColumn("production_rate", F.lit(1).cast(QTY))
-    return (main.unionByName(second).unionByName(zero).select(F.lit(BATCH).alias("batch_id"), "*")
-            .unionByName(decoy.select(F.lit(DECOY_BATCH).alias("batch_id"), "*")))
+    return main.unionByName(second).unionByName(zero)
 
 
 def priority_raw(t: Tables) -> DataFrame:
-    g = (nations(t).select("n", _range("i", N_LINES)).select("*", _range("k", N_SKUS))
-         .select("*", F.explode(_months_seq(HORIZON_START, HORIZON_MONTHS)).alias("dt")))
-    prio = ((F.col("i") * 7 + F.col("k") * 3 + F.month("dt")) % 5) * 10 + F.col("i")
-    base = g.select(factory_code().alias("factory_code"), line_code().alias("line_code"),
-                    sku_code().alias("sku_code"), F.year("dt").alias("year"), F.month("dt").alias("month"),
-                    prio.cast("int").alias("priority"))
-    decoy = base.withColumn("priority", F.lit(4) - F.col("priority") % 5)
-    return (base.select(F.lit(BATCH).alias("batch_id"), "*")
-            .unionByName(decoy.select(F.lit(DECOY_BATCH).alias("batch_id"), "*")))
+    g = _with_lines(_makers(shipments(t).select("batch_id", "n", "k", "dt"), t))
+    value = ((F.col("i") * 7 + F.col("k") * 3 + F.month("dt")) % 5) * 10 + F.col("i")
+    return g.select("batch_id", factory_code().alias("factory_code"), line_code().alias("line_code"),
+                    sku_code().alias("sku_code"), *_month_cols(F.col("dt")),
+                    F.when(~(_is("k", NULL_LINE) & (F.col("i") <= 1)), value.cast("int")).alias("priority"))
 
 
 def stockorg_dim_raw(t: Tables) -> DataFrame:
@@ -277,22 +267,33 @@ def stockorg_dim_raw(t: Tables) -> DataFrame:
     cur = nat.select(stockorg_code().alias("stockorg_code"), F.col("n_name").alias("stockorg_name"),
                      factory_code().alias("parent_org_code"), F.lit(HORIZON_START).alias("day_date"))
     old = nat.select(stockorg_code().alias("stockorg_code"), F.col("n_name").alias("stockorg_name"),
-                     factory_code((F.col("n") + 1) % 25).alias("parent_org_code"),
+                     factory_code((F.col("n") + 1) % n_nations(t)).alias("parent_org_code"),
                      F.lit(STOCK_MONTH).alias("day_date"))
     return cur.unionByName(old)
 
 
 def factory_capacity_raw(t: Tables) -> DataFrame:
-    """Factory ceiling ``0.9 * total / 6`` over the whole horizon, factories with demand only."""
-    tot = factory_totals(t)
-    y = HORIZON_START.year
-    base = tot.select(factory_code().alias("factory_code"),
-                      F.lit(y).alias("start_year"), F.lit(1).alias("start_month"),
-                      F.lit(y).alias("end_year"), F.lit(7).alias("end_month"),
+    """Factory ceiling ``0.9 * total / 6`` over the whole horizon; some factories have none."""
+    tot = factory_totals(t).where(~_is("n", NO_CEILING)).withColumn("first", batch_start())
+    return tot.select("batch_id", factory_code().alias("factory_code"), *_month_cols(F.col("first"), "start_"),
+                      *_month_cols(F.add_months("first", HORIZON_MONTHS), "end_"),
                       _thousandths(F.col("total"), 3, 20).alias("equilibrium_capacity"))
-    decoy = base.withColumn("equilibrium_capacity", F.lit(1000000).cast(QTY))
-    return (base.select(F.lit(BATCH).alias("batch_id"), "*")
-            .unionByName(decoy.select(F.lit(DECOY_BATCH).alias("batch_id"), "*")))
+
+
+def linetype_capacity_raw(capacity: DataFrame) -> DataFrame:
+    """Line-type capacity as a table of several batches holds it: the planned one, and another run's."""
+    other = capacity.withColumn("capacity", F.lit(1).cast(capacity.schema["capacity"].dataType))
+    return capacity.withColumn("batch_id", F.lit(BATCH)).unionByName(other.withColumn("batch_id", F.lit(BATCH + 1)))
+
+
+def capacity_gap_raw(gap: DataFrame) -> DataFrame:
+    """Gap rows of several batches; some factories report one line type in two rows."""
+    number = F.substring("factory_code", 2, 10).cast("int")
+    second = gap.where((F.col("linetype") == TWICE_LINETYPE) & (number % TWICE[0] == TWICE[1])).select(
+        "factory_code", "linetype", "dt", F.lit(0).cast(QTY).alias("qty_surplus"), F.lit(5).cast(QTY).alias("qty_shortage"))
+    rows = gap.select("factory_code", "linetype", "dt", "qty_surplus", "qty_shortage").unionByName(second)
+    other = rows.withColumn("qty_shortage", (F.col("qty_shortage") * 2).cast(QTY))
+    return rows.withColumn("batch_id", F.lit(BATCH)).unionByName(other.withColumn("batch_id", F.lit(BATCH + 1)))
 
 
 RAW_TABLES = {

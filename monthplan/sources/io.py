@@ -8,6 +8,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+PARTITION_OPTIONS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
+def jdbc_options(options: dict | None = None, query: str | None = None, table: str | None = None) -> dict[str, str]:
+    """The options of a JDBC read of a statement or a table.
+
+    Spark doesn't split a ``query`` read, so with ``partitionColumn`` the statement is given as a derived table.
+    """
+    if (query is None) == (table is None):
+        raise ValueError("jdbc read needs either query= or table=")
+    out = {k: str(v) for k, v in (options or {}).items()}
+    given = [k for k in PARTITION_OPTIONS if k in out]
+    if "partitionColumn" in out and len(given) < len(PARTITION_OPTIONS):
+        raise ValueError(f"a split read needs all of {PARTITION_OPTIONS}")
+    if table is not None:
+        return {**out, "dbtable": table}
+    if "partitionColumn" in out:
+        return {**out, "dbtable": f"({query.strip().rstrip(';')}) q"}
+    return {**out, "query": query}
 
 
 def read_source(spark: SparkSession, fmt: str, *, path: str | None = None, options: dict | None = None,
@@ -22,19 +44,12 @@ def read_source(spark: SparkSession, fmt: str, *, path: str | None = None, optio
     * any file format (``parquet``, ``orc``, ...): ``path``; the predicate becomes parquet ``PushedFilters`` and the
       column list the ``ReadSchema``.
     """
-    reader = spark.read.format(fmt).options(**(options or {}))
     if fmt == "jdbc":
-        if query is not None:
-            reader = reader.option("query", query)
-        elif table is not None:
-            reader = reader.option("dbtable", table)
-        else:
-            raise ValueError("jdbc read needs query= or table=")
-        df = reader.load()
+        df = spark.read.format(fmt).options(**jdbc_options(options, query, table)).load()
     else:
         if path is None:
             raise ValueError(f"{fmt} read needs path=")
-        df = reader.load(path)
+        df = spark.read.format(fmt).options(**(options or {})).load(path)
     if columns is not None:
         df = df.select(*columns)
     if predicate is not None:
@@ -75,12 +90,11 @@ def copy_slice(src: DataFrame, dst_path: str, predicate: Column | str, partition
     return None
 
 
-def overwrite_batch(df: DataFrame, path: str, batch_col: str = "batch_id", extra_partitions: Sequence[str] = ()) \
-        -> None:
-    """Replace the rows of the batches present in ``df`` and keep every other batch.
+def overwrite_batch(df: DataFrame, path: str, batch_id: int, batch_col: str = "batch_id") -> None:
+    """Replace the rows of one batch by those of ``df`` and keep every other batch.
 
-    The table is partitioned by ``batch_col``; dynamic partition overwrite deletes and rewrites exactly the partitions
-    ``df`` writes (the delete-then-insert of one batch, atomic per partition).
+    The table is partitioned by ``batch_col`` and the batch's folder is overwritten, so a re-plan without rows leaves
+    the batch empty (delete, then insert) instead of keeping the last run's.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(batch_col, *extra_partitions).parquet(path))
+    rows = df.where(F.col(batch_col) == F.lit(batch_id)).drop(batch_col) if batch_col in df.columns else df
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{batch_col}={batch_id}")

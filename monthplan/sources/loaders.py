@@ -62,7 +62,8 @@ def load_demand(raw: DataFrame, batch_id: int, demand_type: int = 10) -> DataFra
     """Month demand with next month's demand of the same key.
 
     ``demand_qty_next`` / ``dt2`` are the quantity and month of the row one month later, falling back to the row's
-    own values.  Keys are unique per month after the aggregate, so the self join on ``dt + 1 month`` becomes a
+    own values (a next month whose quantity is NULL falls back on the quantity, not on the month).  Duplicate demand rows
+    of a key and month are summed.  Keys are unique per month after the aggregate, so the self join on ``dt + 1 month`` becomes a
     ``lead`` over the key's months: one shuffle by key instead of a join.
     """
     d = (_batch(raw, batch_id).where(F.col("demand_type") == F.lit(demand_type))
@@ -74,7 +75,7 @@ def load_demand(raw: DataFrame, batch_id: int, demand_type: int = 10) -> DataFra
     return (d.withColumn("_nd", nxt_dt).withColumn("_nq", nxt_qty)
             .withColumn("_adj", F.coalesce(F.col("_nd") == F.add_months(F.col("dt"), 1), F.lit(False)))
             .select("batch_id", "stockorg_code", "sku_code", "dt", "demand_qty",
-                    F.when(F.col("_adj"), F.col("_nq")).otherwise(F.col("demand_qty")).alias("demand_qty_next"),
+                    F.coalesce(F.when(F.col("_adj"), F.col("_nq")), F.col("demand_qty")).alias("demand_qty_next"),
                     F.when(F.col("_adj"), F.col("_nd")).otherwise(F.col("dt")).alias("dt2")))
 
 

@@ -53,8 +53,8 @@ def test_best_transfer_breaks_priority_ties_by_sender(spark):
     assert [(r.send_stockorg_code, r.priority) for r in best] == [("warehouse.FA", 1)]
 
 
-@pytest.mark.parametrize("layout", ["month_tables", "bucketed"])
-def test_rollforward_with_role_switch(spark, layout):
+@pytest.mark.parametrize("buckets", [None, 1, 5])
+def test_rollforward_with_role_switch(spark, buckets):
     # R receives from B in January; in February R can produce and B cannot, so B receives from R.
     prod = spark.createDataFrame([("FB", "L", "S1", J, FEB, "warehouse.FB"), ("FR", "L", "S1", FEB, MAR, "warehouse.FR")],
                                  PROD_T)
@@ -65,7 +65,7 @@ def test_rollforward_with_role_switch(spark, layout):
     stock0 = spark.createDataFrame([("warehouse.FR", "S1", D(4), J), ("warehouse.FB", "S1", D(0), J)], STOCK_T)
     safety = spark.createDataFrame([], SAFETY_T)
     best = dm.best_transfer(dm.unproducible_demand(demand, prod), dm.viable_routes(routes, prod))
-    out = rf.rollforward([J, FEB], stock0, demand, prod, best, safety, layout=layout)
+    out = rf.rollforward([J, FEB], stock0, demand, prod, best, safety, buckets=buckets)
     got = {(r.stockorg_code, r.dt): (r.begin_stock_qty, r.demand_qty, r.production_qty, r.trans_in_qty,
                                      r.trans_out_qty, r.todo_qty, r.end_stock_qty) for r in out.collect()}
     assert got == {
@@ -192,9 +192,9 @@ def test_advance_rounds_and_carry(spark):
         ("F1", "SPECIAL_A", FEB, D(9), D(0)),
     ], GAP_T)
     st = adv.advance_state(gap, [J, FEB, MAR], ["SPECIAL_A"])
-    moves = sorted((r.linetype, r.linetype2, r.dt, r.qty_tomove) for r in adv.advance_production(st, 1).collect())
+    moves = sorted((r.linetype, r.linetype2, r.dt, r.qty_tomove) for r in adv.early_moves(st, 1).collect())
     assert moves == [("ordinary-can", "ordinary-can", FEB, D(5)), ("ordinary-can", "pure-can", MAR, D(4))]
-    tomove = sorted((r.linetype, r.dt, r.qty_tomove, r.qty_left) for r in adv.advance_tomove_month(st, 1).collect())
+    tomove = sorted((r.linetype, r.dt, r.qty_tomove, r.qty_left) for r in adv.early_moves_month(st, 1).collect())
     assert tomove == [("ordinary-can", J, D(1), D(1)), ("ordinary-can", FEB, D(6), D(1))]
 
 
@@ -205,13 +205,13 @@ def test_advance_literal_overpromises_and_conserving_mode_does_not(spark):
         ("F1", "pure-bottle", MAR, D(0), D(0)),
     ], GAP_T)
     gap2 = gap.unionByName(spark.createDataFrame([("F1", "SPECIAL_A", MAR, D(0), D(5))], GAP_T))
-    literal = adv.advance_production(adv.advance_state(gap2, [FEB, MAR], ["SPECIAL_A"]), 1)
+    literal = adv.early_moves(adv.advance_state(gap2, [FEB, MAR], ["SPECIAL_A"]), 1)
     assert literal.agg(F.sum("qty_tomove")).first()[0] == D(5)
     gap3 = spark.createDataFrame([
         ("F1", "pure-can", MAR, D(5), D(3)), ("F1", "ordinary-can", MAR, D(0), D(5)),
     ], GAP_T)
-    lit = adv.advance_production(adv.advance_state(gap3, [FEB, MAR], []), 1)
-    cons = adv.advance_production(adv.advance_state(gap3, [FEB, MAR], [], consume_surplus=True), 1)
+    lit = adv.early_moves(adv.advance_state(gap3, [FEB, MAR], []), 1)
+    cons = adv.early_moves(adv.advance_state(gap3, [FEB, MAR], [], consume_surplus=True), 1)
     # literal: pure-can takes 3 of its own 5, ordinary-can is still offered all 5 -> 8 promised from a surplus of 5
     assert lit.agg(F.sum("qty_tomove")).first()[0] == D(8)
     assert cons.agg(F.sum("qty_tomove")).first()[0] == D(5)
@@ -309,9 +309,9 @@ def test_advance_matches_plain_loop(spark, consume):
     gap = spark.createDataFrame(rows, GAP_T)
     st = adv.advance_state(gap, months, ["SPECIAL_A"], consume_surplus=consume)
     got_moves = {(r.factory_code, r.linetype, r.linetype2, r.dt, r.qty_tomove)
-                 for r in adv.advance_production(st, 1).collect()}
+                 for r in adv.early_moves(st, 1).collect()}
     got_tomove = {(r.factory_code, r.linetype, r.dt, r.qty_tomove, r.qty_left)
-                  for r in adv.advance_tomove_month(st, 1).collect()}
+                  for r in adv.early_moves_month(st, 1).collect()}
     want_moves, want_tomove = reference_advance(rows, months, ["SPECIAL_A"], consume)
     assert got_moves == want_moves
     assert got_tomove == want_tomove
@@ -322,14 +322,14 @@ def reference_rollforward(months, stock0, demand, prod, routes, safety):
     def producible(k, m):
         return any(o == k[0] and s == k[1] and a <= m < b for o, s, a, b in prod)
 
-    unprod = {(k, m): q for (k, m), q in demand.items() if q > 0 and not producible(k, m)}
+    unprod = {(k, m): q for (k, m), q in demand.items() if q and q > 0 and not producible(k, m)}
     best = {}
     for rk, sk, m, prio in routes:
         if (rk, m) in unprod and producible(sk, m):
             cand = (prio, sk[0], sk[1])
             if (rk, m) not in best or cand < best[(rk, m)]:
                 best[(rk, m)] = cand
-    stock, out = dict(stock0), {}
+    stock, out = {k: q or D(0) for k, q in stock0.items()}, {}
     for m in months:
         need = {}
         for (k, mm), (prio, so, ss) in best.items():
@@ -342,7 +342,7 @@ def reference_rollforward(months, stock0, demand, prod, routes, safety):
                 | set(need) | set(sent))
         nxt = {}
         for k in keys:
-            b, d, s = stock.get(k, 0), demand.get((k, m), 0), safety.get((k, m), 0)
+            b, d, s = stock.get(k, 0), demand.get((k, m)) or D(0), safety.get((k, m), 0)
             p = d if (k, m) in demand and producible(k, m) else 0
             i, o = need.get(k, (0, None))[0], sent.get(k, 0)
             todo = 0 if i > 0 else max(d + o + s - b - i, 0)
@@ -353,8 +353,8 @@ def reference_rollforward(months, stock0, demand, prod, routes, safety):
     return out
 
 
-@pytest.mark.parametrize("layout", ["month_tables", "bucketed"])
-def test_rollforward_matches_plain_loop(spark, layout):
+@pytest.mark.parametrize("buckets", [None, 1, 5])
+def test_rollforward_matches_plain_loop(spark, buckets):
     rnd = random.Random(3)
     months = [J, FEB, MAR, APR]
     after = [J, FEB, MAR, APR, dt.date(2024, 5, 1)]
@@ -364,9 +364,10 @@ def test_rollforward_matches_plain_loop(spark, layout):
         for _ in range(rnd.choice([0, 1, 1, 2])):
             a = rnd.randrange(0, 4)
             prod.append((k[0], k[1], after[a], after[rnd.randrange(a + 1, 5)]))
-    demand = {(k, m): D(rnd.randint(0, 30)) for k in keys for m in months if rnd.random() < 0.7}
+    demand = {(k, m): D(rnd.randint(0, 30)) if rnd.random() < 0.9 else None
+              for k in keys for m in months if rnd.random() < 0.7}
     safety = {(k, m): D(rnd.randint(0, 9)) for k in keys for m in months if rnd.random() < 0.5}
-    stock0 = {k: D(rnd.randint(0, 25)) for k in keys if rnd.random() < 0.6}
+    stock0 = {k: D(rnd.randint(0, 25)) if rnd.random() < 0.9 else None for k in keys if rnd.random() < 0.6}
     routes = [(rk, sk, m, rnd.randint(1, 2)) for rk in keys for m in months for sk in rnd.sample(keys, 3)
               if sk != rk]
     got = rf.rollforward(
@@ -381,9 +382,48 @@ def test_rollforward_matches_plain_loop(spark, layout):
             dm.viable_routes(spark.createDataFrame([(rk[1], rk[0], sk[1], sk[0], p, m) for rk, sk, m, p in routes],
                                                    ROUTE_T),
                              spark.createDataFrame([("F", "L", s, a, b, o) for o, s, a, b in prod], PROD_T))),
-        spark.createDataFrame([(k[0], k[1], m, q) for (k, m), q in safety.items()], SAFETY_T), layout=layout)
+        spark.createDataFrame([(k[0], k[1], m, q) for (k, m), q in safety.items()], SAFETY_T), buckets=buckets)
     rows = {((r.stockorg_code, r.sku_code), r.dt): (r.begin_stock_qty, r.demand_qty, r.production_qty,
                                                     r.trans_in_qty, r.trans_out_qty, r.safety_stock_qty,
                                                     r.todo_qty, r.end_stock_qty) for r in got.collect()}
     want = reference_rollforward(months, stock0, demand, prod, routes, safety)
     assert rows == want
+
+
+def test_a_route_without_priority_comes_last(spark):
+    prod = spark.createDataFrame([(f, "L", "S1", J, MAR, f"warehouse.{f}") for f in ("FA", "FB")], PROD_T)
+    demand = spark.createDataFrame([("warehouse.FR", "S1", J, D(5))], DEMAND_T)
+    routes = spark.createDataFrame([("S1", "warehouse.FR", "S1", "warehouse.FA", 1, J),
+                                    ("S1", "warehouse.FR", "S1", "warehouse.FB", None, J)], ROUTE_T)
+    best = dm.best_transfer(dm.unproducible_demand(demand, prod), dm.viable_routes(routes, prod)).collect()
+    assert [(r.send_stockorg_code, r.priority) for r in best] == [("warehouse.FA", 1)]
+
+
+def test_next_month_without_quantity_falls_back(spark):
+    from monthplan.sources.loaders import load_demand
+
+    raw = spark.createDataFrame([(1, "W", "S", 2024, 1, D(7), 10), (1, "W", "S", 2024, 2, None, 10)],
+                                "batch_id int, stockorg_code string, sku_code string, year int, month int,"
+                                " demand_qty decimal(18,3), demand_type int")
+    got = {r.dt: (r.demand_qty, r.demand_qty_next, r.dt2) for r in load_demand(raw, 1).collect()}
+    assert got == {J: (D(7), D(7), FEB), FEB: (None, None, FEB)}
+
+
+CAP_T = ("factory_code string, linetype string, dt date, linetype_rn int, line_capacity decimal(18,3),"
+         " todo_qty decimal(18,3)")
+
+
+def test_unknown_rank_goes_last_and_factories_without_ceiling_are_left_out(spark):
+    cap = spark.createDataFrame([("F1", "a", J, 1, D(10), D(10)), ("F1", "m", J, None, D(10), D(10)),
+                                 ("F1", "z", J, 2, D(10), D(10)), ("F2", "a", J, 1, D(10), D(10))], CAP_T)
+    ceiling = spark.createDataFrame([("F1", J, D(15))], "factory_code string, dt date, factory_capacity decimal(18,3)")
+    got = {(r.factory_code, r.linetype): r.assigned_capacity for r in rb.rebalance_capacity(cap, ceiling).collect()}
+    assert got == {("F1", "z"): D(10), ("F1", "a"): D(5), ("F1", "m"): D(0)}
+
+
+def test_two_gap_rows_of_one_line_type_are_summed(spark):
+    gap = spark.createDataFrame([("F1", "pure-can", J, D(0), D(2)), ("F1", "pure-can", J, D(0), D(3))], GAP_T)
+    st = adv.advance_state(gap, [J, FEB], [])
+    assert [(r.linetype, r.qty_shortage) for r in adv.month_shortage(st).collect()] == [("pure-can", D(5))]
+    assert [(r.linetype, r.qty_left) for r in adv.unfilled_shortage(st, 1).collect()] == [("pure-can", D(5))]
+    assert adv.early_moves_month(st, 1).count() == 0

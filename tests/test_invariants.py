@@ -51,10 +51,10 @@ def test_advance_conserves_shortage(plan):
     from monthplan.operators import advance as adv
 
     st = plan.advance_state()
-    moves = adv.advance_production(st, 1)
+    moves = adv.early_moves(st, 1)
     assert moves.where("qty_tomove <= 0").count() == 0
     short = adv.month_shortage(st)
-    carried = adv.advance_tomove_month(st, 1)
+    carried = adv.early_moves_month(st, 1)
     # per (factory, line type, month): shortage = moves made that month + shortage carried to the month before
     m = moves.groupBy("factory_code", "linetype", "dt").agg(F.sum("qty_tomove").alias("moved"))
     c = carried.select("factory_code", "linetype", F.add_months("dt", 1).alias("dt"), F.col("qty_tomove").alias("c"))
@@ -63,9 +63,10 @@ def test_advance_conserves_shortage(plan):
            .where(F.col("dt") != F.lit(first))
            .where(F.col("qty_shortage") != F.coalesce("moved", F.lit(0)) + F.coalesce("c", F.lit(0))))
     assert chk.count() == 0
-    cons = adv.advance_production(plan.advance_state(consume_surplus=True), 1)
+    cons = adv.early_moves(plan.advance_state(consume_surplus=True), 1)
     over = (cons.groupBy("factory_code", "linetype2", "dt").agg(F.sum("qty_tomove").alias("q"))
-            .join(plan.capacity_gap.withColumnRenamed("linetype", "linetype2"), ["factory_code", "linetype2", "dt"])
+            .join(plan.capacity_gap.groupBy("factory_code", F.col("linetype").alias("linetype2"), "dt")
+                  .agg(F.sum("qty_surplus").alias("qty_surplus")), ["factory_code", "linetype2", "dt"])
             .where("q > qty_surplus"))
     assert over.count() == 0
 
@@ -89,8 +90,8 @@ def test_results_have_the_declared_schemas(plan):
         (plan.factory_linetype_todo, sc.FACTORY_LINETYPE_TODO),
         (plan.factory_sku_todo, sc.FACTORY_SKU_TODO),
         (plan.rebalanced, sc.ASSIGNED_CAPACITY),
-        (adv.advance_production(st, 1), sc.MOVES),
-        (adv.advance_tomove_month(st, 1), sc.MONTH_TO_MOVE),
+        (adv.early_moves(st, 1), sc.MOVES),
+        (adv.early_moves_month(st, 1), sc.MONTH_TO_MOVE),
     ]
     for df, schema in checks:
         assert sc.shape(df.schema) == sc.shape(schema)

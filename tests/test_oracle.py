@@ -38,16 +38,3 @@ def test_entry_smoke(spark):
     assert df.columns == ["stockorg_code", "sku_code", "dt", "begin_stock_qty", "demand_qty", "production_qty",
                           "trans_in_qty", "trans_out_qty", "safety_stock_qty", "todo_qty", "end_stock_qty"]
     assert df.count() > 0
-
-
-def test_bucketed_rollforward_matches_oracle(spark):
-    """The bucketed layout (chosen automatically only above a million demand rows) on the sf0.01 fixtures."""
-    from monthplan.functions.quantities import to_edge
-    from monthplan.operators.rollforward import RESULT_COLUMNS
-    from monthplan.plans.inputs import Plan
-
-    medium = "/root/testdata/sf0.01"
-    got = to_edge(Plan(spark, medium, materialize=True, layout="bucketed").todo.select(*RESULT_COLUMNS)).toPandas()
-    want = duck(medium).execute(ORACLE["inventory_rollforward"]).df()
-    r = compare(got, want)
-    assert r["columns_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"], r

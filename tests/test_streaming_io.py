@@ -1,10 +1,11 @@
 """Sources, sinks and the landing trigger."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from monthplan.session import scratch_table
 from monthplan.plans.inputs import Plan
-from monthplan.sources.io import copy_slice, overwrite_batch, read_source
+from monthplan.sources.io import jdbc_options, copy_slice, overwrite_batch, read_source
 from monthplan.streaming import plan_landed_batches
 
 import datetime as _dt
@@ -25,10 +26,25 @@ def test_read_source_pushes_filter_and_columns(spark):
 def test_overwrite_batch_keeps_other_batches(spark):
     path = scratch_table(spark, "t_batches")
     a = spark.createDataFrame([(1, "x", 1), (2, "y", 2)], "batch_id int, k string, v int")
-    overwrite_batch(a, path)
-    overwrite_batch(spark.createDataFrame([(1, "z", 9)], "batch_id int, k string, v int"), path)
+    overwrite_batch(a, path, 1)
+    overwrite_batch(a, path, 2)
+    overwrite_batch(spark.createDataFrame([(1, "z", 9)], "batch_id int, k string, v int"), path, 1)
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("batch_id", "k", "v").collect())
     assert got == [(1, "z", 9), (2, "y", 2)]
+    overwrite_batch(a.limit(0), path, 1)  # a plan without rows leaves its batch empty
+    assert [tuple(r) for r in spark.read.parquet(path).select("batch_id", "k", "v").collect()] == [(2, "y", 2)]
+
+
+def test_jdbc_options():
+    split = {"url": "jdbc:x", "partitionColumn": "id", "lowerBound": 0, "upperBound": 9, "numPartitions": 3}
+    assert jdbc_options({"url": "jdbc:x"}, query="select 1") == {"url": "jdbc:x", "query": "select 1"}
+    assert jdbc_options(split, query="select * from t;")["dbtable"] == "(select * from t) q"
+    assert jdbc_options(split, table="s.t")["dbtable"] == "s.t"
+    for bad in ({}, {"query": "q", "table": "t"}):
+        with pytest.raises(ValueError):
+            jdbc_options({}, **bad)
+    with pytest.raises(ValueError):
+        jdbc_options({"partitionColumn": "id"}, table="t")
 
 
 def test_copy_slice_replaces_only_touched_partitions(spark):
@@ -43,14 +59,14 @@ def test_copy_slice_replaces_only_touched_partitions(spark):
 def test_landing_trigger_plans_each_batch_once(spark):
     landing = scratch_table(spark, "t_landing")
     raw = Plan(spark, SMALL).raw("demand_raw")
-    raw.where("batch_id = 1").write.parquet(landing)
+    raw.where("batch_id = 15").write.parquet(landing)
     seen = []
     q = plan_landed_batches(spark, landing, raw.schema, seen.append, checkpoint=landing + "-ckpt")
     q.awaitTermination(120)
-    raw.where("batch_id = 2").write.mode("append").parquet(landing)
+    raw.where("batch_id = 16").write.mode("append").parquet(landing)
     q = plan_landed_batches(spark, landing, raw.schema, seen.append, checkpoint=landing + "-ckpt")
     q.awaitTermination(120)
-    assert seen == [1, 2]
+    assert seen == [15, 16]
 
 
 def test_write_results_replaces_only_its_batch(spark):
@@ -65,9 +81,9 @@ def test_write_results_replaces_only_its_batch(spark):
                                   "qty_shortage double")
     from monthplan.sources.io import overwrite_batch
 
-    overwrite_batch(other, paths["capacity_gap"])  # another batch lands in the same table
+    overwrite_batch(other, paths["capacity_gap"], 2)  # another batch lands in the same table
     expected = {name: df.count() for name, df in result_tables(plan).items()}
     for name, path in paths.items():
         got = spark.read.parquet(path)
-        assert got.where("batch_id = 1").count() == expected[name], name
+        assert got.where(f"batch_id = {plan.batch_id}").count() == expected[name], name
     assert spark.read.parquet(paths["capacity_gap"]).where("batch_id = 2").count() == 1
