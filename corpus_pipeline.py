@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthplan.llm import circulant_minhash, packing, radix_dedup, secret_scan, toxicity
-from monthplan.llm.tables import read_table, ship_package, stored
+from monthplan.llm.tables import drop, read_table, ship_package, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -75,6 +75,10 @@ ORACLE_SQL = None  # a trained model, LSH and tokenizers have no SQL form; tests
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read again."""
     docs = read_table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            drop(before)  # its one reader is written
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -115,8 +115,8 @@ def first_digit(size: int, gram: int):
             later = _later(head, doc, lo)
             by_doc = np.argsort(doc[later], kind="stable")
             late_doc, late_lo, late_stop = doc[later][by_doc], lo[later][by_doc], stop[later][by_doc]
-            cuts = np.flatnonzero(_changed(late_doc)) if len(late_doc) else []
-            for x, y in zip(cuts, [*cuts[1:], len(late_doc)], strict=True):
+            cuts = [*np.flatnonzero(_changed(late_doc)), len(late_doc)]
+            for x, y in zip(cuts, cuts[1:], strict=False):
                 begin, end = merged(late_lo[x:y], late_stop[x:y])
                 sure += zip([int(late_doc[x])] * len(begin), begin.tolist(), end.tolist(), strict=True)
             n, m = int(head.sum()), len(sure)

@@ -76,3 +76,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_table(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the files that a stored table is read from; nothing may read it any more."""
+    jvm = df.sparkSession._jvm
+    conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
