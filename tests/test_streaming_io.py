@@ -87,3 +87,14 @@ def test_write_results_replaces_only_its_batch(spark):
         got = spark.read.parquet(path)
         assert got.where(f"batch_id = {plan.batch_id}").count() == expected[name], name
     assert spark.read.parquet(paths["capacity_gap"]).where("batch_id = 2").count() == 1
+
+
+def test_a_closed_plan_leaves_no_tables(spark):
+    import os
+
+    other = scratch_table(spark, "other")
+    spark.range(3).write.parquet(other)
+    plan = Plan(spark, SMALL, materialize=True)
+    plan.calendar
+    plan.close()
+    assert not os.path.isdir(plan._folder.removeprefix("file:")) and os.path.isdir(other.removeprefix("file:"))
