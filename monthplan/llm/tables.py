@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -15,18 +15,23 @@ from monthplan.session import ensure_checkpoint_dir, scratch_table
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once a context, so that their Python workers can import it."""
+    """Send this package to the executors, through the shared folder and once a context, so that they can import it."""
     context = spark.sparkContext
     if getattr(context, "_monthplan_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="monthplan-"), "monthplan.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
         for folder, _, files in os.walk(root):
             for name in files:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    path = f"{scratch_table(spark, 'package')}/monthplan.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(target)
+    stream.write(bytearray(packed.getvalue()))
+    stream.close()
     context.addPyFile(path)
     context._monthplan_shipped = True
 
