@@ -24,7 +24,7 @@ def plan_landed_batches(spark: SparkSession, landing_path: str, schema: StructTy
     """
 
     def each(micro: DataFrame, epoch_id: int) -> None:
-        for (batch_id,) in micro.select(batch_col).distinct().orderBy(batch_col).collect():
+        for (batch_id,) in micro.select(batch_col).distinct().orderBy(batch_col).toLocalIterator():
             run_batch(batch_id)
 
     writer = (spark.readStream.schema(schema).parquet(landing_path)
