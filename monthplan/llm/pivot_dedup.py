@@ -25,8 +25,8 @@ from .tables import checkpointed, narrow, read_table, ship_package
 from .vp_search import usable
 
 MIN_PIVOTS, MAX_PIVOTS = 64, 8192  # about 4 * sqrt(rows), within these: the broadcast pivots stay under 8192 vectors
-PREFIX = 24  # pivots in a description
-SHARED = 5  # that two descriptions must share
+PREFIX = 16  # pivots in a description
+SHARED = 4  # that two descriptions must share
 BLOCK_ROWS = 2048
 COSINE = 0.9
 
