@@ -81,7 +81,7 @@ class ByteBpe:
         self._whole = {token: rank for rank, token in enumerate(self.ranks)}
         self._map = {b: c for b, c in enumerate(byte_alphabet())}
         self._encoder = PreTokenEncoder(pattern, self._encode_new)
-        self.encode = self._encoder.encode
+        self.encode, self.forget = self._encoder.encode, self._encoder.forget
 
     def _encode_new(self, tokens: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(tokens)
@@ -129,6 +129,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
                 for column, value in zip(columns[1:len(types)], row, strict=False):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names=names)
+        codec.forget()
 
     return id_text(docs, id_col, text_col).mapInArrow(run, schema)
 

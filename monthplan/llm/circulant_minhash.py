@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components, forest
-from .shingles import mix64, shingle_sets
+from .shingles import forget, mix64, shingle_sets
 from .tables import checkpointed, id_text, read_table, ship_package, text_pieces
 
 BANDS, ROWS = 24, 7  # a pair at 0.85 shares no band with a probability of 1e-4
@@ -73,6 +73,7 @@ def signatures(texts: DataFrame, bands: int, rows: int, width: int) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [piece.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
                  pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_key", "bands"])
+        forget()
 
     return texts.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
 
@@ -85,6 +86,7 @@ def sets_of(texts: DataFrame, width: int) -> DataFrame:
             sets = [s.view(np.int64) for s in shingle_sets(piece.column(1).to_pylist(), width)]
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(sets, pa.list_(pa.int64()))],
                                              names=["doc_id", "shingles"])
+        forget()
 
     return texts.mapInArrow(run, "doc_id long, shingles array<long>")
 

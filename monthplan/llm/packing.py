@@ -51,6 +51,7 @@ class TokenizerEncoder:
         line = self._tokenizer.encode("\n", add_special_tokens=False).ids
         self._line = line[0] if len(line) == 1 else None
         self._encoder = PreTokenEncoder(pattern, self._encode_new)
+        self.forget = self._encoder.forget
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [not any(s in t for s in self._special) for t in texts]
@@ -188,6 +189,7 @@ def pack(docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str = "doc_
             for doc_id, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1).to_pylist()), strict=True):
                 packer.add(doc_id, ids + end)
             yield done()
+        encoder.forget()
         packer.close()
         yield done()
 

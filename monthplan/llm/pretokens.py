@@ -1,4 +1,4 @@
-"""Encoding whole texts pre-token by pre-token, with the encodings of recent chunks kept in each Python worker.
+"""Encoding whole texts pre-token by pre-token, with the encodings of recent chunks kept while a task runs.
 
 Text is cut at every space that stands between two non-space characters: there the pre-token pattern always starts a
 new match, so the chunks can be split and encoded apart. Texts in which white space precedes a space take the pattern
@@ -23,7 +23,7 @@ class PreTokenEncoder:
     memories (a full one is emptied; results don't depend on it).
     """
 
-    def __init__(self, pattern: str, encode_new: Callable[[list[str]], list[bytes]], keep: int = 1_000_000):
+    def __init__(self, pattern: str, encode_new: Callable[[list[str]], list[bytes]], keep: int = 500_000):
         self._find = regex.compile(pattern).findall
         self._encode_new = encode_new
         self._keep = keep
@@ -58,6 +58,11 @@ class PreTokenEncoder:
                 kept.clear()
         return out
 
+    def forget(self) -> None:
+        """Give the memory back: workers outlive tasks and stages."""
+        self._tokens.clear()
+        self._chunks.clear()
+
     def _learn(self, chunks: set[str], heads: set[str]) -> None:
         """Learn chunks and pre-tokens. Letters alone are one pre-token with their space, a mark after them another."""
         words, split = {}, {}

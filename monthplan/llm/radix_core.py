@@ -19,7 +19,7 @@ _cache: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     known = _cache.get(base)
     if known is None or len(known[0]) < n:
-        size, out = 1 << (n - 1).bit_length(), []
+        size, out = -(-n // 500_000) * 500_000, []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, np.uint64(b))
             p[0] = 1
@@ -28,6 +28,11 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return known[0][:n], known[1][:n]
 
 
+def forget() -> None:
+    """Give the tables of powers back: workers outlive tasks and stages."""
+    _cache.clear()
+
+
 class Rolling:
     """Hash of any byte range of one buffer in constant time; ``which`` selects one of two independent bases."""
 

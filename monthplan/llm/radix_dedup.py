@@ -26,13 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .radix_core import Rolling, anchors
+from .radix_core import Rolling, anchors, forget
 from .tables import carried_schema, read_table, ship_package, stored, text_pieces
 
 SIZE = 100
 GRAM = 36
 NO_ID = -(1 << 63)  # stands for a null id, before all others
-CHUNK_BYTES = 5_000_000
+CHUNK_BYTES = 4_000_000
 
 _RUNS = "first long, second long, doc long, place long, sure boolean"
 _PLACES = "doc long, lo int, stop int, off int"
@@ -126,6 +126,7 @@ def first_digit(size: int, gram: int):
                 pa.array(np.r_[_signed(first[head]), s[:, 0] * 0x9E3779B97F4A7C1 + s[:, 1]]),
                 pa.array(np.r_[_signed(second[head]), s[:, 2]]), pa.array(np.r_[doc[head], s[:, 0]]),
                 pa.array(np.r_[place, s[:, 1]]), pa.array(np.arange(n + m) >= n)], names=[c.split()[0] for c in _RUNS.split(", ")])
+        forget()
 
     return run
 
@@ -203,6 +204,7 @@ def second_digit(size: int, gram: int):
                     pa.array(begin - base[have], pa.int32()),
                     pa.array([joined[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())],
                     names=["key", "doc", "lo", "body"])
+        forget()
 
     return run
 
@@ -238,6 +240,7 @@ def windows(size: int):
                         held = (*row, False)
                 if out:
                     yield spread(*map(list, zip(*out, strict=True)))
+        forget()
 
     return run
 

@@ -24,7 +24,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd base and of its inverse modulo 2^64."""
     if len(_powers["up"]) < n:
-        size = 1 << (n - 1).bit_length()
+        size = -(-n // 500_000) * 500_000
         for name, base in (("up", int(_BASE)), ("down", pow(int(_BASE), -1, 1 << 64))):
             p = np.full(size, np.uint64(base))
             p[0] = 1
@@ -32,6 +32,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
+def forget() -> None:
+    """Give the tables of powers back: workers outlive tasks and stages."""
+    _powers["up"] = _powers["down"] = np.ones(1, np.uint64)
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word of all texts in order, number of words of each text).
 
