@@ -1,14 +1,17 @@
 """Embedding near-dedup through a pivot-permutation index.
 
-A bounded number of vectors serve as pivots. Each distinct vector is described by its nearest pivots in order, and
-posted in the inverted lists of those. Two vectors are candidates when their descriptions share at least ``shared``
-pivots; candidates are verified by their cosine in double precision. Sharing ``shared`` of ``prefix`` pivots means
-sharing one of the rarest ``prefix - shared + 1`` of either, so only those are posted.
-
-Lists are cut into blocks by a hash, and every pair of a list's blocks is one group: no list is ever gathered whole,
-whatever its share of the rows. A group emits how many links each of its vectors has and a forest of them, never the
-pairs, so a large group of near copies costs its comparisons but not its pairs as rows. A pair that meets in several
-lists is counted in the first of them only.
+A bounded number of vectors serve as pivots, no two of them alike: a crowd of similar vectors is drawn as often as it
+has members, and among hundreds of pivots of its own each of its vectors would be near others. Each distinct vector is
+described by its nearest pivots in order, and posted in the inverted lists of those; the nearest is its home. Two
+vectors are candidates when their descriptions share at least ``shared`` pivots, and all of a list's pairs are compared
+by their cosine in double precision.
+
+A pair of one home is counted in the list of that home, any other in the first list it meets in. Lists are cut into
+blocks by a hash, and every pair of a list's blocks is one group: no list is ever gathered whole, whatever its share of
+the rows. A home that fills blocks of other lists has blocks of its own there, which aren't paired with each other, so
+a crowd is compared with itself once and not in every list it shares. A group emits how many links each of its vectors
+has and a forest of them, never the pairs, so a large group of near copies costs its comparisons but not its pairs as
+rows.
 """
 
 from __future__ import annotations
@@ -26,8 +29,10 @@ from .vp_search import usable
 
 MIN_PIVOTS, MAX_PIVOTS = 64, 8192  # about 4 * sqrt(rows), within these: the broadcast pivots stay under 8192 vectors
 PREFIX = 16  # pivots in a description
-SHARED = 4  # that two descriptions must share
+SHARED = 1  # that two descriptions must share
+APART = 0.6  # no two pivots have this cosine
 BLOCK_ROWS = 2048
+MAX_ZONES = 65_536  # homes with blocks of their own in other lists, at most
 COSINE = 0.9
 
 
@@ -36,40 +41,56 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def link_blocks(x: np.ndarray, pivots: np.ndarray, posted: np.ndarray, side: np.ndarray | None, here: int,
-                shared: int, cosine: float) -> np.ndarray:
-    """Boolean matrix of the verified pairs (i < j by place) of one block pair.
+def thinned(pivots: np.ndarray, apart: float = APART) -> np.ndarray:
+    """The unit vectors, in order, that have no cosine of ``apart`` with one kept before."""
+    kept = pivots[:0]
+    for at in range(0, len(pivots), 256):
+        part = pivots[at:at + 256]
+        part = part[(part @ kept.T < apart).all(axis=1)]
+        near, new = part @ part.T >= apart, []
+        for i in range(len(part)):
+            if not near[i, new].any():
+                new.append(i)
+        kept = np.concatenate([kept, part[new]])
+    return kept
 
-    ``pivots`` holds each row's description as pivot ranks ascending, -1 where it has no more; the first ``posted``
-    of them are the lists it stands in. Where two blocks meet, ``side`` tells them apart and only pairs across them
-    count. ``here`` is the rank of this list.
+
+def link_blocks(x: np.ndarray, near: np.ndarray, side: np.ndarray | None, here: int, shared: int,
+                cosine: float) -> np.ndarray:
+    """Boolean matrix of the verified pairs of one block pair that count in this list, each pair once.
+
+    ``near`` holds each row's description, its home first, -1 where it has no more. Where two blocks meet, ``side``
+    tells them apart and only pairs across them count. ``here`` is the pivot of this list.
     """
     n = len(x)
-    counts, earlier = np.zeros((n, n), np.uint16), np.zeros((n, n), bool)
-    row = np.repeat(np.arange(n), pivots.shape[1])
-    place = np.tile(np.arange(pivots.shape[1]), n)
-    flat = pivots.ravel()
-    keep = flat >= 0
-    row, place, flat = row[keep], place[keep], flat[keep]
+    left, right = (np.arange(n),) * 2 if side is None else (np.flatnonzero(~side), np.flatnonzero(side))
+    c = x[left] @ x[right].T
+    good = c >= cosine
+    i, j = np.nonzero(np.abs(c - cosine) < 1e-9)  # summed in the order of the pair alone
+    good[i, j] = np.einsum("ij,ij->i", x[left[i]], x[right[j]]) >= cosine
+    same = near[left, 0][:, None] == near[right, 0][None, :]
+    good &= ~same | (near[left, 0] == here)[:, None]
+    if side is None:
+        good = np.triu(good, 1)
+    links = np.zeros((n, n), bool)
+    links[np.ix_(left, right)] = good
+    linked = np.flatnonzero(links.any(axis=0) | links.any(axis=1))
+    if not len(linked):
+        return links
+    row, flat = np.repeat(linked, near.shape[1]), near[linked].ravel()
+    row, flat = row[flat >= 0], flat[flat >= 0]
     order = np.argsort(flat, kind="stable")
-    row, place, flat = row[order], place[order], flat[order]
+    row, flat = row[order], flat[order]
+    counts, earlier = np.zeros((n, n) if shared > 1 else (0, 0), np.uint16), np.zeros((n, n), bool)
     cuts = np.flatnonzero(np.diff(flat)) + 1
     for at, end in zip(np.r_[0, cuts], np.r_[cuts, len(flat)], strict=True):
-        members = row[at:end]
-        counts[np.ix_(members, members)] += 1
+        members = np.ix_(row[at:end], row[at:end])
+        if shared > 1:
+            counts[members] += 1
         if flat[at] < here:
-            members = members[place[at:end] < posted[members]]
-            earlier[np.ix_(members, members)] = True
-    wanted = np.triu((counts >= shared) & ~earlier, 1)
-    if side is not None:
-        wanted &= side[:, None] != side[None, :]
-    i, j = np.nonzero(wanted)
-    links = np.zeros((n, n), bool)
-    for at in range(0, len(i), 100_000):
-        a, b = i[at:at + 100_000], j[at:at + 100_000]
-        good = np.einsum("ij,ij->i", x[a], x[b]) >= cosine
-        links[a[good], b[good]] = True
-    return links
+            earlier[members] = True
+    links &= ~earlier | (near[:, 0][:, None] == near[:, 0][None, :])
+    return links & (counts >= shared) if shared > 1 else links
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", cosine: float = COSINE,
@@ -93,7 +114,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     tables = {}
     for r in picked:
         tables.setdefault(len(r["x"]), []).append(r["x"])
-    shared_pivots = spark.sparkContext.broadcast({d: _unit(np.array(v)) for d, v in tables.items()})
+    shared_pivots = spark.sparkContext.broadcast({d: thinned(_unit(np.array(v))) for d, v in tables.items()})
 
     def describe(batches):
         for b in batches:
@@ -104,7 +125,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                     for i in at:
                         near[i] = [0]
                     continue
-                k = min(prefix, len(table))
+                k = min(prefix, len(table), (len(table) + shared + 1) // 2)  # so many share ``shared`` in any case
                 for part in np.array_split(at, -(-len(at) // 1024)):
                     c = _unit(np.stack(b["x"].iloc[part].to_numpy())) @ table.T
                     top = np.argpartition(-c, k - 1, axis=1)[:, :k]
@@ -115,47 +136,51 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
     described = checkpointed(classes.select("rep", "size", "dim", "x").mapInPandas(
         describe, "rep long, size long, dim int, x array<double>, near array<int>"))
-    lists = described.select("dim", F.explode("near").alias("pivot")).groupBy("dim", "pivot").count().collect()
-    # at most MAX_PIVOTS lists a vector length; ranked from the rarest
-    rank = {(r["dim"], r["pivot"]): i for i, r in enumerate(sorted(lists, key=lambda r: (r["count"], r["dim"], r["pivot"])))}
-    shared_rank = spark.sparkContext.broadcast(rank)
-
-    def post(batches):
-        for b in batches:
-            ranks = [sorted(shared_rank.value[d, p] for p in near) for d, near in zip(b["dim"], b["near"], strict=True)]
-            yield pd.DataFrame({"rep": b["rep"], "size": b["size"], "x": b["x"], "ranks": ranks,
-                                "posted": [max(1, len(r) - min(shared, len(r)) + 1) for r in ranks]})
-
-    posted = described.mapInPandas(post, "rep long, size long, x array<double>, ranks array<int>, posted int")
-    posted = checkpointed(posted)
-    entries = posted.select("*", F.explode(F.slice("ranks", F.lit(1), F.col("posted"))).alias("list"))
-    sizes = entries.groupBy("list").count().select(
-        "list", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks")).where("blocks > 1")
-    blocks = {r["list"]: r["blocks"] for r in sizes.collect()}  # of the lists longer than a block, again bounded by the pivots
-    cuts = spark.createDataFrame(list(blocks.items()) or [(-1, 1)], "list int, blocks int")
-    entries = entries.join(F.broadcast(cuts), "list", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    entries = entries.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    entries = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    entries = entries.select("*", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    entries = described.select("*", F.col("near")[0].alias("home"), F.explode("near").alias("list"))
+    least = max(block_rows, n * prefix // MAX_ZONES)
+    sizes = checkpointed(entries.groupBy("dim", "list", "home").count())
+    sizes = sizes.withColumn("zone", F.when((F.col("home") != F.col("list")) & (F.col("count") > least), F.col("home")).otherwise(-1))
+    sizes = sizes.groupBy("dim", "list", "zone").agg(F.ceil(F.sum("count") / block_rows).cast("int").alias("blocks"))
+    # of the lists and zones longer than a block, bounded by the pivots of a vector length and MAX_ZONES
+    lists: dict[tuple, dict[int, int]] = {}
+    for r in sizes.where("blocks > 1 OR zone >= 0").collect():
+        lists.setdefault((r["dim"], r["list"]), {-1: 1})[r["zone"]] = r["blocks"]
+    cuts = []
+    for (dim, pivot), blocks in lists.items():
+        first, total = 0, sum(blocks.values())
+        for zone in sorted(blocks):  # what has no zone comes first
+            cuts.append((dim, pivot, zone, first, blocks[zone], total))
+            first += blocks[zone]
+    cuts = spark.createDataFrame(cuts or [(-1, -1, -1, 0, 1, 1)], "dim int, list int, zone int, first int, blocks int, total int")
+    rest = cuts.where("zone < 0").select("dim", "list", F.struct("zone", "first", "blocks", "total").alias("rest"))
+    zones = cuts.where("zone >= 0").select("dim", "list", F.col("zone").alias("home"), F.struct("zone", "first", "blocks", "total").alias("cut"))
+    whole = F.struct(F.lit(-1).alias("zone"), F.lit(0).alias("first"), F.lit(1).alias("blocks"), F.lit(1).alias("total"))
+    entries = entries.join(F.broadcast(rest), ["dim", "list"], "left").join(F.broadcast(zones), ["dim", "list", "home"], "left")
+    entries = entries.select("rep", "size", "x", "near", "dim", "list", F.coalesce("cut", "rest", whole).alias("cut"))
+    entries = entries.select("*", "cut.*").withColumn("own", (F.col("first") + F.pmod(F.xxhash64("rep"), F.col("blocks"))).cast("int"))
+    entries = entries.withColumn("other", F.explode(F.expr(
+        "filter(sequence(0, total - 1), o -> zone < 0 OR o < first OR o >= first + blocks)")))
+    entries = entries.select("rep", "size", "x", "near", "dim", "list", "own", F.least("own", "other").alias("lo"),
+                             F.greatest("own", "other").alias("hi"))
 
     def verify(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
-        here, lo, hi = key
+        _, here, lo, hi = key
         side = (b["own"].to_numpy() == hi) & (lo != hi)
         if len(b) > 1 and (lo == hi or side.any() and not side.all()):
             ids, size = b["rep"].to_numpy(), b["size"].to_numpy()
-            width = max(map(len, b["ranks"]))
-            ranks = np.full((len(b), width), -1)
-            for i, r in enumerate(b["ranks"]):
-                ranks[i, :len(r)] = r
-            links = link_blocks(_unit(np.stack(b["x"].to_numpy())), ranks, b["posted"].to_numpy(),
-                                side if lo != hi else None, here, min(shared, width), cosine)
+            width = max(map(len, b["near"]))
+            near = np.full((len(b), width), -1)
+            for i, r in enumerate(b["near"]):
+                near[i, :len(r)] = r
+            links = link_blocks(_unit(np.stack(b["x"].to_numpy())), near, side if lo != hi else None, here,
+                                min(shared, width), cosine)
             n_links = links @ size + links.T @ size
             out += [(int(i), None, int(c)) for i, c in zip(ids, n_links, strict=True) if c]
             out += [(a, m, 0) for a, m in forest(links, ids)]
         return pd.DataFrame(out, columns=["rep", "linked", "n"]).astype({"rep": "int64", "linked": "Int64", "n": "int64"})
 
-    found = checkpointed(entries.groupBy("list", "lo", "hi").applyInPandas(verify, "rep long, linked long, n long"))
+    found = checkpointed(entries.groupBy("dim", "list", "lo", "hi").applyInPandas(verify, "rep long, linked long, n long"))
     counts = found.where("linked IS NULL").groupBy("rep").agg(F.sum("n").alias("n"))
     components = connected_components(found.where("linked IS NOT NULL").select(F.col("rep").alias("a"), F.col("linked").alias("b")))
     classes = (classes.join(counts, "rep", "left").join(components.withColumnRenamed("id", "rep"), "rep", "left")

@@ -7,7 +7,7 @@ import pytest
 from helpers import components, rows
 from monthplan.llm import circulant_minhash as cm
 from monthplan.llm import pivot_dedup as pv
-from monthplan.llm.components import connected_components
+from monthplan.llm.components import connected_components, forest
 from monthplan.llm.shingles import shingle_sets
 
 
@@ -122,6 +122,23 @@ def test_vectors_against_all_pairs(spark, block_rows):
     assert [every[i] for i in range(400)] == near.sum(axis=1).tolist()  # one shared pivot of all: exact
 
 
+@pytest.mark.parametrize("block_rows", [2048, 500])
+def test_a_crowd_of_similar_vectors_keeps_its_links(spark, block_rows):
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((9000, 64))
+    x[:3000] = x[0] + x[:3000] * rng.choice([0.18, 0.25, 0.4], 3000)[:, None]  # a third of all
+    x[3000:3200] = x[3200:3400] + x[3000:3200] * 0.35  # pairs
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in pv.near_duplicates(frame, block_rows=block_rows).collect()}
+    degrees = np.array([got[i].n_links for i in range(9000)])
+    assert (degrees <= near.sum(axis=1)).all() and degrees.sum() >= 0.999 * near.sum()
+    top = dict(forest(near, np.arange(9000)))
+    assert np.mean([got[i].component_id == top.get(i, i) for i in range(9000)]) > 0.999
+
+
 def test_vector_edges(spark):
     nan, inf = float("nan"), float("inf")
     data = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, []), (6, [1.0, None]), (7, [nan, 1.0]), (8, [inf, 1.0]),
