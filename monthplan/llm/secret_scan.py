@@ -5,8 +5,10 @@ hex are decoded, and only those whose bytes parse are reported:
 
 * ``jwt``      three base64url parts whose first decodes to a JSON header with an ``alg``, and whose second is JSON,
 * ``key``      DER (a SEQUENCE whose nested lengths fill it exactly and that opens as a private key does: an INTEGER
-               version followed by key material) or an OpenSSH private key (magic, then length-prefixed strings),
-               in base64 or hex, also split into the lines of a PEM body,
+               version followed by key material, or a password-based algorithm and what it encrypts) or an OpenSSH
+               private key (magic, then length-prefixed strings), in base64 or hex, also split into the lines of a PEM
+               body, whose line breaks may be escaped as in JSON and source strings; a PEM body under a DEK-Info header
+               is ciphertext, confirmed by whole blocks of the header's initial vector,
 * ``encoded``  base64 or hex of printable ASCII that itself holds an assignment or access key.
 """
 
@@ -34,7 +36,10 @@ BASE_KINDS = KINDS[:3]
 
 _WORDS = ("passw", "secret", "token", "api")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END [A-Z0-9 ]*PRIVATE KEY-----")
+_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----((?:(?!-----).)++)-----END [A-Z0-9 ]*PRIVATE KEY-----", re.S)
+_BREAK = re.compile(r"""\\+(?:[nrt]|\s|(?=/))|["']\s*[+.,]?\s*["']""")  # escaped white space or slash, strings put together
+_DEK = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+,\s*([0-9A-Fa-f]{16}|[0-9A-Fa-f]{32})")
+_PBE = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))  # PKCS 5 and PKCS 12 encryption by a password
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
 _ALL_HEX = re.compile(r"(?:[0-9a-f]{2})+|(?:[0-9A-F]{2})+")
 _PRINTABLE = re.compile(rb"[\t\n\r\x20-\x7e]+")
@@ -75,7 +80,8 @@ def _der(data: bytes, at: int) -> tuple[int, int, int] | None:
 
 
 def is_der_key(data: bytes) -> bool:
-    """A SEQUENCE over the whole data whose children fill it: an INTEGER of 0 or 1, then key material."""
+    """A SEQUENCE over the whole data whose children fill it: an INTEGER of 0 or 1, then key material; or an algorithm
+    of encryption by a password, then an OCTET STRING."""
     outer = _der(data, 0)
     if outer is None or outer[0] != 0x30 or outer[2] != len(data):
         return False
@@ -86,6 +92,9 @@ def is_der_key(data: bytes) -> bool:
             return False
         children.append(child)
         at = child[2]
+    if [c[0] for c in children] == [0x30, 0x04]:  # the same shape under other algorithms is a digest
+        name = _der(data[:children[0][2]], children[0][1])
+        return name is not None and name[0] == 0x06 and data[name[1]:name[2]].startswith(_PBE) and children[1][2] > children[1][1]
     if len(children) < 2 or children[0][0] != 0x02 or data[children[0][1]:children[0][2]] not in (b"\0", b"\1"):
         return False
     tags = [c[0] for c in children[1:]]
@@ -130,6 +139,19 @@ def confirm(text: str) -> str | None:
     return None
 
 
+def is_pem_key(body: str) -> bool:
+    """What stands between the armour lines: header lines, if any, then base64 of a key."""
+    lines = [line.strip() for line in _BREAK.sub("\n", body).splitlines()]
+    first = next((i for i, line in enumerate(lines) if line and ":" not in line), len(lines))
+    data = decode64("".join("".join(lines[first:]).split()))
+    if not data:
+        return False
+    vector = _DEK.search("\n".join(lines[:first]))
+    if vector:
+        return len(data) % (len(vector[1]) // 2) == 0
+    return is_der_key(data) or is_openssh_key(data)
+
+
 def method_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind's index, end) of candidates that decode to a structure; a PEM body counts from BEGIN to END."""
     found = []
@@ -137,8 +159,7 @@ def method_spans(text: str) -> list[tuple[int, int, int]]:
         found += [(m.start(), 3, m.end()) for m in _JWT.finditer(text) if is_jwt(m[0])]
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            data = decode64("".join(m[1].split()))
-            if data and (is_der_key(data) or is_openssh_key(data)):
+            if is_pem_key(m[1]):
                 found.append((m.start(), 4, m.end()))
     within = [(s, e) for s, _, e in found]
     for m in _RUN.finditer(text):

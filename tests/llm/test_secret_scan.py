@@ -41,6 +41,27 @@ def test_structures_are_confirmed_and_lookalikes_are_not():
     assert kinds(b64(KEY[:-3])) == [] and kinds("A" * 80) == [] and kinds("0" * 64) == [] and kinds(b64(bytes(range(90)))) == []
 
 
+def test_keys_under_headers_escaped_or_encrypted_are_confirmed():
+    def armour(kind, data, head=(), end="\n"):
+        body = b64(data)
+        return end.join([f"-----BEGIN {kind}PRIVATE KEY-----", *head, *(body[i:i + 64] for i in range(0, len(body), 64)), f"-----END {kind}PRIVATE KEY-----"])
+
+    pbes2 = der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")) + der(0x30, der(4, b"salt")))
+    digest = der(0x30, der(6, bytes.fromhex("608648016503040201")) + der(5, b""))
+    locked = der(0x30, pbes2 + der(4, bytes(range(200, 248)) * 20))
+    dek = ("Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF", "")
+    for pem in (armour("RSA ", KEY, end="\\n"), armour("RSA ", KEY, end="\\\\n"), armour("", KEY, end="\\r\\n"), armour("OPENSSH ", SSH, end="\\n"),
+                armour("RSA ", KEY, end='\\n" +\n  "'), armour("RSA ", KEY, end="\\n").replace("/", "\\/"), armour("ENCRYPTED ", locked),
+                armour("RSA ", bytes(range(256)) * 3, dek), armour("RSA ", bytes(range(256)) * 3, dek, "\\n"), armour("RSA ", KEY, ("Comment: x",))):
+        text = '\u00e9 {"private_key": "' + pem + '\\n"}'
+        assert [s[::2] for s in sc.method_spans(text) if s[1] == 4] == [(19, 19 + len(pem))], pem
+        assert sc.mask(text, sc.method_spans(text)) == '\u00e9 {"private_key": "[SECRET]\\n"}'
+    assert kinds("a " + b64(locked) + " b") == ["key"]
+    assert kinds(b64(der(0x30, digest + der(4, bytes(range(32)))))) == []  # a digest has the same shape
+    assert kinds(armour("RSA ", bytes(range(256)) * 3)) == [] and kinds(armour("RSA ", bytes(range(255)) * 3, dek)) == []
+    assert kinds("-----BEGIN PRIVATE KEY-----\n" * 3 + "words: and more\n" + armour("", KEY)) == ["key"]
+
+
 def test_base_spans_are_leftmost_and_whole():
     text = "PassWord='abcdefghijkl' token:secret:longvalue123456 AKIAABCDEFGHIJKLMN0 AKIASHORT 0123456789abcdef 0123 api_key=short"
     found = [(sc.KINDS[k], text[s:e]) for s, k, e in sc.base_spans(text)]
