@@ -9,6 +9,7 @@ without its ancestor being called mixed.
 The trees learn from a bounded sample of the given pages, from those whose article the markup itself names. Because
 few sites name it, each sampled page is also taken apart and put together anew under other markup (containers with
 other tags and tokens, sidebars, notices, forms, comments with texts of other pages), with labels known by construction.
+Pages that name no article are sampled as well, and learnt from with their densest text subtree as a weak label.
 """
 
 from __future__ import annotations
@@ -28,7 +29,10 @@ from .boosted_trees import BoostedTrees
 from .dom import Node, blocks, parse
 from .tables import read_table, ship_package, text_pieces
 
-SAMPLE_PAGES = 240  # pages the trees are fitted on, by the order of a hash
+SAMPLE_PAGES = 240  # pages that name their article, for fitting the trees, by the order of a hash
+WEAK_PAGES = 120  # the same of pages that name none
+WEAK_LEAST = 200  # characters of a weak article, less the prices of what stands in it
+WEAK_TAG = 20  # price of an element there, in characters
 SAMPLE_CHARS = 100_000  # longer pages are left out of the sample, never cut
 VARIANTS = 3
 MIXED = 1.0  # price of a mixed subtree, in log-odds
@@ -175,12 +179,43 @@ def _labelled(nodes: list[Node]) -> np.ndarray | None:
     return y if y.any() else None
 
 
+def _weak(nodes: list[Node]) -> np.ndarray | None:
+    """The same by the densest text subtree, for a page that names no article: most text outside of links and of what
+    is marked as no article, less a price for each element. None if there is too little."""
+    n = len(nodes)
+    own = np.array([0 if x.unseen else sum(len(p.strip()) for p in x.inside if isinstance(p, str)) for x in nodes], float)
+    under = own.copy()
+    for i in range(n - 1, 0, -1):
+        under[nodes[i].parent] += under[i]
+    out, links = np.zeros(n, bool), np.zeros(n, bool)
+    for i, node in enumerate(nodes):
+        if node.parent >= 0:
+            out[i], links[i] = out[node.parent], links[node.parent]
+        links[i] |= node.tag == "a"
+        out[i] |= node.tag in _DROP
+        if node.raw and 2 * under[i] < under[0]:  # a frame around the whole page may be called anything
+            named = node.attributes()
+            groups = {_GROUP.get(t.lower()) for key in ("class", "id", "role") for t in _SPLIT.split(named.get(key, ""))}
+            out[i] |= bool(groups - {None, "content"})
+    gain = np.where(out | links, -own, own) - np.array([0 if x.unseen else WEAK_TAG for x in nodes])
+    for i in range(n - 1, 0, -1):
+        gain[nodes[i].parent] += gain[i]
+    best = int(np.argmax(np.where(out, -np.inf, gain)))
+    if gain[best] < WEAK_LEAST:
+        return None
+    y = np.zeros(n)
+    for i, node in enumerate(nodes):
+        y[i] = float(i == best or (node.parent >= 0 and y[node.parent] and not out[i]))
+    return y
+
+
 class _Parts:
     """What a page is made of: its article's blocks, its heading, and the short texts around it."""
 
     def __init__(self, html: str):
         nodes = parse(html)
         y = _labelled(nodes)
+        y = _weak(nodes) if y is None else y
         inside = [bool(y is not None and v) for v in (y if y is not None else np.zeros(len(nodes)))]
         self.article = blocks(nodes, inside)
         self.rest = blocks(nodes, [not v for v in inside])
@@ -261,7 +296,7 @@ def _rebuilt(parts: _Parts, others: list[_Parts], rng: random.Random) -> str:
 
 
 def train(pages: list[str], seed: int = 11) -> BoostedTrees:
-    """Fit on pages that name their article, as they are and rebuilt."""
+    """Fit on pages that name their article, or else by their densest text, as they are and rebuilt."""
     parts = [p for p in map(_Parts, pages) if p.article]
     rng = random.Random(seed)
     built = [_rebuilt(p, parts, rng) for p in parts for _ in range(VARIANTS)]
@@ -269,6 +304,7 @@ def train(pages: list[str], seed: int = 11) -> BoostedTrees:
     for html in [*pages, *built]:
         nodes = parse(html)
         label = _labelled(nodes)
+        label = _weak(nodes) if label is None else label
         if label is None:
             continue
         x.append(features(nodes))
@@ -283,8 +319,10 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> by
     """The trees of a bounded sample of pages, fitted in one task; only they reach the driver."""
     ship_package(pages.sparkSession)
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{html_col}`").alias("html"))
-    rows = rows.where((F.length("html") <= SAMPLE_CHARS) & F.lower("html").rlike("<(article|main)[ >]"))
-    sample = rows.orderBy(F.xxhash64("page_id", F.lit("sample")), "html").limit(SAMPLE_PAGES)
+    rows = rows.where(F.length("html") <= SAMPLE_CHARS)
+    named = F.lower("html").rlike("<(article|main)[ >]")
+    by = [F.xxhash64("page_id", F.lit("sample")), F.col("html")]
+    sample = rows.where(named).orderBy(*by).limit(SAMPLE_PAGES).unionByName(rows.where(~named).orderBy(*by).limit(WEAK_PAGES))
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = [b for b in batches if len(b)]

@@ -7,6 +7,7 @@ from monthplan.llm import html_extract as he
 from monthplan.llm.boosted_trees import BoostedTrees
 from monthplan.llm.dom import blocks, parse
 from monthplan.llm.tables import read_table
+from pyspark.sql import functions as F
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,15 @@ def test_given_pages(spark, model):
     assert sum(got[i] == want[i] for i in want) >= 0.98 * len(want)
 
 
+def test_pages_that_name_no_article_are_learnt_from(spark):
+    pages = read_table(spark, SMALL, "pages").orderBy("page_id").limit(120)
+    want = {r.page_id: article(r.html) for r in pages.collect()}
+    bare = pages.withColumn("html", F.regexp_replace(F.regexp_replace("html", "<(article|main)>", "<div>"), "</(article|main)>", "</div>"))
+    assert not [r for r in bare.collect() if re.search("<(article|main)[ >]", r.html)]
+    got = {r.page_id: r.text for r in he.main_text(bare, he.fit(bare)).collect()}
+    assert all(got[i] for i in want if want[i]) and sum(got[i] == want[i] for i in want) >= 0.9 * len(want)
+
+
 def test_another_page(model):
     page = """<html><body><header class="site-header"><a href="/">Home</a> <a href="/b">Blog</a></header>
     <div class="cookie-notice">We use cookies to improve. Accept all cookies now.</div><div id="main"><div class="post-content">
