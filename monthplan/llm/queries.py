@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, circulant_minhash, html_extract, packing, pivot_dedup, radix_dedup, secret_scan, toxicity, url_filter, vp_search
+from . import byte_bpe, circulant_minhash, decontaminate, html_extract, merkle, packing, pivot_dedup, radix_dedup, secret_scan, toxicity, url_filter, vp_search
 
 QUERIES = {
     "op1_pivot_dedup": pivot_dedup.op1_pivot_dedup,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_radix_dedup": radix_dedup.op9_radix_dedup,
     "op10_vp_search": vp_search.op10_vp_search,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_benchmark_decontamination": decontaminate.op12_benchmark_decontamination,
 }
 
 ORACLE_SQL = {
@@ -22,4 +24,6 @@ ORACLE_SQL = {
     "op5_circulant_minhash": circulant_minhash.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
     "op10_vp_search": vp_search.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
+    "op12_benchmark_decontamination": decontaminate.ORACLE,
 }
