@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, circulant_minhash, decontaminate, html_extract, merkle, packing, pivot_dedup, radix_dedup, secret_scan, toxicity, url_filter, vp_search
+from . import (byte_bpe, circulant_minhash, decontaminate, html_extract, lexical_search, merkle, packing, pivot_dedup, radix_dedup,
+               secret_scan, toxicity, url_filter, vp_search)
 
 QUERIES = {
     "op1_pivot_dedup": pivot_dedup.op1_pivot_dedup,
@@ -17,6 +18,7 @@ QUERIES = {
     "op10_vp_search": vp_search.op10_vp_search,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_benchmark_decontamination": decontaminate.op12_benchmark_decontamination,
+    "op13_ball_tree_search": lexical_search.op13_ball_tree_search,
 }
 
 ORACLE_SQL = {
@@ -26,4 +28,5 @@ ORACLE_SQL = {
     "op10_vp_search": vp_search.ORACLE,
     "op11_merkle_manifest": merkle.ORACLE,
     "op12_benchmark_decontamination": decontaminate.ORACLE,
+    "op13_ball_tree_search": lexical_search.ORACLE,
 }
