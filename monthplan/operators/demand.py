@@ -1,7 +1,8 @@
 """Stage B1: who cannot make its own demand, where it can get it, safety stock, first month's stock.
 
-All producibility tests are equi joins on (stock org, SKU) with the half-open interval as a residual condition, so
-Catalyst plans them as semi / anti joins that shuffle (or broadcast, by measured size) on the key only.
+Producibility is first coalesced to one row per (stock org, SKU) with the disjoint intervals that some line covers
+(``coverage_index``). Every test is then a semi / anti join on that key with one row on the right, and the month is looked
+up in the row's intervals. A plan writes the index once in buckets of the key, so no test shuffles it.
 """
 
 from __future__ import annotations
@@ -9,18 +10,47 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthplan.functions.months import days_in_next_month, expand_to_months
 from monthplan.functions.quantities import QTY
 
 
-def _producible_at(left: DataFrame, prod: DataFrame, org: str, sku: str, how: str) -> DataFrame:
-    p = prod.select(F.col("stockorg_code").alias("_p_org"), F.col("sku_code").alias("_p_sku"),
-                    F.col("dt_start").alias("_p_start"), F.col("dt_end").alias("_p_end"))
-    cond = ((left[org] == p._p_org) & (left[sku] == p._p_sku)
-            & (left["dt"] >= p._p_start) & (left["dt"] < p._p_end))
+def coverage_index(producibility: DataFrame) -> DataFrame:
+    """(stock org, SKU, spans): the sorted, disjoint half-open intervals in which some line can make the SKU there.
+
+    Touching and overlapping intervals of all lines are merged; reversed, empty and open ones cover nothing. A key's
+    distinct intervals are gathered map-side first, so a key that holds most of the rows sends one short set a task.
+    """
+    spans = F.sort_array(F.collect_set(F.struct("dt_start", "dt_end")))
+
+    def merge(acc: Column, s: Column) -> Column:
+        last = F.element_at(acc, -1)
+        joined = F.struct(last["dt_start"].alias("dt_start"), F.greatest(last["dt_end"], s["dt_end"]).alias("dt_end"))
+        return (F.when(F.size(acc) == 0, F.array(s))
+                .when(s["dt_start"] <= last["dt_end"], F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(joined)))
+                .otherwise(F.concat(acc, F.array(s))))
+
+    held = producibility.where(F.col("dt_start") < F.col("dt_end")).groupBy("stockorg_code", "sku_code").agg(spans.alias("spans"))
+    none = F.array().cast("array<struct<dt_start:date,dt_end:date>>")
+    return held.withColumn("spans", F.aggregate("spans", none, merge))
+
+
+def covered(spans: Column, dt: Column) -> Column:
+    """Whether the month lies in one of the intervals; not for a null month or a key without intervals."""
+    return F.coalesce(F.exists(spans, lambda s: (dt >= s["dt_start"]) & (dt < s["dt_end"])), F.lit(False))
+
+
+def as_coverage(producibility: DataFrame) -> DataFrame:
+    """Line intervals (A3) as their coverage index; an index stays as it is."""
+    return producibility if "spans" in producibility.columns else coverage_index(producibility)
+
+
+def _producible_at(left: DataFrame, producibility: DataFrame, org: str, sku: str, how: str) -> DataFrame:
+    p = as_coverage(producibility).select(F.col("stockorg_code").alias("_p_org"), F.col("sku_code").alias("_p_sku"),
+                                          F.col("spans").alias("_p_spans"))
+    cond = (left[org] == p._p_org) & (left[sku] == p._p_sku) & covered(p._p_spans, left["dt"])
     return left.join(p, cond, how)
 
 

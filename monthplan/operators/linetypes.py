@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthplan.functions.months import expand_to_months
@@ -137,6 +137,53 @@ def factory_sku_todo(todo: DataFrame, sku_linetype: DataFrame, transfers: DataFr
             .agg(*_sums()))
 
 
+ROLLUP_GRAINS = ("linetype", "factory_sku", "sku")
+
+
+def todo_rollups(todo: DataFrame, sku_linetype: DataFrame, transfers: DataFrame) -> DataFrame:
+    """L5, L11 and L12's totals in one pass over the roll-forward: rows of three grains, told apart by ``grain``.
+
+    * ``linetype``: sums per (stock org, own line type, month); keys without a line type drop out (L5)
+    * ``factory_sku``: sums per (factory, SKU, line type, month) after the charge to the sender (L11)
+    * ``sku``: sums per month (L12)
+
+    A key's line types and charges are gathered to one row per (stock org, SKU) and looked up by month, so the to-do is
+    joined on its bucket key alone and stays in its buckets up to the grouping sets, which are combined map-side.
+    ``transfers`` holds at most one row per key and month.
+    """
+    key = ["stockorg_code", "sku_code"]
+    lines = sku_linetype.select(*key, "dt", "linetype")
+    own = lines.groupBy(*key).agg(F.collect_list(F.struct("dt", "linetype")).alias("_own"))
+    sent = transfers.select(*key, "dt", "send_stockorg_code", "send_sku_code").join(
+        lines.select(F.col("stockorg_code").alias("send_stockorg_code"), F.col("sku_code").alias("send_sku_code"), "dt",
+                     F.col("linetype").alias("send_linetype")), ["send_stockorg_code", "send_sku_code", "dt"], "left")
+    charge = sent.groupBy(*key).agg(F.collect_list(F.struct("dt", "send_stockorg_code", "send_sku_code", "send_linetype")).alias("_sent"))
+
+    def at_month(found: str) -> Column:
+        return F.get(F.filter(found, lambda x: x["dt"] == F.col("dt")), F.lit(0))
+
+    j = (todo.join(own, key, "left").join(charge, key, "left")
+         .withColumn("_line", at_month("_own")["linetype"]).withColumn("_to", at_month("_sent")))
+    j = j.select("dt", F.col("stockorg_code").alias("org"), F.col("_line").alias("own_linetype"),
+                 F.split_part(F.coalesce(F.col("_to.send_stockorg_code"), "stockorg_code"), F.lit("."), F.lit(2)).alias("factory_code"),
+                 F.coalesce(F.col("_to.send_sku_code"), "sku_code").alias("charged_sku"),
+                 F.coalesce(F.col("_to.send_linetype"), "_line").alias("charged_linetype"), *QTY_COLUMNS)
+    by_line, by_sku, total = ["org", "own_linetype", "dt"], ["factory_code", "charged_sku", "charged_linetype", "dt"], ["dt"]
+    every = ["dt", "org", "own_linetype", "factory_code", "charged_sku", "charged_linetype"]
+    rolled = j.groupingSets([by_line, by_sku, total], *every).agg(F.grouping("org").alias("_no_org"), F.grouping("factory_code").alias("_no_factory"), *_sums())
+    grain = F.when(F.col("_no_org") == 0, "linetype").when(F.col("_no_factory") == 0, "factory_sku").otherwise("sku")
+    return (rolled.withColumn("grain", grain).where("grain <> 'linetype' OR own_linetype IS NOT NULL")
+            .select("grain", "dt", F.col("org").alias("stockorg_code"), "factory_code", F.col("charged_sku").alias("sku_code"),
+                    F.coalesce("own_linetype", "charged_linetype").alias("linetype"), *QTY_COLUMNS))
+
+
+def rollup_reconciliation(rollups: DataFrame, by_linetype: DataFrame) -> DataFrame:
+    """L12 from the grains of ``todo_rollups`` and L10: nothing is read that isn't summed already, but the factory SKUs."""
+    totals = rollups.where("grain <> 'linetype'").groupBy("grain", "dt").agg(F.sum("todo_qty").cast(SUM_QTY).alias("todo_qty"))
+    by_line = by_linetype.groupBy("dt").agg(F.sum("todo_qty").cast(SUM_QTY).alias("todo_qty")).withColumn("grain", F.lit("linetype"))
+    return totals.unionByName(by_line).select("grain", "dt", "todo_qty")
+
+
 def todo_reconciliation(todo: DataFrame, by_linetype: DataFrame, by_factory_sku: DataFrame) -> DataFrame:
     """To-do totals per month at three grains; ``sku`` = ``factory_sku`` >= ``linetype`` is the invariant."""
     parts = [(todo, "sku"), (by_linetype, "linetype"), (by_factory_sku, "factory_sku")]

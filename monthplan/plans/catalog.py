@@ -154,7 +154,7 @@ def safety_stock(p: Plan) -> DataFrame:
 
 @query
 def producible_demand(p: Plan) -> DataFrame:
-    return dm.producible_demand(p.demand, p.producibility).select("stockorg_code", "sku_code", "dt", "demand_qty")
+    return dm.producible_demand(p.demand, p.coverage).select("stockorg_code", "sku_code", "dt", "demand_qty")
 
 
 def _first_month(p: Plan):
@@ -179,7 +179,7 @@ def quantity_pivot(p: Plan) -> DataFrame:
     stock = p.stock0.select(*key, "dt", "begin_stock_qty").unionByName(carried).where(months)
     dem, safety = p.demand.where(months), p.safety.where(months)
     need = rf.transfer_need(p.best_transfer.where(months), stock, safety)
-    stacked = rf.stack_quantities(stock, dem, dm.producible_demand(dem, p.producibility), need, safety)
+    stacked = rf.stack_quantities(stock, dem, dm.producible_demand(dem, p.coverage), need, safety)
     return rf.pivot_quantities(stacked)
 
 
@@ -254,7 +254,7 @@ def factory_sku_todo(p: Plan) -> DataFrame:
 
 @query
 def todo_reconciliation(p: Plan) -> DataFrame:
-    return lt.todo_reconciliation(p.todo, p.factory_linetype_todo, p.factory_sku_todo)
+    return lt.rollup_reconciliation(p.rollups, p.factory_linetype_todo)
 
 
 # --- stage C: rebalance --------------------------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import threading
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +29,16 @@ class PlanInputs:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, batch_id: int = fx.BATCH, rate_end: str = "start",
-                 special_lines: tuple[str, ...] = fx.SPECIAL_LINES, materialize: bool = False):
+                 special_lines: tuple[str, ...] = fx.SPECIAL_LINES, materialize: bool = False, run: str | None = None):
+        """``run`` names the roll-forward's run: a plan that ended half-way goes on where its ledger ends."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.batch_id = batch_id
         self.rate_end = rate_end
         self.special_lines = special_lines
         self.materialize = materialize
+        self.run = run
+        self.tag = f"plan{uuid.uuid4().hex[:12]}"  # the catalog entries of its bucketed tables
         self._folder: str | None = None
         self._guard = threading.Lock()
         self._locks: dict[str, threading.Lock] = {}
@@ -45,7 +49,7 @@ class PlanInputs:
             self._folder = scratch_table(spark, "load")
         self.t = fx.Tables(spark, sf_dir, keep=self.keep if materialize else None)
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
+    def keep(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write ``df`` to the load folder and read it back (only when materialising)."""
         if not self.materialize:
             return df
@@ -54,7 +58,8 @@ class PlanInputs:
         with lock:  # one writer per table, even when two threads reach it first together
             if name not in self._kept:
                 path = f"{self._folder}/{name}"
-                df.write.mode("overwrite").parquet(path)
+                writer = df.write.mode("overwrite")
+                (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
                 self._kept[name] = self.spark.read.parquet(path)
             return self._kept[name]
 
@@ -140,15 +145,26 @@ class Plan(PlanInputs):
     """The stage outputs of one batch, each built once per instance."""
 
     # stage B1
+    @cached_property
+    def coverage(self) -> DataFrame:
+        """When each (stock org, SKU) can be made: written once in buckets of the key, read by B1, B2 and B8."""
+        from monthplan.operators.demand import coverage_index
+        from monthplan.sources.buckets import BucketStore
+        if not self.materialize:
+            return coverage_index(self.producibility)
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        store = BucketStore(self.spark, f"{self._folder}/bucketed", ["stockorg_code", "sku_code"], n, self.tag)
+        return store.table("coverage", lambda: coverage_index(self.producibility), spread=True)
+
     @cached_property
     def unproducible(self) -> DataFrame:
         from monthplan.operators.demand import unproducible_demand
-        return unproducible_demand(self.demand, self.producibility)
+        return unproducible_demand(self.demand, self.coverage)
 
     @cached_property
     def viable_routes(self) -> DataFrame:
         from monthplan.operators.demand import viable_routes
-        return viable_routes(self.routes, self.producibility)
+        return viable_routes(self.routes, self.coverage)
 
     @cached_property
     def best_transfer(self) -> DataFrame:
@@ -169,10 +185,10 @@ class Plan(PlanInputs):
     def todo(self) -> DataFrame:
         """B8 roll-forward (materialised month by month in the checkpoint folder)."""
         from monthplan.operators.rollforward import rollforward
-        self.months
+        self.months, self.coverage
         self.build(["best_transfer", "safety", "stock0"])
-        return rollforward(self.months, self.stock0, self.demand, self.producibility, self.best_transfer,
-                           self.safety)
+        return rollforward(self.months, self.stock0, self.demand, self.coverage, self.best_transfer, self.safety,
+                           run=self.run, tag=self.tag)
 
     # stage B2 (line types)
     @cached_property
@@ -202,10 +218,16 @@ class Plan(PlanInputs):
         return self.keep("linetype_capacity",
                          lt.linetype_capacity(lt.line_hours_month(self.line_hours, self.months), self.rate_avg))
 
+    @cached_property
+    def rollups(self) -> DataFrame:
+        """L5, L11 and the monthly totals from one pass over the to-do, a folder for each grain."""
+        from monthplan.operators.linetypes import todo_rollups
+        return self.keep("rollups", todo_rollups(self.todo, self.sku_linetype, self.best_transfer), ("grain",))
+
     @cached_property
     def warehouse_linetype_todo(self) -> DataFrame:
-        from monthplan.operators.linetypes import warehouse_linetype_todo
-        return self.keep("warehouse_linetype_todo", warehouse_linetype_todo(self.todo, self.sku_linetype))
+        from monthplan.operators.linetypes import QTY_COLUMNS
+        return self.rollups.where("grain = 'linetype'").select("stockorg_code", "linetype", "dt", *QTY_COLUMNS)
 
     @cached_property
     def factory_linetype_todo(self) -> DataFrame:
@@ -214,8 +236,8 @@ class Plan(PlanInputs):
 
     @cached_property
     def factory_sku_todo(self) -> DataFrame:
-        from monthplan.operators.linetypes import factory_sku_todo
-        return factory_sku_todo(self.todo, self.sku_linetype, self.best_transfer)
+        from monthplan.operators.linetypes import QTY_COLUMNS
+        return self.rollups.where("grain = 'factory_sku'").select("factory_code", "dt", "sku_code", "linetype", *QTY_COLUMNS)
 
     # stage C (rebalance)
     @cached_property
@@ -259,6 +281,8 @@ class Plan(PlanInputs):
 
     def close(self) -> None:
         """Delete the written tables of this plan; DataFrames read from them can't be used any more."""
+        from monthplan.sources.buckets import release
+        release(self.spark, self.tag)
         if self._folder:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder)
             path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

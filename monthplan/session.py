@@ -63,6 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def _shared_root(spark: SparkSession) -> str:
+    """The checkpoint folder as it was named: Spark keeps each application's own files in a folder below it."""
+    current = ensure_checkpoint_dir(spark).rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return configured.rstrip("/") if configured else current.rsplit("/", 1)[0]
+
+
 def _scratch_root(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/monthplan/{spark.sparkContext.applicationId}"
 
@@ -72,6 +79,19 @@ def scratch_table(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def run_folder(spark: SparkSession, run: str) -> str:
+    """The folder of a named run under the checkpoint folder: another application finds it again by its name."""
+    if not run or "/" in run or run.startswith((".", "_")):
+        raise ValueError(f"not a name for a run: {run!r}")
+    return f"{_shared_root(spark)}/monthplan-runs/{run}"
+
+
+def drop_run(spark: SparkSession, run: str) -> None:
+    """Delete a named run's tables and ledger."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark, run))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete every intermediate table of this application; results that were not written before can't be read again."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))

@@ -106,7 +106,7 @@ def test_changed_files_are_another_plan(spark, tmp_path):
     import shutil
 
     for f in ("lineitem", "supplier", "nation"):
-        shutil.copy(f"{SMALL}/{f}.parquet", tmp_path / f"{f}.parquet")
+        shutil.copyfile(f"{SMALL}/{f}.parquet", tmp_path / f"{f}.parquet")
     first = catalog.shared_plan(spark, str(tmp_path))
     assert catalog.shared_plan(spark, str(tmp_path)) is first
     spark.read.parquet(f"{SMALL}/lineitem.parquet").limit(500).toPandas().to_parquet(tmp_path / "lineitem.parquet")
