@@ -31,11 +31,13 @@ from .tables import carried_schema, read_table, ship_package, stored, text_piece
 
 SIZE = 100
 GRAM = 36
+VERSION_COL = "_text_version"
 NO_ID = -(1 << 63)  # stands for a null id, before all others
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000  # bytes whose digits are worked out together: about 150 bytes of memory each
+VERSION = 31  # a place is the low bits, above them 16 bits of a hash of the text: rows that share an id keep theirs apart
 
 _RUNS = "first long, second long, doc long, place long, sure boolean"
-_PLACES = "doc long, lo int, stop int, off int"
+_PLACES = "doc long, lo long, stop long, off int"
 
 
 def merged(lo: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,22 +64,46 @@ def _changed(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[bytes]]]:
-    """Documents of about CHUNK_BYTES; one at least."""
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list[int], list[bytes], list[int]]]:
+    """(ids, texts, versions) of documents of about ``size`` bytes together; one at least."""
     ids: list[int] = []
     raws: list[bytes] = []
-    size = 0
-    for piece in text_pieces(batches):
-        for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+    versions: list[int] = []
+    held = 0
+    for piece in text_pieces(batches, max_bytes=size):
+        for doc, text, version in zip(*(piece.column(i).to_pylist() for i in range(3)), strict=True):
             raw = text.encode("utf-8", "surrogatepass")
             ids.append(doc)
             raws.append(raw)
-            size += len(raw)
-            if size >= CHUNK_BYTES:
-                yield ids, raws
-                ids, raws, size = [], [], 0
+            versions.append(version)
+            held += len(raw)
+            if held >= size:
+                yield ids, raws, versions
+                ids, raws, versions, held = [], [], [], 0
     if ids:
-        yield ids, raws
+        yield ids, raws, versions
+
+
+def _pieces(raws: list[bytes], size: int, chunk: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """(which text, where it begins, its bytes) in runs of about ``chunk`` bytes.
+
+    A longer text is cut where every ``chunk`` of its windows ends: the pieces share ``size - 1`` bytes and no window.
+    """
+    which, begins, parts, held = [], [], [], 0
+    for k, raw in enumerate(raws):
+        for begin in range(0, max(1, len(raw) - size + 1), chunk):
+            part = raw if len(raw) <= chunk else raw[begin:begin + chunk + size - 1]
+            if parts and held + len(part) > 2 * chunk:
+                yield which, begins, parts
+                which, begins, parts, held = [], [], [], 0
+            which.append(k)
+            begins.append(begin)
+            parts.append(part)
+            held += len(part)
+            if part is raw:
+                break
+    if parts:
+        yield which, begins, parts
 
 
 def _bounds(raws: list[bytes]) -> np.ndarray:
@@ -88,51 +114,58 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-def first_digit(size: int, gram: int):
+def first_digit(size: int, gram: int, chunk: int):
     """Map side of the first pass: settle what a chunk settles by itself, send the rest on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, raws in _chunks(batches):
+        for ids, raws, versions in _chunks(batches, chunk):
             whole: dict[bytes, int] = {}
             digests = [xxhash.xxh3_128_digest(r) for r in raws]
             for d, i in zip(digests, ids, strict=True):
                 whole[d] = min(i, whole.get(d, i))
-            sure = [(i, 0, len(r)) for d, i, r in zip(digests, ids, raws, strict=True) if whole[d] != i and len(r) >= size]
+            copies = [(i, v << VERSION, (v << VERSION) + len(r)) for d, i, r, v in zip(digests, ids, raws, versions, strict=True)
+                      if whole[d] != i and len(r) >= size]
             mine, seen = [], set()
             for k, (d, i) in enumerate(zip(digests, ids, strict=True)):
                 if whole[d] == i and d not in seen:  # a repeated row is the same document
                     seen.add(d)
                     mine.append(k)
-            ids, raws = [ids[k] for k in mine], [raws[k] for k in mine]
-            bounds = _bounds(raws)
-            a = anchors(np.frombuffer(b"".join(raws), np.uint8), bounds, size, gram)
-            doc = np.array(ids, np.int64)[a["doc"]]
-            lo, stop = a["lo"] - bounds[a["doc"]], a["end"] - bounds[a["doc"]]
-            order = np.lexsort((lo, doc, a["second"], a["first"]))
-            first, second, doc, lo, stop = a["first"][order], a["second"][order], doc[order], lo[order], stop[order]
-            off = (a["at"] - a["lo"])[order]
-            head = _changed(first, second)
-            later = _later(head, doc, lo)
-            by_doc = np.argsort(doc[later], kind="stable")
-            late_doc, late_lo, late_stop = doc[later][by_doc], lo[later][by_doc], stop[later][by_doc]
-            cuts = [*np.flatnonzero(_changed(late_doc)), len(late_doc)]
-            for x, y in zip(cuts, cuts[1:], strict=False):
-                begin, end = merged(late_lo[x:y], late_stop[x:y])
-                sure += zip([int(late_doc[x])] * len(begin), begin.tolist(), end.tolist(), strict=True)
-            n, m = int(head.sum()), len(sure)
-            s = np.array(sure, np.int64).reshape(m, 3)
-            place = (lo << 16 | (stop - lo) << 8 | off)[head]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.r_[_signed(first[head]), s[:, 0] * 0x9E3779B97F4A7C1 + s[:, 1]]),
-                pa.array(np.r_[_signed(second[head]), s[:, 2]]), pa.array(np.r_[doc[head], s[:, 0]]),
-                pa.array(np.r_[place, s[:, 1]]), pa.array(np.arange(n + m) >= n)], names=[c.split()[0] for c in _RUNS.split(", ")])
+            raws = [raws[k] for k in mine]
+            own, base = np.array([ids[k] for k in mine], np.int64), np.array([versions[k] for k in mine], np.int64) << VERSION
+            for which, begins, parts in _pieces(raws, size, chunk):
+                yield settled(own[which], base[which] + np.array(begins, np.int64), parts, copies)
+                copies = []
         forget()
 
+    def settled(ids: np.ndarray, begins: np.ndarray, parts: list[bytes], sure: list[tuple]) -> pa.RecordBatch:
+        bounds = _bounds(parts)
+        a = anchors(np.frombuffer(b"".join(parts), np.uint8), bounds, size, gram)
+        doc, shift = ids[a["doc"]], (begins - bounds[:-1])[a["doc"]]
+        lo, stop = a["lo"] + shift, a["end"] + shift
+        order = np.lexsort((lo, doc, a["second"], a["first"]))
+        first, second, doc, lo, stop = a["first"][order], a["second"][order], doc[order], lo[order], stop[order]
+        off = (a["at"] - a["lo"])[order]
+        head = _changed(first, second)
+        later = _later(head, doc, lo)
+        by_doc = np.argsort(doc[later], kind="stable")
+        late_doc, late_lo, late_stop = doc[later][by_doc], lo[later][by_doc], stop[later][by_doc]
+        cuts = [*np.flatnonzero(_changed(late_doc)), len(late_doc)]
+        for x, y in zip(cuts, cuts[1:], strict=False):
+            begin, end = merged(late_lo[x:y], late_stop[x:y])
+            sure += zip([int(late_doc[x])] * len(begin), begin.tolist(), end.tolist(), strict=True)
+        n, m = int(head.sum()), len(sure)
+        s = np.array(sure, np.int64).reshape(m, 3)
+        place = (lo << 16 | (stop - lo) << 8 | off)[head]
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.r_[_signed(first[head]), s[:, 0] * 0x9E3779B97F4A7C1 + s[:, 1]]),
+            pa.array(np.r_[_signed(second[head]), s[:, 2]]), pa.array(np.r_[doc[head], s[:, 0]]),
+            pa.array(np.r_[place, s[:, 1]]), pa.array(np.arange(n + m) >= n)], names=[c.split()[0] for c in _RUNS.split(", ")])
+
     return run
 
 
 def _place_batch(doc: np.ndarray, lo: np.ndarray, stop: np.ndarray, off: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(lo, pa.int32()), pa.array(stop, pa.int32()),
+    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(lo, pa.int64()), pa.array(stop, pa.int64()),
                                        pa.array(off, pa.int32())], names=["doc", "lo", "stop", "off"])
 
 
@@ -172,38 +205,58 @@ def settle_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = (first[last], second[last], doc[last], place[last], bool(many[-1]), bool(many[-1]))
 
 
-def second_digit(size: int, gram: int):
+def second_digit(size: int, gram: int, chunk: int):
     """Open runs of a document with its text -> (key, doc, lo, body) of their left- and right-reaching windows."""
     half = (size - gram) // 2
+    near = 2 * size  # no run reaches further than this from where it begins
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in text_pieces(batches):
-            docs, opens = piece.column(0).to_pylist(), piece.column(2).to_pylist()
-            kept = [k for k, o in enumerate(opens) if o]
-            if not kept:
+    def regions(piece: pa.RecordBatch) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+        """(doc, where the region begins with its version, its bytes, its open runs): texts, long ones in parts."""
+        for doc, text, version, opens in zip(*(piece.column(i).to_pylist() for i in range(4)), strict=True):
+            if not opens:
                 continue
-            raws = [piece.column(1)[k].as_py().encode("utf-8", "surrogatepass") for k in kept]
-            joined = b"".join(raws)
-            bounds = _bounds(raws)
-            rows = np.array([(n, r["lo"], r["stop"], r["off"]) for n, k in enumerate(kept) for r in opens[k]
-                             if r["stop"] <= len(raws[n])], np.int64).reshape(-1, 4)
-            base = bounds[rows[:, 0]]
-            lo, stop, at = base + rows[:, 1], base + rows[:, 2], base + rows[:, 1] + rows[:, 3]
-            rolling = Rolling(np.frombuffer(joined, np.uint8), 0)
-            far_left = lo <= at - half  # has windows that start half or more before the anchor
-            far_right = stop - size > at - half
-            left = (at - half, at + gram, lo, np.minimum(stop, at - half + size), far_left)
-            right = (at, at + size - half + 1, np.maximum(lo, at - half + 1), stop, far_right)
-            for side, (a, b, begin, end, have) in enumerate((left, right)):
-                a, b, begin, end = a[have], b[have], begin[have], end[have]
-                if not len(a):
-                    continue
-                key = _signed(rolling.of(a, b) ^ np.uint64(side))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(key), pa.array(np.array([docs[k] for k in kept], np.int64)[rows[have, 0]]),
-                    pa.array(begin - base[have], pa.int32()),
-                    pa.array([joined[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())],
-                    names=["key", "doc", "lo", "body"])
+            raw, base = text.encode("utf-8", "surrogatepass"), version << VERSION
+            rows = np.array([(r["lo"] - base, r["stop"] - base, r["off"]) for r in opens], np.int64)
+            for part in np.unique(rows[:, 0] // chunk):
+                begin = max(0, int(part) * chunk)
+                held = rows[rows[:, 0] // chunk == part]
+                yield doc, base + begin, raw[begin:begin + chunk + near], held - (begin, begin, 0)
+
+    def grouped(piece: pa.RecordBatch) -> Iterator[list]:
+        group, held = [], 0
+        for region in regions(piece):
+            group.append(region)
+            held += len(region[2])
+            if held >= chunk:
+                yield group
+                group, held = [], 0
+        if group:
+            yield group
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in text_pieces(batches, max_bytes=chunk):
+            for group in grouped(piece):
+                ids, begins, raws, opens = zip(*group, strict=True)
+                joined = b"".join(raws)
+                bounds = _bounds(list(raws))
+                which = np.repeat(np.arange(len(group)), [len(o) for o in opens])
+                rows = np.concatenate(opens)
+                base, shift = bounds[which], np.array(begins, np.int64)[which] - bounds[which]
+                lo, stop, at = base + rows[:, 0], base + rows[:, 1], base + rows[:, 0] + rows[:, 2]
+                rolling = Rolling(np.frombuffer(joined, np.uint8), 0)
+                far_left = lo <= at - half  # has windows that start half or more before the anchor
+                far_right = stop - size > at - half
+                left = (at - half, at + gram, lo, np.minimum(stop, at - half + size), far_left)
+                right = (at, at + size - half + 1, np.maximum(lo, at - half + 1), stop, far_right)
+                for side, (a, b, begin, end, have) in enumerate((left, right)):
+                    a, b, begin, end = a[have], b[have], begin[have], end[have]
+                    if not len(a):
+                        continue
+                    key = _signed(rolling.of(a, b) ^ np.uint64(side))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(key), pa.array(np.array(ids, np.int64)[which[have]]), pa.array(begin + shift[have], pa.int64()),
+                        pa.array([joined[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())],
+                        names=["key", "doc", "lo", "body"])
         forget()
 
     return run
@@ -221,7 +274,7 @@ def windows(size: int):
         start = bounds[body] + step
         w = [_signed(Rolling(data, i).of(start, start + size)) for i in (0, 1)]
         return pa.RecordBatch.from_arrays([pa.array(w[0]), pa.array(w[1]), pa.array(np.array(docs, np.int64)[body]),
-                                           pa.array(np.array(los, np.int64)[body] + step, pa.int32())],
+                                           pa.array(np.array(los, np.int64)[body] + step, pa.int64())],
                                           names=["w1", "w2", "doc", "lo"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,12 +321,12 @@ def repeated(size: int):
 
 
 def cut(batches: Iterator[pa.RecordBatch], with_text: bool, carry: Sequence[str]) -> Iterator[pa.RecordBatch]:
-    """(doc, text, ranges, carried) -> the digest row of each document, what is left of it, and the carried columns."""
+    """(doc, text, version, ranges, carried) -> the digest row of each document, what is left of it, and the carried columns."""
     for piece in text_pieces(batches):
         rows = []
-        for doc, text, ranges in zip(*(piece.column(i).to_pylist() for i in range(3)), strict=True):
+        for doc, text, version, ranges in zip(*(piece.column(i).to_pylist() for i in range(4)), strict=True):
             raw = text.encode("utf-8", "surrogatepass")
-            places = np.array([(r["lo"], r["stop"]) for r in ranges or ()], np.int64).reshape(-1, 2)
+            places = np.array([(r["lo"], r["stop"]) for r in ranges or ()], np.int64).reshape(-1, 2) - (version << VERSION)
             lo, stop = merged(places[:, 0], np.minimum(places[:, 1], len(raw)))
             at, left = 0, []
             for a, b in zip(lo.tolist(), stop.tolist(), strict=True):
@@ -285,19 +338,21 @@ def cut(batches: Iterator[pa.RecordBatch], with_text: bool, carry: Sequence[str]
                          hashlib.sha256(rest).hexdigest(), rest if with_text else None))
         types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
         found = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-        yield pa.RecordBatch.from_arrays([*found, *piece.columns[3:]],
+        yield pa.RecordBatch.from_arrays([*found, *piece.columns[4:]],
                                          names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *carry])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, gram: int = GRAM,
-                   with_text: bool = True, carry: Sequence[str] = ()) -> DataFrame:
+                   with_text: bool = True, carry: Sequence[str] = (), chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and (if ``with_text``) kept: one row for each row of ``docs``,
     with the columns to carry along.
 
     Bytes of the UTF-8 texts that lie in a ``size``-byte string which also starts earlier (smaller id, or the same
     document further left) are removed, as judged on the input. Null text counts as empty; null ids come before all
-    others; a repeated row is the same document and doesn't count against itself, rows that repeat an id with another
-    text have what is found in either applied to both. The removed bytes may cut a character: ``kept`` is binary.
+    others; a repeated row is the same document and doesn't count against itself. Rows that repeat an id with another
+    text, null ids too, stand one after the other, in the order of 16 bits of a hash of their text, which also keeps what is
+    found in them apart. The removed bytes may cut a character: ``kept`` is binary. Long texts are worked on in pieces
+    of ``chunk_bytes``.
     """
     if not (gram < size <= 255 and size - gram <= 255):
         raise ValueError("windows of up to 255 bytes, grams shorter than them")
@@ -305,22 +360,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ship_package(spark)
     texts = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("doc"),
                         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
-                        *[F.col(f"`{c}`") for c in carry])
+                        *[F.col(f"`{c}`") for c in carry]).withColumn(f"{VERSION_COL}", F.pmod(F.xxhash64("text"), F.lit(1 << 16)))
+    same = ["doc", VERSION_COL]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def sorted_by(df: DataFrame, key: str, *order: str) -> DataFrame:
         return df.repartition(parts, key).sortWithinPartitions(key, *order)
 
-    runs = texts.select("doc", "text").mapInArrow(first_digit(size, gram), _RUNS)
+    runs = texts.select("doc", "text", VERSION_COL).mapInArrow(first_digit(size, gram, chunk_bytes), _RUNS)
     places = stored(sorted_by(runs, "first", "second", "doc", "place").mapInArrow(settle_first, _PLACES), "radix-first")
-    opens = places.where("off >= 0").groupBy("doc").agg(F.collect_list(F.struct("lo", "stop", "off")).alias("places"))
-    halves = texts.join(opens, "doc", "left").select("doc", "text", "places").mapInArrow(
-        second_digit(size, gram), "key long, doc long, lo int, body binary")
-    late = sorted_by(halves, "key").mapInArrow(windows(size), "w1 long, w2 long, doc long, lo int")
+    version = F.shiftright("lo", VERSION).alias(VERSION_COL)
+    opens = places.where("off >= 0").groupBy("doc", version).agg(F.collect_list(F.struct("lo", "stop", "off")).alias("places"))
+    halves = texts.join(opens, same, "left").select("doc", "text", VERSION_COL, "places").mapInArrow(
+        second_digit(size, gram, chunk_bytes), "key long, doc long, lo long, body binary")
+    late = sorted_by(halves, "key").mapInArrow(windows(size), "w1 long, w2 long, doc long, lo long")
     late = sorted_by(late, "w1", "w2", "doc", "lo").mapInArrow(repeated(size), _PLACES)
-    ranges = places.where("off < 0").unionByName(late).groupBy("doc").agg(
+    ranges = places.where("off < 0").unionByName(late).groupBy("doc", version).agg(
         F.collect_list(F.struct("lo", "stop")).alias("places"))
-    out = texts.join(ranges, "doc", "left").select("doc", "text", "places", *carry).mapInArrow(
+    out = texts.join(ranges, same, "left").select("doc", "text", VERSION_COL, "places", *carry).mapInArrow(
         lambda batches: cut(batches, with_text, carry),
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary" + carried_schema(docs, carry))
     return out if with_text else out.drop("kept")

@@ -42,3 +42,38 @@ def test_edges(spark):
     twice = rd.remove_repeats(frame.where("doc_id = 2"))  # a repeated row is the same document
     assert rows(twice, "n_removed") == [(inner[0],), (inner[0],)]
     assert rd.remove_repeats(frame.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_or_none_keep_what_is_found_apart(spark):
+    """A passage that repeats in one row of an id takes nothing out of another row of it."""
+    rnd = random.Random(9)
+    other = "".join(rnd.choice("abcdefghij") for _ in range(500))
+    twice = "".join(rnd.choice("klmnopqrst") for _ in range(150))
+    frame = spark.createDataFrame([(7, twice + " " + twice), (7, other), (None, other[:300] + twice), (None, "x" + "y".join(map(str, range(400))))],
+                                  "doc_id long, text string")
+    got = {bytes(r.kept).decode(): (r.doc_id, r.n_removed) for r in rd.remove_repeats(frame).collect()}
+    texts = [t for _, t in frame.collect()]
+    assert got[texts[3]] == (None, 0) and got[texts[2]] == (None, 0)  # nothing stands before the null ids
+    assert sorted((i, n) for i, n in got.values() if i == 7) == [(7, 300), (7, 300)]
+
+
+@pytest.mark.parametrize("chunk", [64, 500])
+def test_long_texts_in_pieces_against_every_window(spark, chunk):
+    rnd = random.Random(chunk)
+    parts = ["".join(rnd.choice("abcdef") for _ in range(rnd.randrange(10, 90))) for _ in range(40)]
+    texts = {1: "".join(rnd.choice(parts) for _ in range(150)), 2: parts[0] * 9, 3: "".join(parts), 4: "ab" * 700, 5: None, 6: "".join(parts)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+           for r in rd.remove_repeats(frame, size=30, gram=8, chunk_bytes=chunk).collect()}
+    assert got == repeats(texts, 30)
+
+
+def test_a_very_long_text(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    raw = bytearray(rng.integers(97, 123, 12_000_000, dtype=np.uint8).tobytes())
+    raw[9_000_050:9_000_250] = raw[1_000_000:1_000_200]  # across the edge of a piece
+    raw[4_999_900:5_000_300] = raw[20:420]
+    frame = spark.createDataFrame([(1, raw.decode()), (2, raw[6_000_000:6_000_150].decode())], "doc_id long, text string")
+    assert rows(rd.remove_repeats(frame, with_text=False), "doc_id", "n_removed", "n_spans") == [(1, 600, 2), (2, 150, 1)]
