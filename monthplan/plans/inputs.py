@@ -185,8 +185,8 @@ class Plan(PlanInputs):
     def todo(self) -> DataFrame:
         """B8 roll-forward (materialised month by month in the checkpoint folder)."""
         from monthplan.operators.rollforward import rollforward
-        self.months, self.coverage
-        self.build(["best_transfer", "safety", "stock0"])
+        self.months
+        self.build(["best_transfer", "safety", "stock0"])  # the first of them builds the coverage index
         return rollforward(self.months, self.stock0, self.demand, self.coverage, self.best_transfer, self.safety,
                            run=self.run, tag=self.tag)
 
