@@ -102,3 +102,26 @@ def test_step_groups_are_balanced():
         load[group] = load.get(group, 0) + size + size * size / 2048
     full = [v for g, v in load.items() if g // packing.OPEN_GROUPS < max(load) // packing.OPEN_GROUPS]
     assert max(full) - min(full) <= 2 * 2048
+
+
+def test_merging_by_rank_gives_the_tokenizers_ids():
+    """Pieces of the vocabulary in every mixture, other scripts, numbers and marks: what both ways make of them."""
+    import random
+
+    rnd = random.Random(2)
+    encoder = packing.TokenizerEncoder(P.path("byte_bpe_50k.json"), P.PATTERN)
+    assert encoder._ranks is not None and len(encoder._ranks) == 50_256
+    vocabulary = [t.decode() for t in encoder._ranks if t.isascii() and t.strip().isalpha()]
+    words = {"".join(rnd.choice(vocabulary).strip() for _ in range(rnd.randint(1, 4))) for _ in range(20_000)}
+    words |= {"".join(rnd.choice("etaoinsr") for _ in range(rnd.randint(1, 12))) for _ in range(20_000)}
+    words |= {"".join(chr(rnd.choice([rnd.randint(0xC0, 0x24F), rnd.randint(0x4E00, 0x9FFF)])) for _ in range(rnd.randint(1, 6))) for _ in range(4000)}
+    words |= {" " + w for w in list(words)[::3]} | {"1234567", " 0", "!?!", " --", "'s", "a" * 5000} | set(vocabulary[::7])
+    words = sorted(words)
+    assert encoder._encode_new(words) == encoder._many(words, encoder._by_tokenizer)
+
+
+def test_a_tokenizer_of_another_kind_is_asked_itself():
+    encoder = packing.TokenizerEncoder(P.path("word_bpe_49k.json"), P.PATTERN)
+    assert encoder._ranks is None
+    broken = {"type": "BPE", "vocab": {"a": 0, "b": 1, "ab": 2}, "merges": ["a b"]}
+    assert packing.merge_ranks(broken, {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}, None) is None
