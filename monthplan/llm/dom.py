@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from html import unescape
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -23,8 +24,13 @@ _ENDS = {
 _ENDS |= {"thead": _ENDS["tbody"], "tfoot": _ENDS["tbody"]}
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SCOPE = frozenset("table td th caption button object html".split())
-_TAG = re.compile(r"""<!--(?:>|->|(?:.*?)(?:--!?>|\Z))|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-                  r"""|</?([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
+#: An everyday tag, or else any place where markup may begin. The bounds are those of the quick path alone: what exceeds
+#: them is read by ``_Markup``.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]{0,60}+)(?=[\s/>])((?:[^>"']{1,100}+|"[^"]{0,200}+"|'[^']{0,200}+'){0,64}+)>"""
+                  r"""|<(?=[a-zA-Z!?]|/[a-zA-Z])""")
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
+_PLAIN = re.compile(r"""[^>"']*+""")
+_COMMENT_END = re.compile(r"--!?>")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
@@ -42,77 +48,157 @@ class Node:
         return {k.lower(): unescape(a or b or c) for k, a, b, c in reversed(_ATTRIBUTE.findall(self.raw))}
 
 
+class _Markup:
+    """Ends of markup that the quick path leaves, each found in a time that adds up to the length of the page."""
+
+    def __init__(self, html: str):
+        self._html = html
+        self._last = {mark: html.rfind(mark) for mark in (">", '"', "'", "]]>")}
+        self._dead: set[int] = set()  # quotes that open on a way to no end
+
+    def special(self, at: int) -> tuple[int, str]:
+        """(end, text) of the comment, section or declaration at ``at``; end 0 if it is none."""
+        html = self._html
+        if html.startswith("<!--", at):
+            if html.startswith((">", "->"), at + 4):
+                return html.index(">", at) + 1, ""
+            end = _COMMENT_END.search(html, at + 4)
+            return (end.end() if end else len(html)), ""
+        if html.startswith("<![CDATA[", at) and at + 9 <= self._last["]]>"]:
+            end = html.index("]]>", at + 9)
+            return end + 3, html[at + 9:end]
+        return (html.index(">", at) + 1 if at < self._last[">"] else 0), ""
+
+    def tag(self, at: int) -> tuple[int, str, str]:
+        """(end, name, attributes) of the tag at ``at``; end 0 if no more tag ends. A quote that nothing closes is no
+        quote: such a tag ends at the next ``>``."""
+        if at > self._last[">"]:
+            return 0, "", ""
+        name = _NAME.match(self._html, at)
+        end = self._quoted_end(name.end())
+        if end < 0:
+            end = self._html.index(">", name.end())
+        return end + 1, name[1], self._html[name.end():end]
+
+    def _quoted_end(self, at: int) -> int:
+        html, passed = self._html, []
+        while True:
+            at = _PLAIN.match(html, at).end()
+            mark = html[at:at + 1]
+            if mark == ">":
+                return at
+            if not mark or at in self._dead or at >= self._last[mark]:
+                self._dead.update(passed)
+                return -1
+            passed.append(at)
+            at = html.index(mark, at + 1) + 1
+
+
+class _Open:
+    """The open elements, outermost first, with the places of each tag, of blocks and of scopes among them."""
+
+    def __init__(self, nodes: list[Node]):
+        self._nodes = nodes
+        self.stack = [0]
+        self._places: dict[str, list[int]] = {}
+
+    def __contains__(self, tag: str) -> bool:
+        return bool(self._places.get(tag))
+
+    def _keys(self, tag: str) -> list[str]:
+        return [tag, *(["#block"] if tag in BLOCKS else []), *(["#scope"] if tag in _SCOPE else [])]
+
+    def push(self, node: int) -> None:
+        for key in self._keys(self._nodes[node].tag):
+            self._places.setdefault(key, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def _nearest(self, keys: Iterable[str]) -> int:
+        return max((self._places[k][-1] for k in keys if self._places.get(k)), default=0)
+
+    def end(self, tags: Iterable[str], stop: Iterable[str]) -> bool:
+        """End the innermost open element of ``tags`` and all inside it, unless one of ``stop`` stands in between."""
+        place = self._nearest(tags)
+        if not place or place < self._nearest(stop):
+            return False
+        self.cut(place)
+        return True
+
+    def cut(self, place: int) -> None:
+        while len(self.stack) > place:
+            for key in self._keys(self._nodes[self.stack.pop()].tag):
+                self._places[key].pop()
+
+
 def parse(html: str) -> list[Node]:
-    """The elements in page order; the first is a root that holds all. Comments and declarations are left out."""
+    """The elements in page order; the first is a root that holds all. Comments and declarations are left out.
+
+    The time grows with the length of the page, however careless its markup.
+    """
     nodes = [Node("#root", "", -1, 0, False)]
-    stack = [0]
+    opened, markup = _Open(nodes), _Markup(html)
+    stack = opened.stack
 
     def text(part: str) -> None:
         if part:
             nodes[stack[-1]].inside.append(unescape(part) if "&" in part else part)
 
-    def open_at(tags: set | frozenset, stop: set | frozenset) -> int:
-        for i in range(len(stack) - 1, 0, -1):
-            tag = nodes[stack[i]].tag
-            if tag in tags:
-                return i
-            if tag in stop:
-                break
-        return 0
-
-    at = 0
+    begin = at = 0  # of the text not yet taken, and where markup is looked for
     while True:
         found = _TAG.search(html, at)
         if not found:
-            text(html[at:])
+            text(html[begin:])
             return nodes
-        text(html[at:found.start()])
-        at = found.end()
-        tag = (found[1] or found[3] or "").lower()
+        start, section = found.start(), ""
+        if found[2]:
+            tag, raw, end = found[2], found[3], found.end()
+        elif html[start + 1] in "!?":
+            tag, raw, (end, section) = "", "", markup.special(start)
+        else:
+            end, tag, raw = markup.tag(start)
+        if not end:  # nothing ends here: the sign is text
+            at = start + 1
+            continue
+        text(html[begin:start])
+        begin = at = end
+        tag = tag.lower()
         if not tag:
-            if found[0].startswith("<![CDATA["):
-                text(found[0][9:-3])
+            text(section)
             continue
-        if found[0][1] == "/":
+        if html[start + 1] == "/":
             if tag in BLOCKS or tag in UNSEEN:
-                i = open_at({tag} if tag not in _HEADINGS else _HEADINGS, _SCOPE - {tag})
+                ended = opened.end([tag] if tag not in _HEADINGS else _HEADINGS, ["#scope"])
             else:  # an inline end tag doesn't reach out of its block
-                i = open_at({tag}, BLOCKS)
-            if i:
-                del stack[i:]
-            elif tag == "br":
+                ended = opened.end([tag], ["#block"])
+            if tag == "br" and not ended:
                 text("\n")
             continue
         if tag in _CLOSES_P:
-            i = open_at({"p"}, _SCOPE)
-            if i:
-                del stack[i:]
+            opened.end(["p"], ["#scope"])
         if tag in _HEADINGS and nodes[stack[-1]].tag in _HEADINGS:
-            stack.pop()
+            opened.cut(len(stack) - 1)
         if tag in _ENDS:
-            tags, stop = _ENDS[tag]
-            while i := open_at(tags, stop):
-                del stack[i:]
-        if tag == "body" and (i := open_at({"head"}, set())):
-            del stack[i:]
-        if tag in ("html", "body") and any(nodes[s].tag == tag for s in stack):
+            while opened.end(*_ENDS[tag]):
+                pass
+        if tag == "body":
+            opened.end(["head"], [])
+        if tag in ("html", "body") and tag in opened:
             continue
         parent = stack[-1]
-        node = Node(tag, found[2] or found[4] or "", parent, len(stack), nodes[parent].unseen or tag in UNSEEN)
+        node = Node(tag, raw, parent, len(stack), nodes[parent].unseen or tag in UNSEEN)
         nodes.append(node)
         nodes[parent].inside.append(len(nodes) - 1)
         if tag == "br":
             node.inside.append("\n")
-        if tag in VOID or (found[0].endswith("/>") and tag not in BLOCKS and tag not in _RAW):
+        if tag in VOID or (html[end - 2] == "/" and tag not in BLOCKS and tag not in _RAW):
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
-            node.inside.append(html[at:end.start()] if end else html[at:])
-            at = end.end() if end else len(html)
+            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
+            last = html.find(">", close.end()) if close else -1
+            node.inside.append(html[at:close.start()] if last >= 0 else html[at:])
+            begin = at = last + 1 if last >= 0 else len(html)
             continue
-        stack.append(len(nodes) - 1)
-
-
+        opened.push(len(nodes) - 1)
 
 
 def blocks(nodes: list[Node], keep: list[bool]) -> list[str]:

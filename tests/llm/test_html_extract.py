@@ -1,5 +1,6 @@
 import html as H
 import re
+import time
 
 import pytest
 from conftest import SMALL
@@ -87,3 +88,28 @@ def test_edges(spark, model):
     assert all(n == len(t) for t, n in got.values())
     assert he.main_text(pages.limit(0), model).count() == 0
     assert he.main_text(pages, he.fit(pages.limit(0))).count() == 5
+
+
+@pytest.mark.parametrize("careless", ["<b>" * 142_000 + "</i>" * 142_000, "<![CDATA[" * 111_000, "<a" * 500_000, '<a "' * 250_000,
+                                      "<a '>'" * 166_000 + '"', "<i><div>" + "<b>" * 142_000 + "</i>" * 142_000,
+                                      "<script>" + "</script " * 111_000, "<!" * 500_000])
+def test_careless_markup_takes_time_in_proportion(careless):
+    def seconds(html: str) -> float:
+        begin = time.process_time()
+        parse(html)
+        return time.process_time() - begin
+
+    assert seconds(careless) < 8 * max(seconds(careless[:len(careless) // 4]), 0.05)
+
+
+def test_markup_beyond_the_quick_path_is_read_alike():
+    from monthplan.llm.dom import parse
+
+    long_value = "v" * 5000
+    for html, tags in [(f'<p title="{long_value}>">a</p>', ["p"]), ("<" + "n" * 200 + " x=1>a", ["n" * 200]),
+                       ("<p " + "a='>' " * 300 + ">a", ["p"]), ('<p a=">b<b>c', ["p", "b"]), ("<!-- <b> --><p>a", ["p"]),
+                       ("<!--><p>a", ["p"]), ("<!-- <b>", []), ("<![CDATA[<b>]]><p>a", ["p"]), ("1 < 2 <p>a", ["p"]), ("<p", [])]:
+        assert [n.tag for n in parse(html)[1:]] == tags, html
+    assert parse(f'<p title="{long_value}>">a')[1].attributes() == {"title": long_value + ">"}
+    assert parse("1 < 2 <p>a")[0].inside == ["1 < 2 ", 1] and parse("<p")[0].inside == ["<p"]
+    assert parse("<![CDATA[<b>]]>")[0].inside == ["<b>"]
