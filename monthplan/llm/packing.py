@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -35,6 +37,8 @@ STEP_TOKENS = 64 * 2048
 OPEN_GROUPS = 8
 EOS = 1
 
+_LONG_RUN = re.compile(r"\S{1000}|\s{1000}")
+
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long,"
           " sequence_length long, step_group long")
 NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -59,11 +63,18 @@ def merge_ranks(model: dict, pre_tokenizer: dict | None, normalizer: dict | None
     return {bytes(byte[c] for c in t): i for t, i in model["vocab"].items()}
 
 
+def has_long_run(text: str) -> bool:
+    """Whether the text may hold a run of 2000 characters without, or of nothing but, white space: any such run covers a
+    whole stretch of 1000 that begins at a multiple of 1000."""
+    return any(_LONG_RUN.match(text, at) for at in range(0, len(text) - 999, 1000))
+
+
 class TokenizerEncoder:
     """Ids of whole texts from a tokenizer file, as ``encode(text, add_special_tokens=False)`` gives them.
 
-    New pre-tokens are merged by rank (``merge_ranks``, some four times as fast) where the file allows it, others and
-    those in the vocabulary by the tokenizer; the latter are kept for good, the vocabulary bounds them.
+    A file that merges by rank alone (``merge_ranks``) and makes each entry of its vocabulary of that entry's text is
+    merged by rank, text by text. For other files distinct pre-tokens go to the tokenizer, and so do texts that hold
+    one of its special tokens or a very long run, whose merging by rank would take the square of its length.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -73,17 +84,33 @@ class TokenizerEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         about = json.loads(self._tokenizer.to_str())
-        self._ranks = merge_ranks(about["model"], about.get("pre_tokenizer"), about.get("normalizer"))
-        self._by_rank = self._ranks and tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=self._ranks, special_tokens={})
-        self._whole: dict[str, bytes] = {}
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         line = self._tokenizer.encode("\n", add_special_tokens=False).ids
         self._line = line[0] if len(line) == 1 else None
+        self._ranks = merge_ranks(about["model"], about.get("pre_tokenizer"), about.get("normalizer"))
+        if self._ranks and not self._makes_all(self._ranks):
+            self._ranks = None
+        self._by_rank = self._ranks and tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=self._ranks, special_tokens={})
         self._encoder = PreTokenEncoder(pattern, self._encode_new)
         self.forget = self._encoder.forget
 
+    def _makes_all(self, ranks: dict[bytes, int]) -> bool:
+        """Whether each entry that is a text becomes its own id, as merging by rank takes for granted."""
+        texts = {}
+        for raw, i in ranks.items():
+            try:
+                texts[raw.decode()] = i
+            except UnicodeDecodeError:  # part of a character: never a whole pre-token
+                continue
+        found = self._tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
+        return all(f.ids == [i] for f, i in zip(found, texts.values(), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [not any(s in t for s in self._special) for t in texts]
+        if self._by_rank:
+            merge = self._by_rank.encode_ordinary
+            return [array("I", merge(t)).tobytes() if p and not has_long_run(t) else self._one(t)
+                    for t, p in zip(texts, plain, strict=True)]
         known = iter(self._encoder.encode([t for t, p in zip(texts, plain, strict=True) if p]))
         return [next(known) if p else self._one(t) for t, p in zip(texts, plain, strict=True)]
 
@@ -91,12 +118,7 @@ class TokenizerEncoder:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _encode_new(self, tokens: list[str]) -> list[bytes]:
-        if self._ranks is None:
-            return self._many(tokens, self._by_tokenizer)
-        whole = [t for t in tokens if t not in self._whole and t.encode("utf-8", "surrogatepass") in self._ranks]
-        self._whole.update(zip(whole, self._many(whole, self._by_tokenizer), strict=True))
-        merged = iter(self._many([t for t in tokens if t not in self._whole], lambda parts: map(self._by_rank.encode_ordinary, parts)))
-        return [self._whole.get(t) or next(merged) for t in tokens]
+        return self._many(tokens, self._by_tokenizer)
 
     def _by_tokenizer(self, parts: list[str]) -> Iterator[list[int]]:
         return (found.ids for found in self._tokenizer.encode_batch_fast(parts, add_special_tokens=False))

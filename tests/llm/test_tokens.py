@@ -125,3 +125,17 @@ def test_a_tokenizer_of_another_kind_is_asked_itself():
     assert encoder._ranks is None
     broken = {"type": "BPE", "vocab": {"a": 0, "b": 1, "ab": 2}, "merges": ["a b"]}
     assert packing.merge_ranks(broken, {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}, None) is None
+
+
+def test_whole_texts_get_the_tokenizers_ids():
+    """Words, marks and white space in every mixture, special tokens and long runs: ids of the whole text at once."""
+    import random
+
+    rnd = random.Random(3)
+    encoder = packing.TokenizerEncoder(P.path("byte_bpe_50k.json"), P.PATTERN)
+    vocabulary = [t.decode() for t in encoder._ranks if t.isascii()]
+    odd = ["  ", "\n\n", "\t", "\u00a0", "\u2003x", "'ll", "\u0661\u0662", "\u4e2d\u6587", "\U0001f600", "e\u0301", "\x00", "\u200b", "\ufeff", "\x85", "\x1c"]
+    texts = ["".join(rnd.choice(rnd.choice((vocabulary, odd))) for _ in range(rnd.randint(0, 60))) for _ in range(5000)]
+    texts += vocabulary + odd + ["", "a" * 300_000, " " * 300_000 + "b", "x " * 500 + "ab" * 3000, "ab" * 999, *encoder._special]
+    texts += [f"one {s} two" for s in encoder._special]
+    assert encoder.encode(texts) == [np.array(encoder._tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
