@@ -14,7 +14,7 @@ import numpy as np
 
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 15, 1 << 16
 WORD_DIM, GRAM_DIM, HIDDEN = 4, 6, 8
-WINDOW, STRIDE = 32, 16
+WINDOW, STRIDE = 8, 1  # words; a window begins at every word
 
 _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
@@ -48,7 +48,8 @@ def _inputs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 def _windows(counts: np.ndarray, size: int = WINDOW, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, length, text) of every overlapping window; the last of a text ends with it; none without words."""
+    """(first word, length, text) of every overlapping window; the last of a text ends with it, a text shorter than a
+    window is one; none without words."""
     begins = np.cumsum(counts) - counts
     n = np.where(counts > 0, 1 + np.maximum(0, -(-(counts - size) // stride)), 0)
     text = np.repeat(np.arange(len(counts)), n)

@@ -25,13 +25,57 @@ def test_gradients_are_those_of_the_loss():
         assert abs((up - down) / 2e-4 - g[name][at]) < 1e-6 + 1e-3 * abs(g[name][at]), name
 
 
-def test_windows_cover_every_word_and_overlap():
-    first, length, text = tm._windows(np.array([0, 1, 32, 33, 100]))
-    assert text.tolist() == [1, 2, 3, 3, 4, 4, 4, 4, 4, 4] and (length <= tm.WINDOW).all()
-    covered = set()
-    for a, n in zip(first, length, strict=True):
-        covered |= set(range(a, a + n))
-    assert covered == set(range(166))
+def test_a_window_begins_at_every_word():
+    counts = np.array([0, 1, 7, 8, 9, 30])
+    first, length, text = tm._windows(counts)
+    plain = [(b + i, min(n, tm.WINDOW), t) for t, (b, n) in enumerate(zip(np.cumsum(counts) - counts, counts, strict=True))
+             for i in range(max(1, n - tm.WINDOW + 1)) if n]
+    assert list(zip(first.tolist(), length.tolist(), text.tolist(), strict=True)) == plain
+
+
+def plain_score(net, text):
+    """One window, one word and one step at a time, in doubles."""
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    words, grams, per_word, _ = tm._inputs([text])
+    ends = np.cumsum(per_word)
+    x = [np.r_[p["word"][w], p["gram"][grams[e - n:e]].sum(axis=0)] for w, e, n in zip(words, ends, per_word, strict=True)]
+    best = -np.inf if len(x) else p["b"][0]
+    for begin in range(max(1, len(x) - tm.WINDOW + 1) if len(x) else 0):
+        window = x[begin:begin + tm.WINDOW]
+        sides = []
+        for k, order in (("0", range(len(window))), ("1", range(len(window) - 1, -1, -1))):
+            h, states = np.zeros(tm.HIDDEN), {}
+            for t in order:
+                g = window[t] @ p[f"in{k}"] + p[f"bias{k}"]
+                z, r = np.split(1 / (1 + np.exp(-(g[:2 * tm.HIDDEN] + h @ p[f"zr{k}"]))), 2)
+                h = (1 - z) * h + z * np.tanh(g[2 * tm.HIDDEN:] + (r * h) @ p[f"c{k}"])
+                states[t] = h
+            sides.append(states)
+        states = np.array([np.r_[sides[0][t], sides[1][t]] for t in range(len(window))])
+        e = np.exp(states @ p["v"])
+        best = max(best, (e / e.sum()) @ states @ p["w"] + p["b"][0])
+    return 1 / (1 + np.exp(-(p["platt"][0] * best + p["platt"][1])))
+
+
+def small_model(seed=4):
+    rng = np.random.default_rng(seed)
+    texts = [" ".join(rng.choice(["one", "two", "three", "four", "five", "six"], 20)) + (" scumbag" if i % 3 == 0 else "") for i in range(200)]
+    return tm.train(texts, (np.arange(200) % 3 == 0).astype(int), 0.3), rng
+
+
+def test_scores_are_those_of_a_plain_forward_pass_over_all_windows():
+    net, rng = small_model()
+    words = ["one", "two", "Three", "scum", "scumbag", "caf\u00e9", "x", "a-b", "99", "..."]
+    texts = [" ".join(rng.choice(words, int(n))) for n in (0, 1, 2, 7, 8, 9, 20, 60)] + ["", "!!", "one " * 30 + "scumbag"]
+    assert np.allclose(net.scores(texts), [plain_score(net, t) for t in texts], atol=1e-4)
+
+
+def test_a_passage_scores_alike_wherever_it_stands():
+    net, rng = small_model()
+    passage = " ".join(rng.choice(["one", "six", "scumbag", "rest"], 24))
+    alone = net.scores([passage])[0]
+    placed = net.scores([" ".join(["two"] * k + [passage] + ["four"] * (40 - k)) for k in range(41)])
+    assert (placed >= alone - 1e-5).all()
 
 
 def test_learns_stems_and_words_in_long_texts():
