@@ -31,6 +31,7 @@ BANDS, ROWS = 24, 7  # a pair at 0.85 shares no band with a probability of 1e-4
 WIDTH = 5
 PERCENT = 85
 BLOCK_ROWS = 256  # sets of a block in a cluster's comparison
+ALONE = 2  # the side of a block that is held against itself
 _CHUNK = 1024
 
 
@@ -107,7 +108,8 @@ def cluster_links(candidates: DataFrame, placed: DataFrame, texts: DataFrame, wi
     """Links (a, b) that connect what is still apart: over all pairs of different components in a cluster.
 
     ``candidates`` (rep, hub) share a bucket, ``placed`` (id, component_id) are the components so far. A cluster is cut
-    into blocks by a hash, every pair of its blocks is a group of its own, and a group gives a forest of its links.
+    into blocks, every two of them that may hold different components (``block_pairs``) are a group of their own, and a
+    group gives a forest of its links.
     """
     def labelled(column: str, name: str) -> DataFrame:
         return placed.select(F.col("id").alias(column), F.col("component_id").alias(name))
@@ -121,27 +123,52 @@ def cluster_links(candidates: DataFrame, placed: DataFrame, texts: DataFrame, wi
     rows = rows.select("r.*").distinct().join(clusters.select(
         F.col("id").alias("component"), F.col("component_id").alias("cluster")), "component")
     rows = checkpointed(rows)
-    sizes = rows.groupBy("cluster").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
     sets = sets_of(texts.join(rows.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi"), width)
-    rows = rows.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    rows = rows.withColumnRenamed("doc", "doc_id").join(sets, "doc_id").withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("doc_id", "component", "shingles", "cluster", "own", F.least("own", "other").alias("lo"),
-                       F.greatest("own", "other").alias("hi"))
-
-    def verify(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
-        _, lo, hi = key
+    met = block_pairs(rows, block_rows).join(sets.withColumnRenamed("doc_id", "doc"), "doc")
+
+    def verify(b: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
-        component, side = b["component"].to_numpy(), b["own"].to_numpy() == hi
+        component, side = b["component"].to_numpy(), b["side"].to_numpy()
         apart = component[:, None] != component[None, :]
-        if lo != hi:
+        if side[0] != ALONE:
             apart &= side[:, None] != side[None, :]
         if apart.any():
             links = similar([np.asarray(s, np.int64) for s in b["shingles"]], percent) & apart
-            out = forest(np.triu(links, 1), b["doc_id"].to_numpy())
+            out = forest(np.triu(links, 1), b["doc"].to_numpy())
         return pd.DataFrame(out, columns=["a", "b"]).astype({"a": "int64", "b": "int64"})
 
-    return rows.groupBy("cluster", "lo", "hi").applyInPandas(verify, "a long, b long")
+    return met.groupBy("pair").applyInPandas(verify, "a long, b long")
+
+
+def block_pairs(rows: DataFrame, block_rows: int) -> DataFrame:
+    """(pair, side, doc, component): the documents of each two blocks of a cluster that may hold different components.
+
+    ``rows`` are (cluster, component, doc). A component of more than ``block_rows`` documents is a unit cut into blocks of
+    its own, which never meet each other; the smaller ones of a cluster together are a unit, cut by whole components, whose
+    blocks meet each other and themselves (side ``ALONE``). So a large component that a few others touch is copied a few
+    times, whatever its size.
+    """
+    sizes = rows.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("large", F.col("n") > block_rows).withColumn("unit", F.when(F.col("large"), F.col("component")).otherwise(0))
+    units = sizes.groupBy("cluster", "large", "unit").agg(
+        F.ceil(F.sum("n") / block_rows).cast("int").alias("blocks"), F.count("*").alias("components"))
+    members = (rows.join(sizes.drop("n"), ["cluster", "component"]).join(units, ["cluster", "large", "unit"])
+               .withColumn("block", F.pmod(F.xxhash64(F.when(F.col("large"), F.col("doc")).otherwise(F.col("component"))),
+                                           F.col("blocks")).cast("int"))
+               .select("cluster", F.struct("large", "unit", "block").alias("place"), "doc", "component"))
+    one, two = (units.select("cluster", F.struct("large", "unit").alias(f"u{k}"), F.col("blocks").alias(f"n{k}"),
+                             F.col("components").alias(f"c{k}")) for k in (1, 2))
+    same = F.col("u1") == F.col("u2")
+    met = one.join(two, "cluster").where((F.col("u1") < F.col("u2")) | (same & ~F.col("u1.large") & (F.col("c1") > 1)))
+    met = met.withColumn("b1", F.explode(F.sequence(F.lit(0), F.col("n1") - 1)))
+    met = met.withColumn("b2", F.explode(F.sequence(F.when(same, F.col("b1")).otherwise(0), F.col("n2") - 1)))
+    place = [F.struct(F.col(f"u{k}.large").alias("large"), F.col(f"u{k}.unit").alias("unit"), F.col(f"b{k}").alias("block"))
+             for k in (1, 2)]
+    met = met.select("cluster", place[0].alias("p1"), place[1].alias("p2"))
+    sides = met.select(F.struct("cluster", "p1", "p2").alias("pair"), "cluster", F.explode(
+        F.when(F.col("p1") == F.col("p2"), F.array("p1")).otherwise(F.array("p1", "p2"))).alias("place"))
+    sides = sides.withColumn("side", F.when(F.col("pair.p1") == F.col("pair.p2"), ALONE).when(F.col("place") == F.col("pair.p1"), 0).otherwise(1))
+    return sides.join(members, ["cluster", "place"]).select("pair", "side", "doc", "component")
 
 
 def similar(sets: list[np.ndarray], percent: int, columns: int = 4096) -> np.ndarray:

@@ -1,6 +1,8 @@
 """MinHash over documents and pivots over vectors, against all pairs."""
 
+import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -86,6 +88,28 @@ def test_leftover_clusters_are_compared_in_blocks(spark):
     assert found == top
 
 
+def test_a_large_component_is_copied_a_few_times(spark):
+    """A stray document beside a component of 5,000, and a cluster of many components of all sizes."""
+    stray = [(0, 7, i) for i in range(5000)] + [(0, 9000, 9000)]
+    mixed = [(1, c, 100_000 + 100 * c + i) for c in range(40) for i in range(1 + c * c // 20)]
+    frame = spark.createDataFrame(stray + mixed, "cluster long, component long, doc long")
+    got = cm.block_pairs(frame, 16).collect()
+    per_doc = Counter(r.doc for r in got if r.pair.cluster == 0)
+    assert len(per_doc) == 5001 and max(n for d, n in per_doc.items() if d != 9000) == 1
+    assert per_doc[9000] == -(-5000 // 16)
+    groups = {}
+    for r in got:
+        groups.setdefault(r.pair, []).append((r.side, r.component, r.doc))
+    met = Counter()
+    for rows_ in groups.values():
+        two = rows_[0][0] != cm.ALONE
+        for (s, c, d), (t, e, f) in itertools.combinations(rows_, 2):
+            if c != e and (s != t or not two):
+                met[min(d, f), max(d, f)] += 1
+    wanted = {(min(d, f), max(d, f)) for x in (stray, mixed) for (_, c, d), (_, e, f) in itertools.combinations(x, 2) if c != e}
+    assert set(met) == wanted and set(met.values()) == {1}
+
+
 def test_empty_documents(spark):
     assert cm.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
