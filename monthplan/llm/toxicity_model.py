@@ -31,10 +31,11 @@ def _inputs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     edge = np.flatnonzero(mark[1:] != mark[:-1]) + 1
     starts, ends = edge[0::2], edge[1::2]
     four = data[:-3].astype(np.uint32)
-    for i in (1, 2, 3):
-        four |= data[i:len(data) - 3 + i].astype(np.uint32) << np.uint32(8 * i)
+    inner = np.ones(len(four), bool)  # in the end: all bytes after the first are of one word
+    for i in (1, 2, 3):  # bytes after a word's end don't enter its hash
+        inner &= ~mark[i:len(data) - 3 + i]
+        four |= (data[i:len(data) - 3 + i] * inner).astype(np.uint32) << np.uint32(8 * i)
     four *= np.uint32(0x9E3779B1)
-    inner = ~(mark[1:-2] | mark[2:-1] | mark[3:])
     at = np.flatnonzero(inner)
     grams = (four[at] >> np.uint32(16)).astype(np.int32)
     per_word = np.maximum(ends - starts - 2, 0)

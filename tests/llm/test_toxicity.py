@@ -70,6 +70,13 @@ def test_scores_are_those_of_a_plain_forward_pass_over_all_windows():
     assert np.allclose(net.scores(texts), [plain_score(net, t) for t in texts], atol=1e-4)
 
 
+def test_a_word_is_the_same_input_beside_any_other():
+    one, _, _, _ = tm._inputs(["scumbag"])
+    many, grams, per_word, counts = tm._inputs(["Scumbag x", "a scumbag", "scumbag, two", "scumbag"])
+    assert counts.tolist() == [2, 2, 2, 1] and (many[[0, 3, 4, 6]] == one[0]).all()
+    assert len(set(many.tolist())) == 4 and len(grams) == per_word.sum()
+
+
 def test_a_passage_scores_alike_wherever_it_stands():
     net, rng = small_model()
     passage = " ".join(rng.choice(["one", "six", "scumbag", "rest"], 24))
