@@ -1,8 +1,11 @@
 import base64
 import hashlib
 import json
+import re
 import struct
 
+import pytest
+
 from helpers import rows
 from monthplan.llm import secret_scan as sc
 
@@ -84,3 +87,47 @@ def test_rows_and_edges(spark):
     assert got == [(1, 0, 0, 0, "", sha("")), (2, 0, 0, 0, "", sha("")), (3, 1, 0, 0, span, sha(span)), (3, 1, 0, 0, span, sha(span)),
                    (5, 1, 0, 0, far, sha(far)), (None, 0, 1, 0, "access:0:20", sha("access:0:20"))]
     assert sc.scan_secrets(docs.limit(0)).count() == 0
+
+
+PLAIN = (("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 12),
+         ("access", r"AKIA[A-Z0-9]+", 18), ("hex", r"[0-9a-f]+", 16))
+
+
+def plain_base(text):
+    """Counts by kind, the digest and the spans as the rules state them: every match in turn, failing ones dropped."""
+    found = []
+    for order, (kind, pattern, least) in enumerate(PLAIN):
+        for m in re.finditer(pattern, text, re.A):
+            if len(m[2] if kind == "assign" else m[0]) >= least:
+                found.append((m.start(), order, m.end()))
+    spans = [f"{PLAIN[k][0]}:{s}:{e}" for s, k, e in sorted(found)]
+    counts = [sum(k == i for _, k, _ in found) for i in range(3)]
+    return *counts, hashlib.sha256(",".join(spans).encode()).hexdigest(), spans
+
+
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_query_matches_plain_matching_over_all_documents(spark, sf_dir):
+    got = sc.op6_secret_scan(spark, sf_dir).collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    seen = [0, 0, 0]
+    for r in got:
+        *counts, digest, spans = plain_base(texts[r["doc_id"]])
+        assert [r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]] == [*counts, digest], r["doc_id"]
+        every = r["spans"].split(",") if r["spans"] else []
+        assert [s for s in every if s.split(":")[0] in sc.BASE_KINDS] == spans, r["doc_id"]
+        assert len(every) - len(spans) == r["n_confirmed"]
+        seen = [a + b for a, b in zip(seen, counts, strict=True)]
+    assert sum(seen) > 0, seen
+
+
+def test_base_spans_match_plain_matching_on_random_mixtures():
+    import random
+
+    rng = random.Random(5)
+    bits = ["password", "PassWD", "secret", "token", "api_key", "APIKEY", "'", '"', " ", "  ", "=", ":", "\n", "AKIA", "AKI", "A1B2C3D4E5F6G7", "0123456789abcdef",
+            "deadbeef", "f", "-", "_", ".", "+/", "abcdefghijkl", "\u017f", "\u212a", "\u00e9", "x"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 14)))
+        base = sc.base_spans(text)
+        assert [f"{sc.KINDS[k]}:{s}:{e}" for s, k, e in base] == plain_base(text)[4], text
