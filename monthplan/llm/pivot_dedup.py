@@ -6,6 +6,10 @@ described by its nearest pivots in order, and posted in the inverted lists of th
 vectors are candidates when their descriptions share at least ``shared`` pivots, and all of a list's pairs are compared
 by their cosine in double precision.
 
+Where the vectors share a direction, as text embeddings often do, pivots and descriptions are of what differs from the
+pivots' mean, and descriptions are longer: a link then has a smaller angle in common. Cosines are always those of the
+vectors themselves. Where nearly all point one way, nearly all are linked, and nothing is taken off.
+
 A pair of one home is counted in the list of that home, any other in the first list it meets in. Lists are cut into
 blocks by a hash, and every pair of a list's blocks is one group: no list is ever gathered whole, whatever its share of
 the rows. A home that fills blocks of other lists has blocks of its own there, which aren't paired with each other, so
@@ -31,6 +35,8 @@ MIN_PIVOTS, MAX_PIVOTS = 64, 8192  # about 4 * sqrt(rows), within these: the bro
 PREFIX = 16  # pivots in a description
 SHARED = 1  # that two descriptions must share
 APART = 0.6  # no two pivots have this cosine
+CENTRED = (0.25, 0.8)  # mean cosine of two pivots, from which on and up to which their mean is taken off
+WIDER = 4  # times as many pivots are in a description then
 BLOCK_ROWS = 2048
 MAX_ZONES = 65_536  # homes with blocks of their own in other lists, at most
 COSINE = 0.9
@@ -55,6 +61,24 @@ def thinned(pivots: np.ndarray, apart: float = APART) -> np.ndarray:
     return kept
 
 
+def directions(x: np.ndarray, mean: np.ndarray | None) -> np.ndarray:
+    """Unit vectors of ``x``, or of what they have beside ``mean`` (zero where that is nothing)."""
+    if mean is None:
+        return _unit(x)
+    rest = _unit(x) - mean
+    size = np.sqrt(np.einsum("ij,ij->i", rest, rest))
+    return rest / np.where(size > 0, size, 1)[:, None]
+
+
+def fitted(pivots: np.ndarray) -> tuple[np.ndarray | None, np.ndarray]:
+    """(mean to take off, or None; the thinned pivots) of the vectors drawn as pivots."""
+    unit, n = _unit(pivots), len(pivots)
+    total = unit.sum(axis=0)
+    if n < 2 or not CENTRED[0] <= (total @ total - n) / (n * (n - 1)) <= CENTRED[1]:
+        return None, thinned(unit)
+    return total / n, thinned(directions(pivots, total / n))
+
+
 def link_blocks(x: np.ndarray, near: np.ndarray, side: np.ndarray | None, here: int, shared: int,
                 cosine: float) -> np.ndarray:
     """Boolean matrix of the verified pairs of one block pair that count in this list, each pair once.
@@ -114,20 +138,21 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     tables = {}
     for r in picked:
         tables.setdefault(len(r["x"]), []).append(r["x"])
-    shared_pivots = spark.sparkContext.broadcast({d: thinned(_unit(np.array(v))) for d, v in tables.items()})
+    shared_pivots = spark.sparkContext.broadcast({d: fitted(np.array(v)) for d, v in tables.items()})
+    widest = prefix * (1 if all(mean is None for mean, _ in shared_pivots.value.values()) else WIDER)
 
     def describe(batches):
         for b in batches:
             near: list[list[int]] = [[] for _ in range(len(b))]
             for dim, at in b.groupby("dim").indices.items():
-                table = shared_pivots.value.get(dim)
+                mean, table = shared_pivots.value.get(dim, (None, None))
                 if table is None:  # no pivot of this length: pivot 0 stands for all, so that such rows still meet
                     for i in at:
                         near[i] = [0]
                     continue
-                k = min(prefix, len(table), (len(table) + shared + 1) // 2)  # so many share ``shared`` in any case
+                k = min(prefix * (1 if mean is None else WIDER), len(table), (len(table) + shared + 1) // 2)  # so many share ``shared`` in any case
                 for part in np.array_split(at, -(-len(at) // 1024)):
-                    c = _unit(np.stack(b["x"].iloc[part].to_numpy())) @ table.T
+                    c = directions(np.stack(b["x"].iloc[part].to_numpy()), mean) @ table.T
                     top = np.argpartition(-c, k - 1, axis=1)[:, :k]
                     top = np.take_along_axis(top, np.argsort(-np.take_along_axis(c, top, axis=1), axis=1, kind="stable"), axis=1)
                     for i, t in zip(part, top.tolist(), strict=True):
@@ -137,7 +162,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     described = checkpointed(classes.select("rep", "size", "dim", "x").mapInPandas(
         describe, "rep long, size long, dim int, x array<double>, near array<int>"))
     entries = described.select("*", F.col("near")[0].alias("home"), F.explode("near").alias("list"))
-    least = max(block_rows, n * prefix // MAX_ZONES)
+    least = max(block_rows, n * widest // MAX_ZONES)
     sizes = checkpointed(entries.groupBy("dim", "list", "home").count())
     sizes = sizes.withColumn("zone", F.when((F.col("home") != F.col("list")) & (F.col("count") > least), F.col("home")).otherwise(-1))
     sizes = sizes.groupBy("dim", "list", "zone").agg(F.ceil(F.sum("count") / block_rows).cast("int").alias("blocks"))

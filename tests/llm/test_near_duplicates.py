@@ -163,6 +163,39 @@ def test_a_crowd_of_similar_vectors_keeps_its_links(spark, block_rows):
     assert np.mean([got[i].component_id == top.get(i, i) for i in range(9000)]) > 0.999
 
 
+@pytest.mark.parametrize("mean", [0.5, 0.7])
+def test_vectors_with_a_common_direction_keep_their_links(spark, mean):
+    rng = np.random.default_rng(12)
+    u = rng.standard_normal((5000, 64))
+    far = (0.92 - mean) / (1 - mean)  # what a pair at a cosine of 0.92 has in common beside the mean
+    u[:1000] = u[1000:2000] + u[:1000] * np.sqrt(1 / far ** 2 - 1)
+    u[2000:2400] = u[2400] + u[2000:2400] * rng.choice([0.3, 0.5], 400)[:, None]
+    u[:, 0] = 0
+    x = np.sqrt(1 - mean) * u / np.linalg.norm(u, axis=1, keepdims=True)
+    x[:, 0] = np.sqrt(mean)
+    x *= rng.uniform(0.1, 10, 5000)[:, None]
+    off, pivots = pv.fitted(x[2500:3500])
+    assert off is not None and len(pivots) > 900  # without the mean taken off a common direction leaves a few
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in pv.near_duplicates(frame, pivots=2000).collect()}
+    degrees = np.array([got[i].n_links for i in range(5000)])
+    assert (degrees <= near.sum(axis=1)).all() and degrees.sum() >= 0.999 * near.sum()
+    top = dict(forest(near, np.arange(5000)))
+    assert np.mean([got[i].component_id == top.get(i, i) for i in range(5000)]) > 0.999
+
+
+def test_the_mean_is_taken_off_only_between_its_bounds():
+    rng = np.random.default_rng(13)
+    spread, line = rng.standard_normal((500, 64)), np.outer(rng.uniform(1, 2, 500), np.ones(64))
+    assert pv.fitted(spread)[0] is None and pv.fitted(line)[0] is None and pv.fitted(spread[:1])[0] is None
+    mean = np.zeros(64)
+    mean[0] = 1.0
+    assert not pv.directions(mean[None, :], mean).any()  # nothing beside the mean, no division by zero
+
+
 def test_vector_edges(spark):
     nan, inf = float("nan"), float("inf")
     data = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, []), (6, [1.0, None]), (7, [nan, 1.0]), (8, [inf, 1.0]),
