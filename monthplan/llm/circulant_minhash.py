@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components, forest
 from .shingles import forget, mix64, shingle_sets
-from .tables import checkpointed, id_text, read_table, ship_package, text_pieces
+from .tables import checkpointed, forget_shuffles, id_text, read_table, ship_package, text_pieces
 
 BANDS, ROWS = 24, 7  # a pair at 0.85 shares no band with a probability of 1e-4
 WIDTH = 5
@@ -216,12 +216,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = met.where(F.col("rep") != F.col("hub")).where(like("n", "hub_n")).select(
         F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     links = checkpointed(verified(first, texts, width, percent))
+    forget_shuffles(docs.sparkSession)
     placed = checkpointed(connected_components(links))
     more = cluster_links(met.select("rep", "hub").distinct(), placed, texts, width, percent)
     of_class = classes.select("set_key", "rep")
     texts_of = signed.select("doc_id", "set_key").join(of_class, "set_key").select("doc_id", "rep").distinct()
     several = texts_of.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b")
     repeats = texts_of.join(several.select("doc_id", "b"), "doc_id").select(F.col("rep").alias("a"), "b")
+    more = checkpointed(more)
+    forget_shuffles(docs.sparkSession)
     found = connected_components(placed.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
                                  .unionByName(more).unionByName(repeats))
     of_class = of_class.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(

@@ -6,7 +6,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import checkpointed
+from .tables import checkpointed, forget_shuffles
+
+EDGES = 50_000  # a partition of edges holds at least so many, if there are as many
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -18,12 +20,16 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star rounds: each vertex's larger neighbours are hung under its smallest one, then
     its smaller neighbours. Both group map-side first and join on the vertex, which AQE splits where a star is hot. The
-    rounds end when the edges no longer change, in about log(n) of them; each is cut off by a checkpoint.
+    rounds end when the edges no longer change, in about log(n) of them; each is cut off by a checkpoint, after which the
+    shuffle files of the round go. A round reads its edges in as many partitions as they fill: what a shuffle leaves on disk
+    beside its rows grows with the square of the partitions.
     """
     edges = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                          .distinct())
     before = _state(edges)
     for _ in range(max_rounds):
+        forget_shuffles(edges.sparkSession)
+        edges = edges.coalesce(before[0] // EDGES + 1)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import zipfile
@@ -76,6 +77,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of tables that nothing reads any more.
+
+    It does so once the driver has collected its garbage, which a driver that only waits for small jobs may put off until
+    the files of many rounds have piled up.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The same through a parquet table in the shared checkpoint folder: smaller than a checkpoint of rows."""
     path = scratch_table(df.sparkSession, name)

@@ -206,3 +206,27 @@ def test_vector_edges(spark):
     assert got == [(1, 3, 1, True), (2, 3, 1, False), *alone, (9, 3, 1, False), (9, 3, 1, False), (10, 0, 10, True),
                    (11, 0, 11, True), (12, 3, 1, False), (None, 0, None, True)]
     assert pv.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_a_round_of_components_lets_shuffle_files_go(spark, monkeypatch):
+    import glob
+    import time
+
+    from monthplan.llm import components as cc
+
+    folders = [d.getAbsolutePath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    forget, left = cc.forget_shuffles, []
+
+    def shuffles():
+        return {f.split("/")[-1].split("_")[1] for d in folders for f in glob.glob(f"{d}/*/shuffle_*")}
+
+    def counted(session):
+        forget(session)
+        time.sleep(1)
+        left.append(len(shuffles() - before))
+
+    monkeypatch.setattr(cc, "forget_shuffles", counted)
+    before = shuffles()
+    found = connected_components(spark.range(39).selectExpr("id AS a", "id + 1 AS b").repartition(8))
+    assert [tuple(r) for r in found.selectExpr("count(*)", "max(component_id)").collect()] == [(40, 0)]
+    assert len(left) > 2 and max(left) <= 8, left  # a round's own, not those of all rounds so far
