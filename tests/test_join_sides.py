@@ -7,6 +7,11 @@ import pytest
 from monthplan.operators import demand as dm
 from monthplan.operators import linetypes as lt
 from monthplan.operators import rollforward as rf
+from monthplan.plans import catalog
+from monthplan.plans.inputs import Plan
+from monthplan.sources.buckets import BucketStore
+
+from test_load_layout import tables
 
 D = dt.date(1997, 1, 1)
 E = dt.date(1997, 7, 1)
@@ -62,3 +67,30 @@ def test_demand_routes_and_stock_are_shuffled(eager):
     for df, rows in ((need, 1), (dm.producible_demand(demand, lines), 1), (viable, 1), (best, 1),
                      (rf.transfer_need(best, stock, safety), 1)):
         assert broadcast_by_sku(df) == [] and df.count() == rows
+
+
+FROM_LINE_TYPES = ["preferred_line", "sku_line_type", "warehouse_linetype_todo", "factory_linetype_todo", "factory_sku_todo", "capacity_vs_todo",
+                   "rebalance_capacity", "rebalance_capacity_share_pure", "capacity_gap", "month_shortage", "early_moves", "early_moves_month",
+                   "early_moves_conserving", "early_moves_month_conserving", "unfilled_shortage", "last_short_month"]
+
+
+def test_no_query_broadcasts_a_table_of_skus(eager, tmp_path, monkeypatch):
+    lines = [(i, i % 7, i % 10, float(1 + i % 4), dt.datetime(1997, 1 + i % 6, 3)) for i in range(420)]
+    lines += [(i, i % 7, i % 10, 2.0, dt.datetime(1996, 12, 3)) for i in range(70)]
+    d = tables(eager, tmp_path, lines)
+    planned = {}
+
+    def seen(name, df):
+        planned[name] = [x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in x and "sku_code" in x]
+        return df
+
+    keep, table = Plan.keep, BucketStore.table
+    monkeypatch.setattr(Plan, "keep", lambda self, name, df, *a: keep(self, name, seen(name, df), *a))
+    monkeypatch.setattr(BucketStore, "table", lambda self, name, build, *a, **k: table(self, name, lambda: seen(name, build()), *a, **k))
+    try:
+        rows = {name: seen(name, catalog.QUERIES[name](eager, d)).count() for name in FROM_LINE_TYPES}
+    finally:
+        catalog.shared_plan(eager, d).close()
+    assert rows["preferred_line"] and rows["factory_sku_todo"] and rows["rebalance_capacity"]
+    assert planned["preferred_line"] and planned["sku_linetype"] and len(planned["rollups"]) == 3
+    assert {name: x for name, x in planned.items() if any("Broadcast" in j for j in x)} == {}
