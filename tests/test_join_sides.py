@@ -4,11 +4,13 @@ import datetime as dt
 
 import pytest
 
+from monthplan.functions import joins
 from monthplan.operators import demand as dm
 from monthplan.operators import linetypes as lt
 from monthplan.operators import rollforward as rf
 from monthplan.plans import catalog
 from monthplan.plans.inputs import Plan
+from monthplan.sources import fixtures as fx
 from monthplan.sources.buckets import BucketStore
 
 from test_load_layout import tables
@@ -69,6 +71,21 @@ def test_demand_routes_and_stock_are_shuffled(eager):
         assert broadcast_by_sku(df) == [] and df.count() == rows
 
 
+def test_suppliers_are_broadcast_by_their_count(eager, tmp_path, monkeypatch):
+    lines = [(i, i % 7, i % 11, float(i % 4), dt.datetime(1997, 1 + i % 6, 3)) for i in range(420)]
+    lines += [(1, 3, None, 2.0, dt.datetime(1997, 2, 1)), (2, None, 4, 5.0, None), (3, 3, 4, None, dt.datetime(1997, 2, 1))]
+    d = tables(eager, tmp_path, lines)
+    eager.createDataFrame([(4, 3), (4, None), (None, 2)], "s_suppkey bigint, s_nationkey int").write.mode("append").parquet(f"{d}/supplier.parquet")
+    found = {}
+    for most in (13, 12):  # there are thirteen suppliers
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", most, raising=False)
+        df = fx.shipments(Plan(eager, d).t)
+        found[most] = sorted(map(str, df.collect()))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin [l_suppkey" in plan, "BroadcastHashJoin [l_suppkey" in plan) == (most == 12, most == 13)
+    assert found[12] == found[13] != []
+
+
 FROM_LINE_TYPES = ["preferred_line", "sku_line_type", "warehouse_linetype_todo", "factory_linetype_todo", "factory_sku_todo", "capacity_vs_todo",
                    "rebalance_capacity", "rebalance_capacity_share_pure", "capacity_gap", "month_shortage", "early_moves", "early_moves_month",
                    "early_moves_conserving", "early_moves_month_conserving", "unfilled_shortage", "last_short_month"]
